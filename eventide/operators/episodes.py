@@ -6,7 +6,8 @@ still does not need a user's whole history in one task:
 
 1. A success, or more than `within` without a fail, always clears the state. Between two such points
    lies a *session* of fails, found per (user, time block) from neighbouring rows.
-2. A session no longer than `within` is a single episode: a plain aggregate. Nearly all are.
+2. A session no longer than `within` is a single episode: a plain aggregate. Nearly all are. The
+   success that ends a session cancels its last episode if it falls inside it.
 3. A longer session is cut into chunks of time. From any row the next episode starts within twice
    `within`, so a chunk that also sees that much of the following chunk can tell, for each place an
    episode may start near its head, where the chain leaves it. These small tables are followed from
@@ -30,6 +31,8 @@ from eventide.operators.logins import FAIL
 MIN_FAILS = 2
 # Chunk length of a long session, in episode lengths; at least 2 for the rule in step 3.
 CHUNK_EPISODES = 64
+# Later than any event: the cancel time of a row no success follows.
+NEVER = 1 << 62
 
 _SESSION = ["user_id", "session_t", "session_id"]
 
@@ -37,9 +40,11 @@ _SESSION = ["user_id", "session_t", "session_id"]
 def fail_episodes(logins: DataFrame, within: timedelta = timedelta(seconds=2)) -> DataFrame:
     length = micros(within)
     fails = _session_rows(logins, within)
-    sessions = fails.groupBy(*_SESSION).agg(F.max("t").alias("last_t"), F.sum("n").alias("n"))
-    is_long = F.col("last_t") - F.col("session_t") > length
-    single = (sessions.filter(~is_long & (F.col("n") >= MIN_FAILS))
+    sessions = fails.groupBy(*_SESSION).agg(F.max("t").alias("last_t"), F.sum("n").alias("n"),
+                                            F.min("cancel_t").alias("cancel_t"))
+    end = F.col("session_t") + length
+    is_long = F.col("last_t") > end
+    single = (sessions.filter(~is_long & (F.col("n") >= MIN_FAILS) & (F.col("cancel_t") > end))
               .select("user_id", F.col("session_t").alias("first_t"), "last_t", "n"))
     long_rows = fails.join(sessions.filter(is_long).select(*_SESSION), _SESSION, "left_semi")
     return (single.unionByName(_long_sessions(long_rows, length))
@@ -48,7 +53,8 @@ def fail_episodes(logins: DataFrame, within: timedelta = timedelta(seconds=2)) -
 
 
 def _session_rows(logins: DataFrame, within: timedelta) -> DataFrame:
-    """Fails of sessions with two or more fails: (user, session, t, n), n fails at instant t."""
+    """Fails of sessions with two or more fails: (user, session, t, n, cancel_t), n fails at instant t
+    and cancel_t the time of a success right after them."""
     length = micros(within)
     rows = with_blocks(logins, "ts", before=within, after=within).withColumn("t", epoch_micros("ts"))
     w = Window.partitionBy("user_id", "block").orderBy("t", "event_id")
@@ -57,13 +63,15 @@ def _session_rows(logins: DataFrame, within: timedelta) -> DataFrame:
         same = (step("event_type").over(w) == FAIL) & (gap(step("t").over(w)) <= length)
         return F.coalesce(same, F.lit(False))
 
+    success_next = F.lead("event_type").over(w) != FAIL
     flagged = (rows.select("user_id", "block", "own", "t", "event_id", "event_type",
+                           F.when(success_next, F.lead("t").over(w)).otherwise(NEVER).alias("cancel_t"),
                            near(F.lag, lambda other: F.col("t") - other).alias("joins"),
                            near(F.lead, lambda other: other - F.col("t")).alias("goes_on"))
                .filter(F.col("own") & (F.col("event_type") == FAIL) & (F.col("joins") | F.col("goes_on"))))
     start = F.when(~F.col("joins"), F.struct("t", "event_id"))
     so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = flagged.select("user_id", "block", "t", start.alias("start"),
+    placed = flagged.select("user_id", "block", "t", "cancel_t", start.alias("start"),
                             F.last(start, ignorenulls=True).over(so_far).alias("session"))
     # A session begun in an earlier block is the last one begun before this block. One row per user
     # and block, whatever the number of fails in it.
@@ -71,13 +79,14 @@ def _session_rows(logins: DataFrame, within: timedelta) -> DataFrame:
                .rowsBetween(Window.unboundedPreceding, -1))
     begun = (placed.groupBy("user_id", "block").agg(F.max("start").alias("latest"))
              .select("user_id", "block", F.max("latest").over(earlier).alias("session")))
-    heads = (placed.filter(F.col("session").isNull()).select("user_id", "block", "t")
+    heads = (placed.filter(F.col("session").isNull()).select("user_id", "block", "t", "cancel_t")
              .join(begun, ["user_id", "block"]))
-    whole = placed.filter(F.col("session").isNotNull()).select("user_id", "block", "t", "session")
+    whole = (placed.filter(F.col("session").isNotNull())
+             .select("user_id", "block", "t", "cancel_t", "session"))
     return (whole.unionByName(heads)
             .groupBy("user_id", F.col("session.t").alias("session_t"),
                      F.col("session.event_id").alias("session_id"), "t")
-            .agg(F.count(F.lit(1)).alias("n")))
+            .agg(F.count(F.lit(1)).alias("n"), F.min("cancel_t").alias("cancel_t")))
 
 
 def _long_sessions(rows: DataFrame, length: int) -> DataFrame:
@@ -149,7 +158,7 @@ def _follow(size: int):
 def _chunk_episodes(length: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("t")
-        t = pdf["t"].to_numpy()
+        t, cancel = pdf["t"].to_numpy(), pdf["cancel_t"].to_numpy()
         upto = np.r_[0, np.cumsum(pdf["n"].to_numpy())]
         owned = int(pdf["own"].sum())
         i = int(np.searchsorted(t, pdf["entry"].iloc[0]))
@@ -157,7 +166,7 @@ def _chunk_episodes(length: int):
         while i < owned:
             j = int(np.searchsorted(t, t[i] + length, side="right"))
             n = int(upto[j] - upto[i])
-            if n >= MIN_FAILS:
+            if n >= MIN_FAILS and cancel[j - 1] > t[i] + length:
                 found.append((t[i], t[j - 1], n))
             i = j
         out = pd.DataFrame(found, columns=["first_t", "last_t", "n"])

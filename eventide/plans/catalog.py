@@ -11,7 +11,6 @@ from datetime import timedelta as td
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from eventide.operators import (episodes, filters, fraud, logins, orders, reconcile, topn, uniques,
                                 windows)
@@ -26,11 +25,11 @@ EARLY, LATE = td(hours=3), td(hours=5)
 CAP = 2
 
 
-def naive(df: DataFrame) -> DataFrame:
-    """Instants as zone-less UTC timestamps, the type the source tables use."""
-    return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
-                       if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
-                       for f in df.schema.fields])
+def plain(df: DataFrame) -> DataFrame:
+    """Instants as zone-less UTC timestamps, the type the source tables use, and days as text."""
+    shown = {"timestamp": "timestamp_ntz", "date": "string"}
+    return df.select(*[F.col(name).cast(shown[kind]).alias(name) if kind in shown else F.col(name)
+                       for name, kind in df.dtypes])
 
 
 # -- inputs -------------------------------------------------------------------------------------
@@ -162,14 +161,16 @@ BATCH: dict[str, Query] = {
     "login_fail_two_step": lambda s, d: logins.fail_two_step(_logins(s, d), LOGIN_WITHIN),
     "order_pay_match": lambda s, d: orders.pay_matches(_orders(s, d), PAY_WITHIN),
     "order_pay_timeout": lambda s, d: orders.pay_timeouts(_orders(s, d), PAY_WITHIN),
-    "order_status": lambda s, d: orders.order_status(_orders(s, d), PAY_WITHIN),
+    "order_status": lambda s, d: orders.order_status(_orders(s, d), PAY_WITHIN)
+        .select("order_id", "create_ts", "pay_ts", "status"),
     "order_late_payment": lambda s, d: orders.late_payments(_orders(s, d), PAY_WITHIN),
     "pay_receipt_interval_join": lambda s, d: reconcile.interval_join(*_pay_receipt(s, d), EARLY, LATE),
-    "pay_receipt_reconcile": lambda s, d: reconcile.reconcile(*_pay_receipt(s, d), EARLY, LATE),
+    "pay_receipt_reconcile": lambda s, d: reconcile.reconcile(*_pay_receipt(s, d), EARLY, LATE)
+        .select("tx_id", "pay_ts", "receipt_ts", "status"),
     "pay_without_receipt": lambda s, d: reconcile.pay_without_receipt(*_pay_receipt(s, d), EARLY, LATE),
     "receipt_without_pay": lambda s, d: reconcile.receipt_without_pay(*_pay_receipt(s, d), EARLY, LATE),
 }
 
 
 def batch_queries() -> dict[str, Query]:
-    return {name: (lambda s, d, q=q: naive(q(s, d))) for name, q in BATCH.items()}
+    return {name: (lambda s, d, q=q: plain(q(s, d))) for name, q in BATCH.items()}

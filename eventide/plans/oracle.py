@@ -54,6 +54,8 @@ FROM (SELECT *, {_ITEM} % 2 AS ad_id, CAST(ts + INTERVAL '8 hours' AS DATE) AS d
       FROM {source} WHERE event_type = 'click') AS c"""
 
 
+_DAY_TEXT = "strftime(day, '%Y-%m-%d') AS day"
+
 _LOGINS = f"""SELECT user_id, event_id, ts, {_LOGIN} AS kind FROM events"""
 
 
@@ -123,14 +125,14 @@ states AS (SELECT item_id, pane + 1 + k AS win, s.step, count(*) AS cnt
   GROUP BY ALL),
 ranked AS (SELECT * FROM (SELECT *, row_number() OVER (
     PARTITION BY win, step ORDER BY cnt DESC, item_id) AS rk FROM states) AS r WHERE rk <= 5),
-added AS (SELECT a.win, a.step AS at, '+' AS change, a.rk, a.item_id, a.cnt FROM ranked AS a
+added AS (SELECT a.win, a.step AS shown, '+' AS change, a.rk, a.item_id, a.cnt FROM ranked AS a
   WHERE NOT EXISTS (SELECT 1 FROM ranked AS b WHERE b.win = a.win AND b.step = a.step - 1
     AND b.item_id = a.item_id AND b.rk = a.rk AND b.cnt = a.cnt)),
-dropped AS (SELECT a.win, a.step + 1 AS at, '-' AS change, a.rk, a.item_id, a.cnt FROM ranked AS a
+dropped AS (SELECT a.win, a.step + 1 AS shown, '-' AS change, a.rk, a.item_id, a.cnt FROM ranked AS a
   WHERE a.step + 1 < a.win AND NOT EXISTS (SELECT 1 FROM ranked AS b WHERE b.win = a.win
     AND b.step = a.step + 1 AND b.item_id = a.item_id AND b.rk = a.rk AND b.cnt = a.cnt))
 SELECT {_EPOCH} + win * INTERVAL '5 minutes' AS window_end,
-       {_EPOCH} + (at + 1) * INTERVAL '5 minutes' AS as_of, change, CAST(rk AS INTEGER) AS rank, item_id, cnt
+       {_EPOCH} + (shown + 1) * INTERVAL '5 minutes' AS as_of, change, CAST(rk AS INTEGER) AS rank, item_id, cnt
 FROM (SELECT * FROM added UNION ALL SELECT * FROM dropped) AS c"""
 
 ORACLE: dict[str, str] = {
@@ -176,9 +178,9 @@ s AS (SELECT *, row_number() OVER (PARTITION BY window_end, user_id ORDER BY ts,
 SELECT event_id, window_end, CAST(sum(CASE WHEN visit = 1 THEN 1 ELSE 0 END) OVER (
     PARTITION BY window_end ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS uv FROM s""",
     "channel_behavior_hop_count": _runs("channel, behavior", _CHANNELS, 3600, 5),
-    "ad_click_capped": f"""SELECT event_id, ts, user_id, ad_id, day, CAST(rn AS INTEGER) AS nth
+    "ad_click_capped": f"""SELECT event_id, ts, user_id, ad_id, {_DAY_TEXT}, CAST(rn AS INTEGER) AS nth
 FROM ({_clicks()}) AS c WHERE rn < 2""",
-    "ad_blacklist": f"""SELECT user_id, ad_id, day, ts AS alert_ts, 'blacklisted' AS warning
+    "ad_blacklist": f"""SELECT user_id, ad_id, {_DAY_TEXT}, ts AS alert_ts, 'blacklisted' AS warning
 FROM ({_clicks()}) AS c WHERE rn = 2""",
     "ad_clicks_by_province": _runs(
         "province", f"SELECT ts, n_name AS province FROM ({_clicks('n_name,', _PROVINCE)}) AS c WHERE rn < 2",
@@ -192,11 +194,11 @@ WHERE kind = 'fail' AND prev_kind = 'fail' AND ts - first_ts <= INTERVAL '12 hou
     "login_fail_two_step": _fail_run(2, "12 hours"),
     "order_pay_match": f"{_FIRST_PAY} SELECT * FROM f WHERE pay_ts IS NOT NULL",
     "order_pay_timeout": f"{_FIRST_PAY} SELECT order_id, create_id, create_ts FROM f WHERE pay_ts IS NULL",
-    "order_status": f"{_STATUS} SELECT * FROM status",
+    "order_status": f"{_STATUS} SELECT order_id, create_ts, pay_ts, status FROM status",
     "order_late_payment": f"{_STATUS} SELECT order_id, pay_id, pay_ts FROM status WHERE status = 'late_or_orphan'",
     "pay_receipt_interval_join": f"""SELECT p.tx_id, pay_id, pay_ts, receipt_id, receipt_ts
 FROM ({_PAY}) AS p JOIN ({_RECEIPT}) AS r ON {_IN_REACH}""",
-    "pay_receipt_reconcile": f"""SELECT coalesce(p.tx_id, r.tx_id) AS tx_id, pay_id, pay_ts, receipt_id, receipt_ts,
+    "pay_receipt_reconcile": f"""SELECT coalesce(p.tx_id, r.tx_id) AS tx_id, pay_ts, receipt_ts,
        CASE WHEN receipt_id IS NULL THEN 'pay_only' WHEN pay_id IS NULL THEN 'receipt_only'
             ELSE 'matched' END AS status
 FROM ({_PAY}) AS p FULL OUTER JOIN ({_RECEIPT}) AS r ON {_IN_REACH}""",
