@@ -207,3 +207,18 @@ WHERE NOT EXISTS (SELECT 1 FROM ({_RECEIPT}) AS r WHERE {_IN_REACH})""",
     "receipt_without_pay": f"""SELECT r.tx_id, receipt_id, receipt_ts FROM ({_RECEIPT}) AS r
 WHERE NOT EXISTS (SELECT 1 FROM ({_PAY}) AS p WHERE {_IN_REACH})""",
 }
+
+# A streaming twin must end with the rows of its batch query.
+ORACLE |= {twin: ORACLE[batch] for twin, batch in {
+    "stream_pv": "pv_hourly",
+    "stream_uv": "uv_hourly",
+    "stream_hot_items_topn": "hot_items_topn",
+    "stream_hot_urls": "hot_urls_topn",
+    "stream_ad_clicks_by_province": "ad_clicks_by_province",
+    "stream_login_fail": "login_fail_episode",
+    "stream_order_status": "order_status",
+    "stream_reconcile": "pay_receipt_reconcile",
+}.items()}
+ORACLE["stream_ad_guard"] = f"""SELECT user_id, ad_id, {_DAY_TEXT}, ts,
+       CASE WHEN rn < 2 THEN 'kept' ELSE 'blacklisted' END AS status
+FROM ({_clicks()}) AS c WHERE rn <= 2"""
