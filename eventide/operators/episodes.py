@@ -16,7 +16,7 @@ still does not need a user's whole history in one task:
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import timedelta
 
 import numpy as np
@@ -46,7 +46,7 @@ def fail_episodes(logins: DataFrame, within: timedelta = timedelta(seconds=2)) -
     is_long = F.col("last_t") > end
     single = (sessions.filter(~is_long & (F.col("n") >= MIN_FAILS) & (F.col("cancel_t") > end))
               .select("user_id", F.col("session_t").alias("first_t"), "last_t", "n"))
-    long_rows = fails.join(sessions.filter(is_long).select(*_SESSION), _SESSION, "left_semi")
+    long_rows = fails.join(sessions.filter(is_long).select(*_SESSION, "last_t"), _SESSION)
     return (single.unionByName(_long_sessions(long_rows, length))
             .select("user_id", F.timestamp_micros("first_t").alias("first_ts"),
                     F.timestamp_micros("last_t").alias("last_ts"), "n"))
@@ -79,11 +79,10 @@ def _session_rows(logins: DataFrame, within: timedelta) -> DataFrame:
                .rowsBetween(Window.unboundedPreceding, -1))
     begun = (placed.groupBy("user_id", "block").agg(F.max("start").alias("latest"))
              .select("user_id", "block", F.max("latest").over(earlier).alias("session")))
-    heads = (placed.filter(F.col("session").isNull()).select("user_id", "block", "t", "cancel_t")
-             .join(begun, ["user_id", "block"]))
-    whole = (placed.filter(F.col("session").isNotNull())
-             .select("user_id", "block", "t", "cancel_t", "session"))
-    return (whole.unionByName(heads)
+    # Both sides are already laid out by user and block, or small; no fail is sent again.
+    known = (placed.join(begun.withColumnRenamed("session", "begun"), ["user_id", "block"])
+             .withColumn("session", F.coalesce("session", "begun")))
+    return (known
             .groupBy("user_id", F.col("session.t").alias("session_t"),
                      F.col("session.event_id").alias("session_id"), "t")
             .agg(F.count(F.lit(1)).alias("n"), F.min("cancel_t").alias("cancel_t")))
@@ -91,21 +90,27 @@ def _session_rows(logins: DataFrame, within: timedelta) -> DataFrame:
 
 def _long_sessions(rows: DataFrame, length: int) -> DataFrame:
     size = length * CHUNK_EPISODES
+    key = [*_SESSION, "chunk"]
+    user = rows.schema["user_id"].dataType.simpleString()
+    ids = f"user_id {user}, session_t bigint, session_id bigint"
     since = F.col("t") - F.col("session_t")
     home = bucket(since, size)
     also = F.greatest(bucket(since - 2 * length, size), F.lit(0))
-    chunked = (rows.withColumn("chunk", F.explode(F.sequence(also, home)))
+    many = F.col("last_t") - F.col("session_t") >= size
+    chunked = (rows.withColumn("many", many)
+               .withColumn("chunk", F.explode(F.sequence(F.when(many, also).otherwise(home), home)))
                .withColumn("own", F.col("chunk") == home))
-    key = [*_SESSION, "chunk"]
-    id_type = rows.schema["user_id"].dataType.simpleString()
-    ids = f"user_id {id_type}, session_t bigint, session_id bigint"
-
-    exits = chunked.groupBy(*key).applyInPandas(
+    exits = chunked.filter("many").groupBy(*key).applyInPandas(
         _chunk_exits(length, size), f"{ids}, chunk bigint, low bigint, high bigint, leaves bigint")
     entries = exits.groupBy(*_SESSION).applyInPandas(
         _follow(size), f"{ids}, chunk bigint, entry bigint")
-    return chunked.join(entries, key).groupBy(*key).applyInPandas(
-        _chunk_episodes(length), f"user_id {id_type}, first_t bigint, last_t bigint, n bigint")
+    # A session of one chunk is entered at its start; a chunk the chain never reaches has no entry.
+    parts = (chunked.join(entries, key, "left")
+             .withColumn("entry", F.when(F.col("many"), F.col("entry")).otherwise(F.col("session_t")))
+             .filter(F.col("entry").isNotNull()))
+    return (parts.select(*key, "t", "n", "cancel_t", "own", "entry")
+            .repartition(*key).sortWithinPartitions(*key, "t")
+            .mapInPandas(_list_episodes(length), f"user_id {user}, first_t bigint, last_t bigint, n bigint"))
 
 
 def _chunk_exits(length: int, size: int):
@@ -155,21 +160,51 @@ def _follow(size: int):
     return run
 
 
-def _chunk_episodes(length: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("t")
-        t, cancel = pdf["t"].to_numpy(), pdf["cancel_t"].to_numpy()
-        upto = np.r_[0, np.cumsum(pdf["n"].to_numpy())]
-        owned = int(pdf["own"].sum())
-        i = int(np.searchsorted(t, pdf["entry"].iloc[0]))
-        found = []
-        while i < owned:
-            j = int(np.searchsorted(t, t[i] + length, side="right"))
-            n = int(upto[j] - upto[i])
-            if n >= MIN_FAILS and cancel[j - 1] > t[i] + length:
-                found.append((t[i], t[j - 1], n))
-            i = j
-        out = pd.DataFrame(found, columns=["first_t", "last_t", "n"])
-        out.insert(0, "user_id", pdf["user_id"].iloc[0])
-        return out
+def _list_episodes(length: int):
+    """Follows the chains of many chunks at once; the rows come sorted by chunk and time, and a chunk
+    cut by a batch boundary waits for its rest."""
+    key = [*_SESSION, "chunk"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            last = (pdf[key] == pdf[key].iloc[-1]).all(axis=1).to_numpy()
+            cut = len(pdf) - int(last.sum())
+            if cut == 0 and (not held or (held[-1][key].iloc[-1] == pdf[key].iloc[0]).all()):
+                held.append(pdf)
+                continue
+            yield _episodes_of(pd.concat([*held, pdf.iloc[:cut]]), key, length)
+            held = [pdf.iloc[cut:]]
+        if held:
+            yield _episodes_of(pd.concat(held), key, length)
     return run
+
+
+def _episodes_of(pdf: pd.DataFrame, key: list[str], length: int) -> pd.DataFrame:
+    new = (pdf[key] != pdf[key].shift()).any(axis=1).to_numpy()
+    group = np.cumsum(new) - 1
+    first = np.flatnonzero(new)
+    stop = np.r_[first[1:], len(pdf)]
+    t, own, cancel = (pdf[c].to_numpy() for c in ("t", "own", "cancel_t"))
+    upto = np.r_[0, np.cumsum(pdf["n"].to_numpy())]
+    # Lay the chunks end to end, too far apart for an episode to reach from one into the next.
+    base = t[first]
+    stride = int((t - base[group]).max()) + length + 1
+    line = group * stride + (t - base[group])
+    following = np.searchsorted(line, line + length, side="right")
+    entry = pdf["entry"].to_numpy()[first]
+    at = np.searchsorted(line, np.arange(len(first)) * stride + (entry - base))
+    starts = []
+    while len(at):
+        at = at[own[at]]
+        starts.append(at)
+        after = following[at]
+        at = after[after < stop[group[at]]]
+    i = np.sort(np.concatenate(starts))
+    j = following[i]
+    n = upto[j] - upto[i]
+    keep = (n >= MIN_FAILS) & (cancel[j - 1] > t[i] + length)
+    i, j, n = i[keep], j[keep], n[keep]
+    return pd.DataFrame({"user_id": pdf["user_id"].to_numpy()[i], "first_t": t[i], "last_t": t[j - 1], "n": n})
