@@ -13,8 +13,7 @@ from eventide.streaming import aggregates, joins, keyed, runner
 
 
 def _replay(spark, sf_dir, *event_types):
-    own = runner.stream_session(spark)
-    return own, runner.replay(own, sf_dir, list(event_types))
+    return runner.Replay(runner.stream_session(spark), sf_dir, list(event_types))
 
 
 def _without_flush(df, key="user_id"):
@@ -26,18 +25,19 @@ def _page_views(ev):
 
 
 def pv(spark, sf_dir):
-    _, ev = _replay(spark, sf_dir, "view")
-    return runner.collect_appended(aggregates.pv(_page_views(ev)), "pv")
+    replay = _replay(spark, sf_dir, "view")
+    return runner.collect_appended(replay, aggregates.pv(_page_views(replay.events)), "pv")
 
 
 def uv(spark, sf_dir):
-    _, ev = _replay(spark, sf_dir, "view")
-    return runner.collect_appended(aggregates.uv(_page_views(ev)), "uv")
+    replay = _replay(spark, sf_dir, "view")
+    return runner.collect_appended(replay, aggregates.uv(_page_views(replay.events)), "uv")
 
 
 def hot_items_topn(spark, sf_dir):
-    own, ev = _replay(spark, sf_dir, "view")
-    return aggregates.hot_items(own, _page_views(ev))
+    replay = _replay(spark, sf_dir, "view")
+    counts = aggregates.hop_counts(_page_views(replay.events), "item_id", "1 hour", "5 minutes")
+    return runner.collect_appended(replay, counts, "hot-items", aggregates.rank_closed())
 
 
 def hot_urls(spark, sf_dir):
@@ -49,8 +49,9 @@ def hot_urls(spark, sf_dir):
 
 
 def ad_guard(spark, sf_dir):
-    _, ev = _replay(spark, sf_dir, "click")
-    guarded = runner.collect_appended(keyed.capped_clicks(tables.ad_clicks(ev), CAP), "ad-guard")
+    replay = _replay(spark, sf_dir, "click")
+    guarded = runner.collect_appended(replay, keyed.capped_clicks(tables.ad_clicks(replay.events), CAP),
+                                      "ad-guard")
     return _without_flush(guarded).select("user_id", "ad_id", "day", "ts", "status")
 
 
@@ -62,22 +63,23 @@ def ad_guard_by_province(spark, sf_dir):
 
 
 def login_fail(spark, sf_dir):
-    _, ev = _replay(spark, sf_dir, "error", "view")
-    alerts = keyed.fail_episodes(tables.logins(ev), LOGIN_WITHIN)
-    return _without_flush(runner.collect_appended(alerts, "login-fail"))
+    replay = _replay(spark, sf_dir, "error", "view")
+    alerts = keyed.fail_episodes(tables.logins(replay.events), LOGIN_WITHIN)
+    return _without_flush(runner.collect_appended(replay, alerts, "login-fail"))
 
 
 def order_status(spark, sf_dir):
-    _, ev = _replay(spark, sf_dir, "signup", "purchase")
-    status = keyed.order_status(tables.orders(ev), PAY_WITHIN)
-    return (_without_flush(runner.collect_appended(status, "order-status"), "order_id")
+    replay = _replay(spark, sf_dir, "signup", "purchase")
+    status = keyed.order_status(tables.orders(replay.events), PAY_WITHIN)
+    return (_without_flush(runner.collect_appended(replay, status, "order-status"), "order_id")
             .select("order_id", "create_ts", "pay_ts", "status"))
 
 
 def reconcile(spark, sf_dir):
-    _, ev = _replay(spark, sf_dir, "purchase", "click")
+    replay = _replay(spark, sf_dir, "purchase", "click")
+    ev = replay.events
     joined = joins.reconcile(tables.payments(ev), tables.receipts(ev), EARLY, LATE)
-    return (_without_flush(runner.collect_appended(joined, "reconcile"), "tx_id")
+    return (_without_flush(runner.collect_appended(replay, joined, "reconcile"), "tx_id")
             .select("tx_id", "pay_ts", "receipt_ts", "status"))
 
 

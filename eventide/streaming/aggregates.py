@@ -38,11 +38,10 @@ def hop_counts(events: DataFrame, key: str, size: str, slide: str, delay: str =
             .select(F.col("w.end").alias("window_end"), key, "cnt"))
 
 
-def hot_items(spark: SparkSession, page_views: DataFrame, size: str = "1 hour", slide: str = "5 minutes",
-              n: int = DEFAULT_N) -> DataFrame:
-    """A window's counts all close in the same micro-batch, so each batch ranks whole windows."""
-    counts = hop_counts(page_views, "item_id", size, slide)
-    return runner.collect_appended(counts, "hot-items", lambda batch: top_n(batch, "item_id", n))
+def rank_closed(n: int = DEFAULT_N, key: str = "item_id"):
+    """Batch step that ranks closed counts: all counts of a window close in one micro-batch, so each
+    batch holds whole windows."""
+    return lambda batch: top_n(batch, key, n)
 
 
 # Panes are filed by stretches of this many window lengths: one day for ten-minute windows.

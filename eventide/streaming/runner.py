@@ -40,22 +40,30 @@ def events_stream(spark: SparkSession, folder: str, pattern: str = "events.parqu
     return reader.parquet(folder)
 
 
-def with_flush(stream: DataFrame, event_types: list[str]) -> DataFrame:
-    """A finite replay: one far-future row per event type lets the watermark pass the real rows, the
-    way the end of a bounded input closes every window."""
-    spark = stream.sparkSession
-    path = durable_dir(spark, "flush")
-    rows = [(FLUSH_USER, kind) for kind in event_types]
-    fixed = {"ts": F.lit(_FLUSH_AT), "user_id": F.lit(FLUSH_USER), "event_type": F.col("kind"),
-             "event_id": F.lit(-1), "props": F.lit('{"k": 0}')}
-    (spark.createDataFrame(rows, "user_id bigint, kind string")
-     .select(*[fixed.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in stream.schema])
-     .coalesce(1).write.parquet(path))
-    return stream.unionByName(spark.readStream.schema(stream.schema).parquet(path))
+class Replay:
+    """A finite replay of event files.
+
+    `end()` adds one far-future row per event type, which lets the watermark pass all real rows, the
+    way the end of a bounded input closes every window. It is to be called once the files have been
+    processed: a row that far ahead makes everything after it late.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, event_types: list[str], **options):
+        raw = events_stream(spark, folder, **options)
+        self._schema, self._types = raw.schema, event_types
+        self._spark, self._path = spark, durable_dir(spark, "flush")
+        self._rows([]).write.parquet(self._path)
+        self.events = instants(raw.unionByName(spark.readStream.schema(raw.schema).parquet(self._path)))
 
+    def end(self) -> None:
+        self._rows(self._types).coalesce(1).write.mode("append").parquet(self._path)
 
-def replay(spark: SparkSession, folder: str, event_types: list[str], **options) -> DataFrame:
-    return instants(with_flush(events_stream(spark, folder, **options), event_types))
+    def _rows(self, event_types: list[str]) -> DataFrame:
+        fixed = {"ts": F.lit(_FLUSH_AT), "user_id": F.lit(FLUSH_USER), "event_type": F.col("kind"),
+                 "event_id": F.lit(-1), "props": F.lit('{"k": 0}')}
+        return (self._spark.createDataFrame([(kind,) for kind in event_types], "kind string")
+                .select(*[fixed.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+                          for f in self._schema]))
 
 
 def append_batches(path: str, transform: Callable[[DataFrame], DataFrame] | None = None):
@@ -75,10 +83,13 @@ def run(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: s
     query.awaitTermination()
 
 
-def collect_appended(stream: DataFrame, label: str,
+def collect_appended(replay: Replay, stream: DataFrame, label: str,
                      transform: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Runs an append-mode stream to the end and returns what it wrote."""
+    """Runs an append-mode stream over a replay to its end and returns what it wrote."""
     spark = stream.sparkSession
     home = durable_dir(spark, label)
-    run(stream, append_batches(f"{home}/out", transform), f"{home}/checkpoint")
+    sink = append_batches(f"{home}/out", transform)
+    run(stream, sink, f"{home}/checkpoint")
+    replay.end()
+    run(stream, sink, f"{home}/checkpoint")
     return spark.read.parquet(f"{home}/out").drop("batch_id")
