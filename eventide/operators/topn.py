@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventide.functions.eventtime import bucket, instant, micros
-from eventide.operators.windows import SIZES_PER_BLOCK, _panes_per_window, pane_counts
+from eventide.operators.windows import SIZES_PER_BLOCK, key_runs, pane_counts, panes_per_window
 
 DEFAULT_N = 5
 
+# Segments in one window length; see contenders.
+SEGMENTS_PER_WINDOW = 4
+
 # Fixed report formats: rule around the header, and the texts around the rank, the key and the count
 ITEM_REPORT = {"rule": "=" * 13, "top": "Top", "key": " ItemId:", "count": " Count:"}
 URL_REPORT = {"rule": "=" * 11, "top": "Top ", "key": " URL:", "count": " Count:"}
@@ -29,6 +32,45 @@ def top_n(counts: DataFrame, key: str, n: int = DEFAULT_N, window: str = "window
             .select(window, "rank", key, "cnt"))
 
 
+def top_n_hop(events: DataFrame, key: str, size: timedelta, slide: timedelta,
+              n: int = DEFAULT_N) -> DataFrame:
+    """Top-N of every sliding window."""
+    runs = key_runs(events, [key], size, slide)
+    return top_n(contenders(runs, key, panes_per_window(size, slide), slide, n), key, n)
+
+
+def contenders(runs: DataFrame, key: str, per_window: int, slide: timedelta, n: int) -> DataFrame:
+    """Counts per key and window, without the keys that cannot be among a window's n largest.
+
+    Runs are cut into segments of a few windows. If n keys hold at least `low` rows in every window of
+    a segment, a key that never holds more than that there is behind all of them in each window, and is
+    dropped before its windows are unrolled. Equal counts are settled by key, as in the ranking itself,
+    so the result is exact.
+    """
+    length = max(1, per_window // SEGMENTS_PER_WINDOW)
+    width = F.lit(length).cast("long")
+    segments = F.sequence(bucket(F.col("first"), length), bucket(F.col("until") - 1, length))
+    parts = runs.withColumn("segment", F.explode(segments)).select(
+        key, "block", "segment", "cnt", F.greatest("first", F.col("segment") * width).alias("first"),
+        F.least("until", (F.col("segment") + 1) * width).alias("until"))
+    # Laid out by (key, block) already: no shuffle for these.
+    mine = Window.partitionBy(key, "block", "segment")
+    covered = F.sum(F.col("until") - F.col("first")).over(mine)
+    parts = parts.select("*", F.max("cnt").over(mine).alias("high"),
+                         F.when(covered == length, F.min("cnt").over(mine)).alias("low"))
+    # The n-th best sure count of each segment: n rows per segment leave a task, one is kept.
+    best = Window.partitionBy("segment").orderBy(F.col("low").desc(), F.col(key))
+    bars = (parts.filter(F.col("low").isNotNull() & (F.col("first") == F.col("segment") * width))
+            .withColumn("place", F.row_number().over(best)).filter(F.col("place") <= n)
+            .filter(F.col("place") == n)
+            .select("segment", F.col("low").alias("bar"), F.col(key).alias("bar_key")))
+    behind = (F.col("high") < F.col("bar")) | ((F.col("high") == F.col("bar")) & (F.col(key) > F.col("bar_key")))
+    return (parts.join(bars, "segment", "left")
+            .filter(~F.coalesce(behind, F.lit(False)))
+            .select(key, "cnt", F.explode(F.sequence(F.col("first"), F.col("until") - 1)).alias("end"))
+            .select(key, "cnt", instant(F.col("end"), micros(slide)).alias("window_end")))
+
+
 def report(ranked: DataFrame, key: str, style: dict = ITEM_REPORT) -> DataFrame:
     """One text per window: a header with the window's end, then one line per rank."""
     line = F.concat(F.lit(style["top"]), F.col("rank"), F.lit(style["key"]), F.col(key),
@@ -69,7 +111,7 @@ def top_n_changelog(events: DataFrame, key: str, size: timedelta, slide: timedel
     `as_of` steps through the panes of a window. At each step the rows that left the top-N or changed
     rank or count are retracted ('-') and the rows that took their place are added ('+').
     """
-    per_window = _panes_per_window(size, slide)
+    per_window = panes_per_window(size, slide)
     block = per_window * SIZES_PER_BLOCK
     panes = pane_counts(events, [key], slide)
     # A pane is part of the windows ending per_window panes ahead, which lie in at most two blocks.

@@ -39,13 +39,13 @@ def pane_counts(events: DataFrame, keys: list[str], slide: timedelta) -> DataFra
     return events.groupBy(*keys, pane.alias("pane")).agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def _panes_per_window(size: timedelta, slide: timedelta) -> int:
+def panes_per_window(size: timedelta, slide: timedelta) -> int:
     if slide <= timedelta(0) or size % slide:
         raise ValueError("window size must be a multiple of the slide")
     return size // slide
 
 
-def _runs(panes: DataFrame, keys: list[str], per_window: int) -> DataFrame:
+def runs_of_panes(panes: DataFrame, keys: list[str], per_window: int) -> DataFrame:
     """(keys, block, first, until, cnt): windows ending at panes first .. until-1 hold cnt rows."""
     block = per_window * SIZES_PER_BLOCK
     width = F.lit(block).cast("long")
@@ -82,20 +82,20 @@ def hop_runs(events: DataFrame, keys: list[str], size: timedelta, slide: timedel
     Lossless, and its volume follows the number of rows, not size / slide.
     """
     step = micros(slide)
-    runs = _runs(pane_counts(events, keys, slide), keys, _panes_per_window(size, slide))
+    runs = key_runs(events, keys, size, slide)
     return runs.select(*keys, instant(F.col("first"), step).alias("first_window_end"),
                        instant(F.col("until") - 1, step).alias("last_window_end"),
                        (F.col("until") - F.col("first")).alias("windows"), "cnt")
 
 
-def hop_counts(events: DataFrame, keys: list[str], size: timedelta, slide: timedelta) -> DataFrame:
-    """Sliding count, one row per key and window. Runs are unrolled after the last shuffle."""
-    return hop_counts_from_panes(pane_counts(events, keys, slide), keys, size, slide)
+def key_runs(events: DataFrame, keys: list[str], size: timedelta, slide: timedelta) -> DataFrame:
+    """The runs in pane numbers: windows ending at panes first .. until-1 hold cnt rows."""
+    return runs_of_panes(pane_counts(events, keys, slide), keys, panes_per_window(size, slide))
 
 
-def hop_counts_from_panes(panes: DataFrame, keys: list[str], size: timedelta,
-                          slide: timedelta) -> DataFrame:
-    runs = _runs(panes, keys, _panes_per_window(size, slide))
+def hop_counts(events: DataFrame, keys: list[str], size: timedelta, slide: timedelta) -> DataFrame:
+    """Sliding count, one row per key and window. Runs are unrolled after the last shuffle."""
+    runs = key_runs(events, keys, size, slide)
     ends = F.explode(F.sequence(F.col("first"), F.col("until") - 1))
     return (runs.select(*keys, "cnt", ends.alias("end"))
             .select(*keys, instant(F.col("end"), micros(slide)).alias("window_end"), "cnt"))

@@ -120,11 +120,7 @@ def _hot_item_counts(spark, d):
 
 
 def hot_items_topn(spark, d):
-    return topn.top_n(_hot_item_counts(spark, d), "item_id")
-
-
-def _hot_url_counts(spark, d):
-    return windows.hop_counts(_gets(spark, d), ["url"], td(minutes=10), FIVE_SECONDS)
+    return topn.top_n_hop(_page_views(spark, d), "item_id", HOUR, FIVE_MINUTES)
 
 
 BATCH: dict[str, Query] = {
@@ -142,7 +138,7 @@ BATCH: dict[str, Query] = {
     "topn_report": lambda s, d: topn.report(hot_items_topn(s, d), "item_id"),
     "topn_changelog": lambda s, d: topn.top_n_changelog(_page_views(s, d), "item_id", HOUR, FIVE_MINUTES),
     "hot_urls_hop_count": lambda s, d: windows.hop_runs(_gets(s, d), ["url"], td(minutes=10), FIVE_SECONDS),
-    "hot_urls_topn": lambda s, d: topn.top_n(_hot_url_counts(s, d), "url"),
+    "hot_urls_topn": lambda s, d: topn.top_n_hop(_gets(s, d), "url", td(minutes=10), FIVE_SECONDS),
     "pv_hourly": lambda s, d: windows.tumbling_count(_page_views(s, d), HOUR),
     "pv_hourly_salted": lambda s, d: windows.salted_tumbling_count(_page_views(s, d), HOUR, "event_id"),
     "uv_hourly": lambda s, d: uniques.uv(_page_views(s, d)),

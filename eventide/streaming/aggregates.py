@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.functions.eventtime import bucket, epoch_micros, micros
-from eventide.operators.topn import DEFAULT_N, top_n
-from eventide.operators.windows import hop_counts_from_panes
+from eventide.operators.topn import DEFAULT_N, contenders, top_n
+from eventide.operators.windows import panes_per_window, runs_of_panes
 from eventide.streaming import runner
 
 
@@ -59,10 +59,10 @@ class LateTopN:
     def __init__(self, spark: SparkSession, home: str, key: str, size: timedelta, slide: timedelta,
                  n: int = DEFAULT_N):
         self.spark, self.key, self.size, self.slide, self.n = spark, key, size, slide, n
-        self.panes, self.tops, self.home = f"{home}/panes", f"{home}/tops", home
-        self.per_window = size // slide
+        self.panes, self.tops = f"{home}/panes", f"{home}/tops"
+        self.per_window = panes_per_window(size, slide)
 
-    def _stretch(self, pane):
+    def _stretch(self, pane: Column) -> Column:
         return bucket(pane, self.per_window * STRETCH_WINDOWS)
 
     def pane_stream(self, events: DataFrame, delay: str) -> DataFrame:
@@ -72,27 +72,30 @@ class LateTopN:
                 .select(bucket(epoch_micros("w.start"), micros(self.slide)).alias("pane"), self.key, "cnt"))
 
     def absorb(self, batch: DataFrame, batch_id: int) -> None:
-        # A batch reads back only the stretches its windows reach into: file pruning by folder.
-        changed = batch.withColumn("stretch", self._stretch(F.col("pane")))
-        (changed.write.mode("overwrite").partitionBy("stretch")
-         .parquet(f"{self.panes}/batch_id={batch_id}"))
-        schema = f"pane bigint, {self.key} {batch.schema[self.key].dataType.simpleString()}, cnt bigint, " \
-                 "batch_id bigint, stretch bigint"
-        log = (self.spark.read.schema(schema).parquet(self.panes)
-               .filter(F.col("batch_id") <= batch_id))
+        # Filed by stretch, then batch: a batch reads only the stretches its windows reach into, and a
+        # batch run again replaces its own files.
+        (batch.select("*", self._stretch(F.col("pane")).alias("stretch"), F.lit(batch_id).alias("batch_id"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("stretch", "batch_id").parquet(self.panes))
+        schema = (f"pane bigint, {self.key} {batch.schema[self.key].dataType.simpleString()}, cnt bigint, "
+                  "stretch bigint, batch_id bigint")
+        log = self.spark.read.schema(schema).parquet(self.panes)
         changed = log.filter(F.col("batch_id") == batch_id)
-        # Windows ending one to per_window panes after a changed pane, and all the panes they cover.
-        reach = F.sequence(self._stretch(F.col("pane") - self.per_window),
-                           self._stretch(F.col("pane") + self.per_window))
-        near = changed.select(F.explode(reach).alias("stretch")).distinct()
-        current = (log.join(near, "stretch", "left_semi")
+        # Two numbers: the time range of this batch.
+        low, high = changed.agg(F.min(self._stretch(F.col("pane") - self.per_window)),
+                                F.max(self._stretch(F.col("pane") + self.per_window))).first()
+        if low is None:
+            return
+        current = (log.filter(F.col("stretch").between(low, high) & (F.col("batch_id") <= batch_id))
                    .groupBy(self.key, "pane").agg(F.max_by("cnt", "batch_id").alias("cnt")))
+        # The windows that cover a changed pane end one to per_window panes after it.
         step = F.lit(micros(self.slide)).cast("long")
         touched = (changed.select("pane").distinct()
                    .select(F.explode(F.sequence(F.col("pane") + 1, F.col("pane") + self.per_window))
                            .alias("end")).distinct()
                    .select(F.timestamp_micros(F.col("end") * step).alias("window_end")))
-        counts = hop_counts_from_panes(current, [self.key], self.size, self.slide)
+        runs = runs_of_panes(current, [self.key], self.per_window)
+        counts = contenders(runs, self.key, self.per_window, self.slide, self.n)
         (top_n(counts.join(touched, "window_end", "left_semi"), self.key, self.n)
          .write.mode("overwrite").parquet(f"{self.tops}/batch_id={batch_id}"))
 

@@ -60,3 +60,25 @@ def test_changelog_replays_to_the_final_top_n(spark):
         final[r["window_end"]].add((r["rank"], r["item_id"], r["cnt"]))
     assert dict(shown) == dict(final)
     assert any(r["change"] == "-" for r in log)
+
+
+def test_dropping_hopeless_keys_changes_nothing(spark):
+    for seed, n, span, step, top in [(1, 2000, 1800, 1.0, 3), (2, 400, 3000, 5.0, 5), (3, 3000, 900, 0.5, 1)]:
+        ev = frame(spark, random_events(seed, n, 15, span, ["pv"], hot_share=0.3, step=step),
+                   "event_id bigint, item_id bigint, behavior string, s double")
+        for size, slide in [(600, 5), (60, 10), (70, 70)]:
+            size, slide = td(seconds=size), td(seconds=slide)
+            want = topn.top_n(windows.hop_counts(ev, ["item_id"], size, slide), "item_id", top)
+            got = topn.top_n_hop(ev, "item_id", size, slide, top)
+            assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_hopeless_keys_are_dropped_early(spark):
+    # Nine busy items and ninety-one rare ones: few of the rare ones' windows are unrolled.
+    rows = [(i, i % 9, "pv", i * 0.5) for i in range(7200)]
+    rows += [(10_000 + i, 100 + i % 91, "pv", i * 9.0) for i in range(400)]
+    ev = frame(spark, rows, "event_id bigint, item_id bigint, behavior string, s double")
+    size, slide = td(minutes=10), td(seconds=5)
+    every = windows.hop_counts(ev, ["item_id"], size, slide)
+    left = topn.contenders(windows.key_runs(ev, ["item_id"], size, slide), "item_id", 120, slide, 5)
+    assert left.filter("item_id >= 100").count() < every.filter("item_id >= 100").count() / 20
