@@ -68,7 +68,11 @@ def _session_rows(logins: DataFrame, within: timedelta) -> DataFrame:
                            F.when(success_next, F.lead("t").over(w)).otherwise(NEVER).alias("cancel_t"),
                            near(F.lag, lambda other: F.col("t") - other).alias("joins"),
                            near(F.lead, lambda other: other - F.col("t")).alias("goes_on"))
-               .filter(F.col("own") & (F.col("event_type") == FAIL) & (F.col("joins") | F.col("goes_on"))))
+               .filter(F.col("own") & (F.col("event_type") == FAIL) & (F.col("joins") | F.col("goes_on")))
+               # Few rows are left. An exchange here is shared by both uses below, which spares the
+               # second one sorting the whole log again. (In the order of the window's keys Spark
+               # would leave it out as needless.)
+               .repartition("block", "user_id"))
     start = F.when(~F.col("joins"), F.struct("t", "event_id"))
     so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = flagged.select("user_id", "block", "t", "cancel_t", start.alias("start"),
@@ -77,9 +81,10 @@ def _session_rows(logins: DataFrame, within: timedelta) -> DataFrame:
     # and block, whatever the number of fails in it.
     earlier = (Window.partitionBy("user_id").orderBy("block")
                .rowsBetween(Window.unboundedPreceding, -1))
-    begun = (placed.groupBy("user_id", "block").agg(F.max("start").alias("latest"))
-             .select("user_id", "block", F.max("latest").over(earlier).alias("session")))
-    # Both sides are already laid out by user and block, or small; no fail is sent again.
+    # The whole row rides along with its start: were it pruned, the exchange could not be shared.
+    latest = F.max(F.struct("start", "t", "cancel_t"))
+    begun = (placed.groupBy("user_id", "block").agg(latest.alias("latest"))
+             .select("user_id", "block", F.max("latest").over(earlier)["start"].alias("session")))
     known = (placed.join(begun.withColumnRenamed("session", "begun"), ["user_id", "block"])
              .withColumn("session", F.coalesce("session", "begun")))
     return (known

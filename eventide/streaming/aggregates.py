@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,14 +80,19 @@ class LateTopN:
          .partitionBy("stretch", "batch_id").parquet(self.panes))
         schema = (f"pane bigint, {self.key} {batch.schema[self.key].dataType.simpleString()}, cnt bigint, "
                   "stretch bigint, batch_id bigint")
-        log = self.spark.read.schema(schema).parquet(self.panes)
-        changed = log.filter(F.col("batch_id") == batch_id)
-        # Two numbers: the time range of this batch.
+        reader = self.spark.read.schema(schema).option("basePath", self.panes)
+        try:
+            changed = reader.parquet(f"{self.panes}/stretch=*/batch_id={batch_id}")
+        except AnalysisException as missing:
+            if missing.getCondition() == "PATH_NOT_FOUND":
+                return  # the batch changed nothing
+            raise
+        # Two numbers, the time range of this batch: only its folders are listed and read.
         low, high = changed.agg(F.min(self._stretch(F.col("pane") - self.per_window)),
                                 F.max(self._stretch(F.col("pane") + self.per_window))).first()
-        if low is None:
-            return
-        current = (log.filter(F.col("stretch").between(low, high) & (F.col("batch_id") <= batch_id))
+        near = ",".join(str(stretch) for stretch in range(low, high + 1))
+        current = (reader.parquet(f"{self.panes}/stretch={{{near}}}")
+                   .filter(F.col("batch_id") <= batch_id)
                    .groupBy(self.key, "pane").agg(F.max_by("cnt", "batch_id").alias("cnt")))
         # The windows that cover a changed pane end one to per_window panes after it.
         step = F.lit(micros(self.slide)).cast("long")
