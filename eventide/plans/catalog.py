@@ -39,11 +39,11 @@ def _behaviour(spark, d):
 
 
 def _page_views(spark, d):
-    return filters.page_views(_behaviour(spark, d))
+    return filters.page_views(tables.behaviour(tables.views(tables.events(spark, d))))
 
 
 def _gets(spark, d):
-    return filters.get_requests(tables.access_log(tables.events(spark, d)))
+    return filters.get_requests(tables.access_log(tables.requests(tables.events(spark, d))))
 
 
 def _logins(spark, d):
@@ -63,9 +63,8 @@ def _clicks(spark, d):
     return tables.ad_clicks(tables.events(spark, d))
 
 
-def _clicks_with_province(spark, d):
-    return tables.add_province(_clicks(spark, d), tables.table(spark, d, "customer"),
-                               tables.table(spark, d, "nation"))
+def _with_province(spark, d, clicks):
+    return tables.add_province(clicks, tables.table(spark, d, "customer"), tables.table(spark, d, "nation"))
 
 
 # -- log scans: events written as text lines, then parsed back ------------------------------------
@@ -101,7 +100,7 @@ def _receipt_lines(spark, d):
 
 
 def _ad_lines(spark, d):
-    c = _clicks_with_province(spark, d)
+    c = _with_province(spark, d, _clicks(spark, d))
     city = F.concat(F.lit("city-"), F.col("user_id") % 10)
     return _lines(c, ",", F.col("user_id"), F.col("ad_id"), F.col("province"), city, _seconds())
 
@@ -149,8 +148,9 @@ BATCH: dict[str, Query] = {
         tables.channel_behaviour(tables.events(s, d)), ["channel", "behavior"], HOUR, FIVE_SECONDS),
     "ad_click_capped": lambda s, d: fraud.capped_clicks(_clicks(s, d), CAP),
     "ad_blacklist": lambda s, d: fraud.blacklist(_clicks(s, d), CAP),
-    "ad_clicks_by_province": lambda s, d: fraud.clicks_by_province(
-        _clicks_with_province(s, d), CAP, HOUR, FIVE_SECONDS),
+    # Capped before the join: a user clicking without end adds only a few rows to it.
+    "ad_clicks_by_province": lambda s, d: windows.hop_runs(
+        _with_province(s, d, fraud.capped_clicks(_clicks(s, d), CAP)), ["province"], HOUR, FIVE_SECONDS),
     "login_fail_pair": lambda s, d: logins.fail_pairs(_logins(s, d), LOGIN_WITHIN),
     "login_fail_episode": lambda s, d: episodes.fail_episodes(_logins(s, d), LOGIN_WITHIN),
     "login_fail_run": lambda s, d: logins.fail_runs(_logins(s, d), RUN_LENGTH, RUN_WITHIN),

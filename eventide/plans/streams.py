@@ -21,7 +21,7 @@ def _without_flush(df, key="user_id"):
 
 
 def _page_views(ev):
-    return filters.page_views(tables.behaviour(ev))
+    return filters.page_views(tables.behaviour(tables.views(ev)))
 
 
 def pv(spark, sf_dir):
@@ -44,7 +44,7 @@ def hot_urls(spark, sf_dir):
     # Update mode reports open windows too, so nothing has to be flushed.
     own = runner.stream_session(spark)
     ev = tables.instants(runner.events_stream(own, sf_dir))
-    gets = filters.get_requests(tables.access_log(ev))
+    gets = filters.get_requests(tables.access_log(tables.requests(ev)))
     return aggregates.hot_urls(own, gets, durable_dir(own, "hot-urls")).latest()
 
 

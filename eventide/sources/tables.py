@@ -30,6 +30,17 @@ def item_id() -> Column:
     return F.regexp_extract("props", "[0-9]+", 0).cast("bigint")
 
 
+def views(ev: DataFrame) -> DataFrame:
+    """The events that become page views. Filtering the raw column, not the derived one, lets the
+    parquet scan skip row groups."""
+    return ev.filter(F.col("event_type") == "view")
+
+
+def requests(ev: DataFrame) -> DataFrame:
+    """The events that become GET requests."""
+    return ev.filter(F.col("event_type").isNull() | (F.col("event_type") != "error"))
+
+
 def behaviour(ev: DataFrame) -> DataFrame:
     kind = F.when(F.col("event_type") == "view", "pv").otherwise(F.col("event_type"))
     item = item_id()
