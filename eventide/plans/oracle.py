@@ -222,3 +222,25 @@ ORACLE |= {twin: ORACLE[batch] for twin, batch in {
 ORACLE["stream_ad_guard"] = f"""SELECT user_id, ad_id, {_DAY_TEXT}, ts,
        CASE WHEN rn < 2 THEN 'kept' ELSE 'blacklisted' END AS status
 FROM ({_clicks()}) AS c WHERE rn <= 2"""
+
+# Each transaction's rows in time order, with the one row that waits (side, time) carried along.
+_STILL_WAITS = ("w_side IS NOT NULL AND kind <> w_side AND ts <= w_ts + CASE WHEN w_side = 'pay' "
+                "THEN INTERVAL '5 hours' ELSE INTERVAL '3 hours' END")
+ORACLE["stream_reconcile_one_to_one"] = f"""WITH RECURSIVE l AS (SELECT tx_id, ts, kind,
+    row_number() OVER (PARTITION BY tx_id ORDER BY ts, id) AS rn, count(*) OVER (PARTITION BY tx_id) AS total
+  FROM (SELECT user_id AS tx_id, ts, event_id AS id,
+    CASE WHEN event_type = 'purchase' THEN 'pay' ELSE 'receipt' END AS kind
+    FROM events WHERE event_type IN ('purchase', 'click')) AS x),
+walk AS (SELECT tx_id, rn, total, kind AS w_side, ts AS w_ts, CAST(NULL AS VARCHAR) AS status,
+    CAST(NULL AS TIMESTAMP) AS pay_ts, CAST(NULL AS TIMESTAMP) AS receipt_ts FROM l WHERE rn = 1
+  UNION ALL
+  SELECT l.tx_id, l.rn, l.total, CASE WHEN {_STILL_WAITS} THEN NULL ELSE kind END,
+    CASE WHEN {_STILL_WAITS} THEN NULL ELSE ts END,
+    CASE WHEN {_STILL_WAITS} THEN 'matched' WHEN w_side IS NOT NULL THEN w_side || '_only' END,
+    CASE WHEN w_side = 'pay' THEN w_ts WHEN {_STILL_WAITS} THEN ts END,
+    CASE WHEN w_side = 'receipt' THEN w_ts WHEN {_STILL_WAITS} THEN ts END
+  FROM walk JOIN l ON l.tx_id = walk.tx_id AND l.rn = walk.rn + 1)
+SELECT tx_id, pay_ts, receipt_ts, status FROM walk WHERE status IS NOT NULL
+UNION ALL
+SELECT tx_id, CASE WHEN w_side = 'pay' THEN w_ts END, CASE WHEN w_side = 'receipt' THEN w_ts END,
+  w_side || '_only' FROM walk WHERE rn = total AND w_side IS NOT NULL"""

@@ -83,6 +83,14 @@ def reconcile(spark, sf_dir):
             .select("tx_id", "pay_ts", "receipt_ts", "status"))
 
 
+def reconcile_one_to_one(spark, sf_dir):
+    replay = _replay(spark, sf_dir, "purchase", "click")
+    ev = replay.events
+    settled = keyed.reconcile_one_to_one(tables.payments(ev), tables.receipts(ev), EARLY, LATE)
+    return (_without_flush(runner.collect_appended(replay, settled, "one-to-one"), "tx_id")
+            .select("tx_id", "pay_ts", "receipt_ts", "status"))
+
+
 STREAMS: dict[str, Query] = {
     "stream_pv": pv,
     "stream_uv": uv,
@@ -93,6 +101,7 @@ STREAMS: dict[str, Query] = {
     "stream_login_fail": login_fail,
     "stream_order_status": order_status,
     "stream_reconcile": reconcile,
+    "stream_reconcile_one_to_one": reconcile_one_to_one,
 }
 
 

@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from eventide.functions.eventtime import epoch_micros, local_day, micros
+from eventide.operators import reconcile
 from eventide.operators.episodes import MIN_FAILS
 from eventide.operators.fraud import DAY_ZONE, DEFAULT_CAP
 from eventide.operators.orders import LATE, NO_PAY, PAID, PAY_WITHIN
+from eventide.operators.reconcile import MATCHED, PAY_ONLY, RECEIPT_ONLY
 
 KEPT, BLACKLISTED = "kept", "blacklisted"
 
@@ -159,6 +161,36 @@ class OrderStatus(InOrder):
         return None
 
 
+class OneToOne(InOrder):
+    """Each pay is used by one receipt at most. One row waits at a time: two rows of different sides
+    within reach match, and a second row of the waiting side takes the first one's place."""
+
+    memory_schema = "side string, id bigint, t bigint"
+    keys = ["tx_id"]
+    columns = ["pay_id", "pay_t", "receipt_id", "receipt_t", "status"]
+
+    def __init__(self, early: int, late: int):
+        # how long a row of each side waits for the other side
+        self.wait = {"pay": late, "receipt": early}
+
+    def step(self, memory, t, event_id, what, out):
+        if memory and (memory[0] == what or t > memory[2] + self.wait[memory[0]]):
+            memory = self.settle(memory, out)
+        if memory is None:
+            return (what, event_id, t)
+        pay, receipt = ((event_id, t), memory[1:]) if what == "pay" else (memory[1:], (event_id, t))
+        out.append((*pay, *receipt, MATCHED))
+        return None
+
+    def due(self, memory):
+        return memory[2] + self.wait[memory[0]] if memory else None
+
+    def settle(self, memory, out):
+        side, row, none = memory[0], memory[1:], (None, None)
+        out.append((*row, *none, PAY_ONLY) if side == "pay" else (*none, *row, RECEIPT_ONLY))
+        return None
+
+
 class ClickCap(InOrder):
     """Key (user, ad, local day), so a count ends with its day and needs no reset."""
 
@@ -207,6 +239,20 @@ def order_status(orders: DataFrame, within: timedelta = PAY_WITHIN, delay: str =
                     F.timestamp_micros("pay_t").alias("pay_ts"), "status"))
 
 
+def reconcile_one_to_one(pays: DataFrame, receipts: DataFrame, early: timedelta = reconcile.EARLY,
+                         late: timedelta = reconcile.LATE, delay: str = "0 seconds") -> DataFrame:
+    """Reconciliation for transaction ids that repeat: every row is used once."""
+    rows = (pays.select(F.col("pay_ts").alias("ts"), "tx_id", F.col("pay_id").alias("event_id"),
+                        F.lit("pay").alias("what"))
+            .unionByName(receipts.select(F.col("receipt_ts").alias("ts"), "tx_id",
+                                         F.col("receipt_id").alias("event_id"), F.lit("receipt").alias("what"))))
+    tx_type = rows.schema["tx_id"].dataType.simpleString()
+    return (_run(rows, OneToOne(micros(early), micros(late)), f"tx_id {tx_type}",
+                 "pay_id bigint, pay_t bigint, receipt_id bigint, receipt_t bigint, status string", delay)
+            .select("tx_id", "pay_id", F.timestamp_micros("pay_t").alias("pay_ts"), "receipt_id",
+                    F.timestamp_micros("receipt_t").alias("receipt_ts"), "status"))
+
+
 def capped_clicks(clicks: DataFrame, cap: int = DEFAULT_CAP, zone: str = DAY_ZONE,
                   delay: str = "0 seconds") -> DataFrame:
     """Kept clicks and blacklist alerts in one stream, told apart by `status`."""

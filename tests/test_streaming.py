@@ -122,6 +122,35 @@ def test_reconcile(spark, source):
     assert rows(got, *want.columns) == rows(want)
 
 
+def test_reconcile_one_to_one(spark, source):
+    folder, ev = source
+    early, late = 180, 300
+    play = replay(spark, folder, "purchase", "click")
+    settled = keyed.reconcile_one_to_one(tables.payments(play.events), tables.receipts(play.events),
+                                         td(seconds=early), td(seconds=late), LATE)
+    got = real(runner.collect_appended(play, settled, "t-one"), "tx_id")
+    want, waiting = [], {}
+
+    def alone(user):
+        side, event_id, _ = waiting.pop(user)
+        want.append((event_id, None, "pay_only") if side == "pay" else (None, event_id, "receipt_only"))
+
+    for r in sorted(ev.filter("event_type in ('purchase', 'click')").collect(), key=lambda r: (r["ts"], r["event_id"])):
+        user, side = r["user_id"], "pay" if r["event_type"] == "purchase" else "receipt"
+        other = waiting.get(user)
+        if other and (other[0] == side or r["ts"] - other[2] > td(seconds=late if other[0] == "pay" else early)):
+            alone(user)
+            other = None
+        if other:
+            del waiting[user]
+            want.append((*((r["event_id"], other[1]) if side == "pay" else (other[1], r["event_id"])), "matched"))
+        else:
+            waiting[user] = (side, r["event_id"], r["ts"])
+    for user in list(waiting):
+        alone(user)
+    assert rows(got, "pay_id", "receipt_id", "status") == sorted(want, key=str)
+
+
 def test_restart_continues_from_the_checkpoint(spark, tmp_path):
     """Half the order log, a stop, the other half: state and results carry over, nothing repeats."""
     folder, home = tmp_path / "in", tmp_path / "home"
