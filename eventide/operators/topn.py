@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventide.functions.eventtime import bucket, instant, micros
-from eventide.operators.windows import SIZES_PER_BLOCK, key_runs, pane_counts, panes_per_window
+from eventide.operators.windows import (SIZES_PER_BLOCK, hop_counts, key_runs, pane_counts,
+                                       panes_per_window)
 
 DEFAULT_N = 5
 
 # Segments in one window length; see contenders.
 SEGMENTS_PER_WINDOW = 4
 
+# With fewer windows over an event, unrolling them costs less than finding out which to leave out.
+CONTENDERS_FROM = 48
+
 # Fixed report formats: rule around the header, and the texts around the rank, the key and the count
 ITEM_REPORT = {"rule": "=" * 13, "top": "Top", "key": " ItemId:", "count": " Count:"}
 URL_REPORT = {"rule": "=" * 11, "top": "Top ", "key": " URL:", "count": " Count:"}
@@ -35,8 +39,10 @@ def top_n(counts: DataFrame, key: str, n: int = DEFAULT_N, window: str = "window
 def top_n_hop(events: DataFrame, key: str, size: timedelta, slide: timedelta,
               n: int = DEFAULT_N) -> DataFrame:
     """Top-N of every sliding window."""
-    runs = key_runs(events, [key], size, slide)
-    return top_n(contenders(runs, key, panes_per_window(size, slide), slide, n), key, n)
+    per_window = panes_per_window(size, slide)
+    if per_window < CONTENDERS_FROM:
+        return top_n(hop_counts(events, [key], size, slide), key, n)
+    return top_n(contenders(key_runs(events, [key], size, slide), key, per_window, slide, n), key, n)
 
 
 def contenders(runs: DataFrame, key: str, per_window: int, slide: timedelta, n: int) -> DataFrame:
