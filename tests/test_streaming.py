@@ -5,7 +5,7 @@ from datetime import timedelta as td
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import frame, random_events
+from conftest import frame, random_events, secs
 from eventide.operators import episodes, filters, fraud, orders, reconcile, topn, uniques, windows
 from eventide.sources import logs, tables
 from eventide.streaming import aggregates, joins, keyed, runner
@@ -80,6 +80,30 @@ def test_hot_urls_are_refined_by_late_rows(spark, source, tmp_path):
     assert rows(late.latest(), *want.columns) == rows(want)
 
 
+def test_rows_on_each_side_of_the_lateness_limit(spark, tmp_path):
+    """With 2 s out-of-orderness and 60 s lateness, a row of a pane that closed 62 s before the newest
+    row is refused and one of the next pane still refines its windows."""
+    folder, home = tmp_path / "in", str(tmp_path / "home")
+    folder.mkdir()
+    own = runner.stream_session(spark)
+
+    def line(second, url):
+        return f"10.0.0.1 - - 01/01/2024:{second // 3600:02d}:{second // 60 % 60:02d}:{second % 60:02d} +0000 GET {url}"
+
+    def after(name, *lines):
+        (folder / name).write_text("\n".join(lines))
+        gets = filters.get_requests(logs.stream_log(own, "access", str(folder)))
+        late = aggregates.hot_urls(own, gets, home, td(seconds=10), td(seconds=1))
+        return {(secs(r["window_end"]), r["url"]): r["cnt"] for r in late.latest().collect()}
+
+    first = after("1.log", line(937, "/a"), line(938, "/a"), line(1000, "/b"))
+    assert first[939, "/a"] == 2 and first[1001, "/b"] == 1
+    second = after("2.log", line(937, "/late"), line(938, "/a"), line(1001, "/b"))
+    assert not [key for key in second if key[1] == "/late"]
+    assert second[939, "/a"] == 3 and second[938, "/a"] == 1
+    assert second[1002, "/b"] == 2
+
+
 def test_click_cap(spark, source):
     folder, ev = source
     play = replay(spark, folder, "click")
