@@ -5,11 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventide.llm import simhash, token_files
+from eventide.llm import pieces, simhash, token_files
 from eventide.llm.tables import table
 from eventide.session import durable_dir
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -20,5 +24,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checked(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (op8_simhash_near_dedup, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op6_sentencepiece, op8_simhash_near_dedup, op10_token_files)}
 ORACLE: dict[str, str] = {}
