@@ -5,11 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventide.llm import pieces, simhash, token_files
+from eventide.llm import decontamination, pieces, simhash, token_files
 from eventide.llm.tables import table
 from eventide.session import durable_dir
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -24,5 +28,28 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checked(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (op6_sentencepiece, op8_simhash_near_dedup, op10_token_files)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op3_decontamination, op6_sentencepiece, op8_simhash_near_dedup, op10_token_files)}
+_WORDS = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+ORACLE: dict[str, str] = {
+    "op3_decontamination": f"""
+WITH items AS (SELECT item_id, {_WORDS.format('text')} AS w FROM benchmark WHERE text IS NOT NULL),
+windows AS (
+    SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS phrase
+    FROM (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i
+          FROM items WHERE len(w) > 0)),
+docs AS (SELECT doc_id, coalesce({_WORDS.format('text')}, []) AS w FROM documents),
+places AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS phrase
+           FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+                 FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+found AS (SELECT doc_id, item_id, i, n FROM places JOIN windows USING (n, phrase)),
+hit AS (SELECT doc_id, count(DISTINCT place) AS n_hit
+        FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM (SELECT DISTINCT doc_id, i, n FROM found))
+        GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)""",
+}
