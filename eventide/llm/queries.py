@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventide.llm import decontamination, pieces, simhash, token_files
+from eventide.llm import decontamination, licenses, pieces, simhash, token_files
 from eventide.llm.tables import table
 from eventide.session import durable_dir
 
@@ -18,6 +18,10 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -28,7 +32,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checked(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (op3_decontamination, op6_sentencepiece, op8_simhash_near_dedup, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op3_decontamination, op6_sentencepiece, op7_license_scan, op8_simhash_near_dedup, op10_token_files)}
 _WORDS = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 ORACLE: dict[str, str] = {
