@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventide.llm import decontamination, licenses, pieces, simhash, token_files
+from eventide.llm import decontamination, language, licenses, pieces, simhash, token_files
 from eventide.llm.tables import table
 from eventide.session import durable_dir
 
@@ -14,6 +14,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language.train(table(spark, sf_dir, "documents"))
+    return language.identify_pages(table(spark, sf_dir, "pages"), model).withColumnRenamed("id", "page_id")
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -32,7 +37,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checked(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (op3_decontamination, op6_sentencepiece, op7_license_scan, op8_simhash_near_dedup, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op3_decontamination, op5_language_id, op6_sentencepiece, op7_license_scan, op8_simhash_near_dedup, op10_token_files)}
 _WORDS = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 ORACLE: dict[str, str] = {

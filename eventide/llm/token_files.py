@@ -33,13 +33,17 @@ KEYS_PER_BUCKET = 50_000
 CACHED_WORDS = 400_000
 BLOCKS = "shard int, block int, width int, n_tokens long, doc_ids array<long>, lengths array<long>, payload binary"
 SLOT = np.dtype([("check", "<u4"), ("shard", "<u4"), ("block", "<u4"), ("offset", "<u8"), ("length", "<u8")])
+# Marks that stand alone or in runs as a pre-token of their own.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+WORD_END = "</w>"
 # Python splits at these four; the tokenizer's white space does not hold them.
 NOT_SPACE = re.compile("[\x1c-\x1f]")
 SPACE = re.compile(r"[^\S\x1c-\x1f]+")
 
 
 class WordEncoder:
-    """Encodes whole texts with a tokenizers-library file whose pre-tokenizer drops white space.
+    """Encodes whole texts with a tokenizers-library file whose pre-tokenizer drops white space and parts letters from
+    marks, and whose last token of every pre-token ends with WORD_END.
 
     White space always ends a word there, so a text's ids are its words' ids in a row. Each distinct word is encoded
     once by the library while it is cached; the cache is emptied when full.
@@ -51,6 +55,10 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.kind = f"<u{self.width}"
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for name, i in vocabulary.items() if name.endswith(WORD_END)]] = True
         self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -59,14 +67,50 @@ class WordEncoder:
         new = [w for w in set().union(*split) if w not in self.known]
         if len(self.known) + len(new) > CACHED_WORDS and self.known:
             self.known, new = {}, list(set().union(*split))
-        for at in range(0, len(new), 10_000):
-            part = new[at:at + 10_000]
-            codes = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            kind = f"<u{self.width}"
-            self.known.update(zip(part, (np.array(c.ids, kind).tobytes() for c in codes)))
+        self._learn(new)
         word = self.known.__getitem__
         return [b"".join(map(word, words)) for words in split]
 
+    def _learn(self, new: list[str]) -> None:
+        """Letters followed by marks are two pre-tokens: the letters are encoded apart, many to a text."""
+        stems, rest, tails = {}, [], set()
+        for word in new:
+            stem = word.rstrip(MARKS)
+            if stem.isalpha():
+                stems[word] = stem.lower() if stem.isascii() else stem
+                if len(stem) < len(word):
+                    tails.add(word[len(stem):])
+            else:
+                rest.append(word)
+        self._one_by_one([*rest, *tails - self.known.keys()])
+        codes = self._stems(list(set(stems.values())))
+        for word, stem in stems.items():
+            known = codes.get(stem)
+            if known is None:
+                self._one_by_one([word])
+            else:
+                tail = word[len(stem):] if len(stem) < len(word) else ""
+                self.known[word] = known + self.known[tail] if tail else known
+
+    def _one_by_one(self, words: list[str]) -> None:
+        for at in range(0, len(words), 10_000):
+            part = words[at:at + 10_000]
+            codes = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            self.known.update(zip(part, (np.array(c.ids, self.kind).tobytes() for c in codes)))
+
+    def _stems(self, stems: list[str]) -> dict[str, bytes]:
+        """Ids of words that are one pre-token each. Their ends show in the ids; where the count differs, no result."""
+        groups = [stems[at:at + 500] for at in range(0, len(stems), 500)]
+        out: dict[str, bytes] = {}
+        for group, code in zip(groups, self.tokenizer.encode_batch_fast(list(map(" ".join, groups)),
+                                                                        add_special_tokens=False)):
+            ids = np.array(code.ids, self.kind)
+            ends = (np.flatnonzero(self.ends[ids]) + 1) * self.width
+            if len(ends) == len(group):
+                raw = ids.tobytes()
+                out.update(zip(group, (raw[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist()))))
+        return out
+
 
 def _blocks(batches: Iterable[pa.RecordBatch], path: str, end_id: int, block_bytes: int):
     coder = WordEncoder(path)
@@ -114,8 +158,8 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 2
     entries = _entries(_read_blocks(spark, folder).drop("payload")).where("doc_id is not null")
     first = entries.groupBy("doc_id").agg(
         F.min(F.struct("shard", "block", "offset", "length")).alias("at")).select("doc_id", "at.*")
-    buckets = 1 + _read_blocks(spark, folder).agg(F.sum(F.size("doc_ids"))).first()[0] // keys_per_bucket \
-        if not _read_blocks(spark, folder).isEmpty() else 1
+    count = _read_blocks(spark, folder).agg(F.sum(F.size("doc_ids"))).first()[0] or 0
+    buckets = 1 + count // keys_per_bucket
     first.withColumn("bucket", _bucket(buckets)).groupBy("bucket").applyInPandas(
         _index_bucket, "bucket long, hash binary, slots binary").withColumn("buckets", F.lit(buckets)).write.parquet(
         f"{folder}/index")
