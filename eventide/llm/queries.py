@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventide.llm import decontamination, language, licenses, pieces, simhash, token_files
+from eventide.llm import chat, decontamination, language, licenses, pieces, simhash, token_files
 from eventide.llm.tables import table
 from eventide.session import durable_dir
 
@@ -31,13 +31,17 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_turns(table(spark, sf_dir, "conversations"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = durable_dir(spark, "token-files")
     token_files.write_ids(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
     return token_files.checked(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (op3_decontamination, op5_language_id, op6_sentencepiece, op7_license_scan, op8_simhash_near_dedup, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op3_decontamination, op5_language_id, op6_sentencepiece, op7_license_scan, op8_simhash_near_dedup, op9_chat_format, op10_token_files)}
 _WORDS = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 ORACLE: dict[str, str] = {
