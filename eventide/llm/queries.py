@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventide.llm import chat, decontamination, language, licenses, pieces, simhash, token_files
+from eventide.llm import chat, decontamination, language, licenses, nearest, pieces, simhash, token_files
 from eventide.llm.tables import table
 from eventide.session import durable_dir
 
@@ -14,6 +15,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest.search(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.train(table(spark, sf_dir, "documents"))
     return language.identify_pages(table(spark, sf_dir, "pages"), model).withColumnRenamed("id", "page_id")
@@ -41,7 +47,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checked(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (op3_decontamination, op5_language_id, op6_sentencepiece, op7_license_scan, op8_simhash_near_dedup, op9_chat_format, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op3_decontamination, op4_nearest, op5_language_id, op6_sentencepiece, op7_license_scan, op8_simhash_near_dedup, op9_chat_format, op10_token_files)}
 _WORDS = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 ORACLE: dict[str, str] = {
