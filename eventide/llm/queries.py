@@ -6,11 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import chat, decontamination, language, licenses, nearest, pieces, simhash, token_files, toxicity
+from eventide.llm import chat, decontamination, language, licenses, nearest, pieces, simhash, suffix_dedup, token_files, toxicity
 from eventide.llm.tables import table
 from eventide.session import durable_dir
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -54,7 +58,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checked(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op3_decontamination, op4_nearest, op5_language_id, op6_sentencepiece, op7_license_scan, op8_simhash_near_dedup, op9_chat_format, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_toxicity, op3_decontamination, op4_nearest, op5_language_id, op6_sentencepiece, op7_license_scan, op8_simhash_near_dedup, op9_chat_format, op10_token_files)}
 _WORDS = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 ORACLE: dict[str, str] = {
