@@ -68,15 +68,22 @@ class TextModel:
 
 def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id",
           per_language: int = SAMPLE_PER_LANGUAGE) -> TextModel:
-    """Fits the text model on at most `per_language` rows of each language, those whose ids hash lowest.
+    """Fits the text model on at most `per_language` rows of each language, those whose ids hash lowest
+    (with repeated ids, all their rows).
 
     Rows with a null id, text or label are not used. The counts, not the texts, come to the driver: their number is
-    bounded by the model's size.
+    bounded by the model's size. One hash limit per language comes to the driver too.
     """
     rows = labelled.select(F.col(id_col).cast("long").alias("i"), F.col(label_col).cast("string").alias("l"),
                            F.col(text_col).cast("string").alias("t")).dropna()
-    rank = F.row_number().over(Window.partitionBy("l").orderBy(F.xxhash64("i"), "i"))
-    chosen = rows.select("i", "l").withColumn("r", rank).where(F.col("r") <= per_language).select("i", "l").distinct()
+    rank = F.row_number().over(Window.partitionBy("l").orderBy("h"))
+    hashed = rows.withColumn("h", F.xxhash64("i"))
+    limits = {r.l: r.h for r in hashed.select("l", "h").withColumn("r", rank).where(
+        F.col("r") <= per_language).groupBy("l").agg(F.max("h").alias("h")).collect()}
+    if not limits:
+        return TextModel([], np.zeros((BUCKETS, 0)))
+    limit = F.create_map(*(F.lit(x) for pair in limits.items() for x in pair))
+    chosen = hashed.where(F.col("h") <= F.element_at(limit, F.col("l"))).select("l", "t")
     schema = pa.schema([("l", pa.string()), ("bucket", pa.int64()), ("n", pa.int64())])
 
     def count(batches) -> Iterator[pa.RecordBatch]:
@@ -91,7 +98,7 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang",
             yield pa.RecordBatch.from_arrays([pa.array([label] * len(at)), pa.array(at), pa.array(counts[at])],
                                              schema=schema)
 
-    sums = rows.join(chosen, ["i", "l"]).mapInArrow(count, "l string, bucket long, n long").groupBy("l", "bucket").agg(
+    sums = chosen.mapInArrow(count, "l string, bucket long, n long").groupBy("l", "bucket").agg(
         F.sum("n").alias("n")).toArrow()
     languages = sorted(set(sums.column("l").to_pylist()))
     counts = np.zeros((BUCKETS, len(languages)))

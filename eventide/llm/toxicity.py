@@ -159,7 +159,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     size = per_class or DOCS_PER_CLASS
     chosen = own.withColumn("r", rank).where(
         ((F.col("toxic") == 1) & (F.col("r") <= size[1])) | ((F.col("toxic") == 0) & (F.col("r") <= size[0]))).drop("r")
-    sample = stored(texts_of(docs, id_col, text_col).where("text is not null").join(chosen, "doc_id"), "toxic-sample")
+    sample = stored(texts_of(docs, id_col, text_col).where("text is not null").join(
+        F.broadcast(chosen), "doc_id"), "toxic-sample")  # chosen has no more rows than `per_class` allows
     words = stored(_words(sample).where("length(word) > 2"), "toxic-words")
     mass = words.agg(F.sum("n_toxic"), F.sum("n_clean")).first()
     if not mass[0] or not mass[1]:
