@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions.blocks import with_blocks
 from eventide.functions.eventtime import bucket, epoch_micros, micros
-from eventide.operators.logins import FAIL
+from eventide.operators.logins import FAIL, known_users
 
 MIN_FAILS = 2
 # Chunk length of a long session, in episode lengths; at least 2 for the rule in step 3.
@@ -39,7 +39,7 @@ _SESSION = ["user_id", "session_t", "session_id"]
 
 def fail_episodes(logins: DataFrame, within: timedelta = timedelta(seconds=2)) -> DataFrame:
     length = micros(within)
-    fails = _session_rows(logins, within)
+    fails = _session_rows(known_users(logins), within)
     sessions = fails.groupBy(*_SESSION).agg(F.max("t").alias("last_t"), F.sum("n").alias("n"),
                                             F.min("cancel_t").alias("cancel_t"))
     end = F.col("session_t") + length

@@ -12,7 +12,3 @@ def page_views(behaviour: DataFrame) -> DataFrame:
 
 def get_requests(access: DataFrame) -> DataFrame:
     return access.filter(F.col("method") == "GET")
-
-
-def payments_only(orders: DataFrame) -> DataFrame:
-    return orders.filter(F.col("event_type") == "pay")

@@ -13,13 +13,18 @@ from eventide.functions.eventtime import epoch_micros, micros
 FAIL = "fail"
 
 
+def known_users(logins: DataFrame) -> DataFrame:
+    """Log-ins without a user belong to nobody: no pattern is reported for them."""
+    return logins.filter(F.col("user_id").isNotNull())
+
+
 def fail_pairs(logins: DataFrame, within: timedelta = timedelta(seconds=2)) -> DataFrame:
     """Two consecutive fails of a user at most `within` apart; a success in between breaks the pair.
 
     Whatever lies further back than `within` cannot form a pair, so each time block only needs that
     much of the block before it.
     """
-    rows = with_blocks(logins, "ts", before=within)
+    rows = with_blocks(known_users(logins), "ts", before=within)
     w = Window.partitionBy("user_id", "block").orderBy("ts", "event_id")
     seen = rows.select("user_id", "event_type", "ts", "own",
                        F.lag("event_type").over(w).alias("prev_type"),
@@ -35,7 +40,7 @@ def fail_runs(logins: DataFrame, n: int = 5, within: timedelta = timedelta(secon
     runs are all reported."""
     if n < 2:
         raise ValueError("a run has at least two fails")
-    rows = with_blocks(logins, "ts", before=within)
+    rows = with_blocks(known_users(logins), "ts", before=within)
     w = Window.partitionBy("user_id", "block").orderBy("ts", "event_id")
     last_n = w.rowsBetween(-(n - 1), Window.currentRow)
     seen = rows.select("user_id", "ts", "own",

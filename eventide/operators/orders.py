@@ -14,12 +14,18 @@ from eventide.functions.blocks import with_blocks
 from eventide.functions.eventtime import epoch_micros, micros
 
 PAY_WITHIN = timedelta(minutes=15)
+CREATE, PAY = "create", "pay"
 PAID, NO_PAY, LATE = "paid", "no_pay", "late_or_orphan"
 
 
+def creates_and_pays(orders: DataFrame) -> DataFrame:
+    """The events the rules are about; any other type in between changes nothing."""
+    return orders.filter(F.col("event_type").isin(CREATE, PAY))
+
+
 def _creates(orders: DataFrame, within: timedelta) -> DataFrame:
     """Every create with the first later pay less than `within` after it, else a null pay_ts."""
-    rows = with_blocks(orders, "ts", after=within)
+    rows = with_blocks(creates_and_pays(orders), "ts", after=within)
     # Latest first, so that "the next pay" is a running value and each row is visited once.
     back = (Window.partitionBy("order_id", "block").orderBy(F.col("ts").desc(), F.col("event_id").desc())
             .rowsBetween(Window.unboundedPreceding, -1))
@@ -48,7 +54,7 @@ def order_status(orders: DataFrame, within: timedelta = PAY_WITHIN) -> DataFrame
     is unpaid exactly when the event right after it is not such a pay. So the status needs only the
     two neighbours of a row, not a fold over the order's history.
     """
-    rows = with_blocks(orders, "ts", before=within, after=within)
+    rows = with_blocks(creates_and_pays(orders), "ts", before=within, after=within)
     w = Window.partitionBy("order_id", "block").orderBy("ts", "event_id")
     t = epoch_micros("ts")
     seen = rows.select("order_id", "event_id", "event_type", "ts", "own",

@@ -38,14 +38,15 @@ def _unmatched(pays: DataFrame, receipts: DataFrame, early: timedelta, late: tim
     """Rows of either side with no partner in reach, in one pass over both sides.
 
     A row has a partner if the nearest row of the other side before it, or the nearest after it, lies
-    in reach; no pair has to be formed to know that.
+    in reach; no pair has to be formed to know that. A row without a transaction id has no partner.
     """
     none = F.lit(None).cast("bigint")
     both = (pays.select("tx_id", "pay_id", none.alias("receipt_id"), F.col("pay_ts").alias("ts"))
             .unionByName(receipts.select("tx_id", none.alias("pay_id"), "receipt_id",
                                          F.col("receipt_ts").alias("ts"))))
     reach = max(early, late)
-    rows = with_blocks(both, "ts", before=reach, after=reach).withColumn("t", epoch_micros("ts"))
+    nameless = both.filter(F.col("tx_id").isNull())
+    rows = with_blocks(both.filter(F.col("tx_id").isNotNull()), "ts", before=reach, after=reach).withColumn("t", epoch_micros("ts"))
     part = Window.partitionBy("tx_id", "block")
     # Both frames take in all rows at the same instant.
     before = part.orderBy("t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
@@ -60,7 +61,8 @@ def _unmatched(pays: DataFrame, receipts: DataFrame, early: timedelta, late: tim
     pay_has = (t - F.col("receipt_before") <= e) | (F.col("receipt_after") - t <= l)
     receipt_has = (t - F.col("pay_before") <= l) | (F.col("pay_after") - t <= e)
     has = F.when(is_pay, pay_has).otherwise(receipt_has)
-    return seen.filter(F.col("own") & ~F.coalesce(has, F.lit(False)))
+    alone = seen.filter(F.col("own") & ~F.coalesce(has, F.lit(False)))
+    return alone.select("tx_id", "pay_id", "receipt_id", "ts").unionByName(nameless)
 
 
 def pay_without_receipt(pays: DataFrame, receipts: DataFrame, early: timedelta = EARLY,

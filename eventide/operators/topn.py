@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventide.functions.eventtime import bucket, instant, micros
+from eventide.functions.eventtime import bucket, instant, micros, utc_clock
 from eventide.operators.windows import (SIZES_PER_BLOCK, hop_counts, key_runs, pane_counts,
                                        panes_per_window)
 
@@ -82,7 +82,7 @@ def report(ranked: DataFrame, key: str, style: dict = ITEM_REPORT) -> DataFrame:
     line = F.concat(F.lit(style["top"]), F.col("rank"), F.lit(style["key"]), F.col(key),
                     F.lit(style["count"]), F.col("cnt"), F.lit("\n"))
     lines = F.array_sort(F.collect_list(F.struct(F.col("rank"), line.alias("line"))))
-    header = F.concat(F.lit(style["rule"]), F.date_format("window_end", "yyyy-MM-dd HH:mm:ss"),
+    header = F.concat(F.lit(style["rule"]), F.substring(utc_clock("window_end").cast("string"), 1, 19),
                       F.lit(".0"), F.lit(style["rule"]), F.lit("\n"))
     return (ranked.groupBy("window_end").agg(lines.alias("lines"))
             .select("window_end",

@@ -1,4 +1,4 @@
-"""Unique visitors per hour: exact, bitmap, approximate and running."""
+"""Unique visitors per hour: exact, bitmap, approximate and running. A null user is no visitor."""
 
 from __future__ import annotations
 
@@ -23,11 +23,10 @@ def uv_bitmap(behaviour: DataFrame, size: timedelta = HOUR, capacity: int = BITM
     """Distinct bit positions of a one-hash bitmap; two users on one position count once.
 
     The bitmap is kept in pieces of a fixed number of bits, one row per (window, piece in use), so its
-    memory is bounded by the capacity and pieces merge in the map tasks. The hash runs once per
-    (window, user), not once per event.
+    memory is bounded by the capacity. Repeats of a position are dropped in the map tasks, so only
+    positions in use are sent; nothing of the users' ids is.
     """
-    users = behaviour.select(window_end("ts", size).alias("window_end"), "user_id").distinct()
-    at = users.select("window_end", bitmap_offset(F.col("user_id"), capacity).alias("pos"))
+    at = behaviour.select(window_end("ts", size).alias("window_end"), bitmap_offset(F.col("user_id"), capacity).alias("pos")).distinct()
     pieces = (at.groupBy("window_end", F.bitmap_bucket_number("pos").alias("piece"))
               .agg(F.bitmap_construct_agg(F.bitmap_bit_position("pos")).alias("bits")))
     return pieces.groupBy("window_end").agg(F.sum(F.bitmap_count("bits")).alias("uv"))
@@ -39,6 +38,14 @@ def uv_approx(behaviour: DataFrame, size: timedelta = HOUR, rsd: float = 0.02) -
             .agg(F.approx_count_distinct("user_id", rsd).alias("uv")))
 
 
+def uv_approx_check(behaviour: DataFrame, size: timedelta = HOUR, rsd: float = 0.02) -> DataFrame:
+    """Per window, whether the estimate lies within three standard errors, or one visitor, of the exact
+    number."""
+    both = uv(behaviour, size).join(uv_approx(behaviour, size, rsd).withColumnRenamed("uv", "estimate"), "window_end")
+    allowed = F.greatest(F.lit(1.0), 3 * rsd * F.col("uv"))
+    return both.select("window_end", (F.abs(F.col("estimate") - F.col("uv")) <= allowed).alias("close"))
+
+
 def uv_running(behaviour: DataFrame, size: timedelta = HOUR, slots: int = 720) -> DataFrame:
     """For every event, the distinct users of its window up to and including that event.
 
@@ -51,7 +58,7 @@ def uv_running(behaviour: DataFrame, size: timedelta = HOUR, slots: int = 720) -
         raise ValueError("the window must divide into the slots")
     slice_width = width // slots
     rows = behaviour.select("event_id", "ts", "user_id", epoch_micros("ts").alias("t"))
-    firsts = (rows.groupBy(bucket(F.col("t"), width).alias("win"), "user_id")
+    firsts = (rows.filter(F.col("user_id").isNotNull()).groupBy(bucket(F.col("t"), width).alias("win"), "user_id")
               .agg(F.min(F.struct("t", "event_id")).alias("f")))
     arrivals = firsts.select("win", bucket(F.col("f.t"), slice_width).alias("slot"),
                              F.col("f.t").alias("t"), F.col("f.event_id").alias("event_id"))

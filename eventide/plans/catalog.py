@@ -12,6 +12,7 @@ from datetime import timedelta as td
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventide.functions.eventtime import utc_clock
 from eventide.operators import (episodes, filters, fraud, logins, orders, reconcile, topn, uniques,
                                 windows)
 from eventide.sources import logs, tables
@@ -27,8 +28,8 @@ CAP = 2
 
 def plain(df: DataFrame) -> DataFrame:
     """Instants as zone-less UTC timestamps, the type the source tables use, and days as text."""
-    shown = {"timestamp": "timestamp_ntz", "date": "string"}
-    return df.select(*[F.col(name).cast(shown[kind]).alias(name) if kind in shown else F.col(name)
+    shown = {"timestamp": utc_clock, "date": lambda name: F.col(name).cast("string")}
+    return df.select(*[shown[kind](name).alias(name) if kind in shown else F.col(name)
                        for name, kind in df.dtypes])
 
 
@@ -108,7 +109,7 @@ def _ad_lines(spark, d):
 def _access_lines(spark, d):
     a = tables.access_log(tables.events(spark, d))
     return _lines(a, " ", F.col("ip"), F.col("user_id"), F.lit("-"),
-                  F.date_format("ts", "dd/MM/yyyy:HH:mm:ss"), F.lit("+0000"), F.col("method"),
+                  F.date_format(utc_clock("ts"), "dd/MM/yyyy:HH:mm:ss"), F.lit("+0000"), F.col("method"),
                   F.col("url"))
 
 
@@ -133,7 +134,7 @@ BATCH: dict[str, Query] = {
     "get_requests": lambda s, d: _gets(s, d),
     "hot_items_hop_count": lambda s, d: _hot_item_counts(s, d),
     "hot_items_topn": hot_items_topn,
-    "hot_items_sql": lambda s, d: topn.hot_items_sql(s, _behaviour(s, d)),
+    "hot_items_sql": lambda s, d: topn.hot_items_sql(s, tables.behaviour(tables.views(tables.events(s, d)))),
     "topn_report": lambda s, d: topn.report(hot_items_topn(s, d), "item_id"),
     "topn_changelog": lambda s, d: topn.top_n_changelog(_page_views(s, d), "item_id", HOUR, FIVE_MINUTES),
     "hot_urls_hop_count": lambda s, d: windows.hop_runs(_gets(s, d), ["url"], td(minutes=10), FIVE_SECONDS),
@@ -142,7 +143,7 @@ BATCH: dict[str, Query] = {
     "pv_hourly_salted": lambda s, d: windows.salted_tumbling_count(_page_views(s, d), HOUR, "event_id"),
     "uv_hourly": lambda s, d: uniques.uv(_page_views(s, d)),
     "uv_hourly_bitmap": lambda s, d: uniques.uv_bitmap(_page_views(s, d)),
-    "uv_hourly_approx": lambda s, d: uniques.uv_approx(_page_views(s, d)),
+    "uv_hourly_approx": lambda s, d: uniques.uv_approx_check(_page_views(s, d)),
     "uv_running": lambda s, d: uniques.uv_running(_page_views(s, d)),
     "channel_behavior_hop_count": lambda s, d: windows.hop_runs(
         tables.channel_behaviour(tables.events(s, d)), ["channel", "behavior"], HOUR, FIVE_SECONDS),

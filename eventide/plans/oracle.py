@@ -165,6 +165,8 @@ FROM events WHERE event_type = 'click'""",
     "hot_urls_topn": _top(_HOT_URLS, "url"),
     "pv_hourly": f"SELECT {_HOUR_END} AS window_end, count(*) AS cnt FROM events WHERE {_PV} GROUP BY 1",
     "pv_hourly_salted": f"SELECT {_HOUR_END} AS window_end, count(*) AS cnt FROM events WHERE {_PV} GROUP BY 1",
+    "uv_hourly_approx": f"""SELECT {_HOUR_END} AS window_end, TRUE AS close
+FROM events WHERE {_PV} GROUP BY ALL""",
     "uv_hourly": f"""SELECT {_HOUR_END} AS window_end, count(DISTINCT user_id) AS uv
 FROM events WHERE {_PV} GROUP BY 1""",
     "uv_hourly_bitmap": f"""WITH u AS (SELECT {_HOUR_END} AS window_end, CAST(user_id AS VARCHAR) AS id

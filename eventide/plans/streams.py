@@ -16,8 +16,9 @@ def _replay(spark, sf_dir, *event_types):
     return runner.Replay(runner.stream_session(spark), sf_dir, list(event_types))
 
 
-def _without_flush(df, key="user_id"):
-    return df.filter(F.col(key) != runner.FLUSH_USER)
+def _without_flush(df, *times):
+    """The rows of real events, whatever their keys; any of the result's times tells."""
+    return df.filter(F.coalesce(*times) < F.lit(runner.FLUSH_AT))
 
 
 def _page_views(ev):
@@ -52,7 +53,7 @@ def ad_guard(spark, sf_dir):
     replay = _replay(spark, sf_dir, "click")
     guarded = runner.collect_appended(replay, keyed.capped_clicks(tables.ad_clicks(replay.events), CAP),
                                       "ad-guard")
-    return _without_flush(guarded).select("user_id", "ad_id", "day", "ts", "status")
+    return _without_flush(guarded, "ts").select("user_id", "ad_id", "day", "ts", "status")
 
 
 def ad_guard_by_province(spark, sf_dir):
@@ -65,13 +66,13 @@ def ad_guard_by_province(spark, sf_dir):
 def login_fail(spark, sf_dir):
     replay = _replay(spark, sf_dir, "error", "view")
     alerts = keyed.fail_episodes(tables.logins(replay.events), LOGIN_WITHIN)
-    return _without_flush(runner.collect_appended(replay, alerts, "login-fail"))
+    return _without_flush(runner.collect_appended(replay, alerts, "login-fail"), "last_ts")
 
 
 def order_status(spark, sf_dir):
     replay = _replay(spark, sf_dir, "signup", "purchase")
     status = keyed.order_status(tables.orders(replay.events), PAY_WITHIN)
-    return (_without_flush(runner.collect_appended(replay, status, "order-status"), "order_id")
+    return (_without_flush(runner.collect_appended(replay, status, "order-status"), "create_ts", "pay_ts")
             .select("order_id", "create_ts", "pay_ts", "status"))
 
 
@@ -79,7 +80,7 @@ def reconcile(spark, sf_dir):
     replay = _replay(spark, sf_dir, "purchase", "click")
     ev = replay.events
     joined = joins.reconcile(tables.payments(ev), tables.receipts(ev), EARLY, LATE)
-    return (_without_flush(runner.collect_appended(replay, joined, "reconcile"), "tx_id")
+    return (_without_flush(runner.collect_appended(replay, joined, "reconcile"), "pay_ts", "receipt_ts")
             .select("tx_id", "pay_ts", "receipt_ts", "status"))
 
 
@@ -87,7 +88,7 @@ def reconcile_one_to_one(spark, sf_dir):
     replay = _replay(spark, sf_dir, "purchase", "click")
     ev = replay.events
     settled = keyed.reconcile_one_to_one(tables.payments(ev), tables.receipts(ev), EARLY, LATE)
-    return (_without_flush(runner.collect_appended(replay, settled, "one-to-one"), "tx_id")
+    return (_without_flush(runner.collect_appended(replay, settled, "one-to-one"), "pay_ts", "receipt_ts")
             .select("tx_id", "pay_ts", "receipt_ts", "status"))
 
 

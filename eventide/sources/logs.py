@@ -47,7 +47,8 @@ def parse_ad_log(lines: DataFrame, line: str = "value") -> DataFrame:
 def parse_access_log(lines: DataFrame, line: str = "value") -> DataFrame:
     parts = F.split(F.col(line), " ")
     token = {name: F.get(parts, i) for name, i in S.ACCESS_TOKENS.items()}
-    when = F.try_to_timestamp(token["time"], F.lit(S.ACCESS_TIME_FORMAT))
+    # The zone is spelled out, so that the session's plays no part.
+    when = F.try_to_timestamp(F.concat(token["time"], F.lit(" +0000")), F.lit(f"{S.ACCESS_TIME_FORMAT} Z"))
     bad = F.raise_error(F.concat(F.lit("bad time: "), F.coalesce(token["time"], F.lit("missing"))))
     return lines.select(
         *[_typed(token[name], "string", name).alias(name) for name in ("ip", "user_id", "method", "url")],

@@ -9,17 +9,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.session import use_utc
+from eventide.functions.eventtime import from_utc_clock
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    use_utc(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def instants(df: DataFrame, ts: str = "ts") -> DataFrame:
-    """Zone-less timestamps become UTC instants."""
-    return df.withColumn(ts, F.col(ts).cast("timestamp"))
+    """Zone-less timestamps become UTC instants, whatever the session's zone is."""
+    return df.withColumn(ts, from_utc_clock(ts)) if dict(df.dtypes)[ts] == "timestamp_ntz" else df
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,8 +36,8 @@ def views(ev: DataFrame) -> DataFrame:
 
 
 def requests(ev: DataFrame) -> DataFrame:
-    """The events that become GET requests."""
-    return ev.filter(F.col("event_type").isNull() | (F.col("event_type") != "error"))
+    """The events that become GET requests; an event without a type is none."""
+    return ev.filter(F.col("event_type") != "error")
 
 
 def behaviour(ev: DataFrame) -> DataFrame:

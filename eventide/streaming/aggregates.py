@@ -22,7 +22,7 @@ def pv(page_views: DataFrame, size: str = "1 hour", delay: str = "0 seconds") ->
 
 def uv(page_views: DataFrame, size: str = "1 hour", delay: str = "0 seconds") -> DataFrame:
     """Exact: one state row per (window, user), closed into one count per window."""
-    users = (page_views.withWatermark("ts", delay)
+    users = (page_views.filter(F.col("user_id").isNotNull()).withWatermark("ts", delay)
              .groupBy(F.window("ts", size).alias("w"), "user_id").agg(F.count(F.lit(1)).alias("visits")))
     return (users.groupBy(F.window(F.window_time("w"), size).alias("w2"))
             .agg(F.count(F.lit(1)).alias("uv"))

@@ -13,14 +13,29 @@ from eventide.operators.reconcile import EARLY, LATE, MATCHED, PAY_ONLY, RECEIPT
 def reconcile(pays: DataFrame, receipts: DataFrame, early: timedelta = EARLY, late: timedelta = LATE,
               delay: str = "0 seconds") -> DataFrame:
     """Full outer stream-stream join. The time bounds and the watermarks let Spark drop a row from
-    state once no partner can come, and report it as unmatched then."""
-    p = pays.withWatermark("pay_ts", delay).alias("p")
-    r = receipts.withWatermark("receipt_ts", delay).alias("r")
+    state once no partner can come, and report it as unmatched then. Rows without a transaction id
+    have no partner and are reported at once."""
+    named = F.col("tx_id").isNotNull()
+    p = pays.filter(named).withWatermark("pay_ts", delay).alias("p")
+    r = receipts.filter(named).withWatermark("receipt_ts", delay).alias("r")
     same = ((F.col("p.tx_id") == F.col("r.tx_id"))
             & (F.col("r.receipt_ts") >= F.col("p.pay_ts") - F.lit(early))
             & (F.col("r.receipt_ts") <= F.col("p.pay_ts") + F.lit(late)))
     status = (F.when(F.col("r.receipt_id").isNull(), PAY_ONLY)
               .when(F.col("p.pay_id").isNull(), RECEIPT_ONLY).otherwise(MATCHED))
-    return (p.join(r, same, "fullOuter")
-            .select(F.coalesce("p.tx_id", "r.tx_id").alias("tx_id"), "pay_id", "pay_ts", "receipt_id",
-                    "receipt_ts", status.alias("status")))
+    joined = (p.join(r, same, "fullOuter")
+              .select(F.coalesce("p.tx_id", "r.tx_id").alias("tx_id"), "pay_id", "pay_ts", "receipt_id",
+                      "receipt_ts", status.alias("status")))
+    return joined.unionByName(nameless(pays, receipts))
+
+
+def nameless(pays: DataFrame, receipts: DataFrame) -> DataFrame:
+    """Rows without a transaction id, as unmatched."""
+    none = {name: F.lit(None).cast(kind) for side in (pays, receipts) for name, kind in side.dtypes}
+    p = pays.filter(F.col("tx_id").isNull()).select(
+        "tx_id", "pay_id", "pay_ts", none["receipt_id"].alias("receipt_id"),
+        none["receipt_ts"].alias("receipt_ts"), F.lit(PAY_ONLY).alias("status"))
+    r = receipts.filter(F.col("tx_id").isNull()).select(
+        "tx_id", none["pay_id"].alias("pay_id"), none["pay_ts"].alias("pay_ts"), "receipt_id", "receipt_ts",
+        F.lit(RECEIPT_ONLY).alias("status"))
+    return p.unionByName(r)

@@ -16,12 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from eventide.functions.eventtime import epoch_micros, local_day, micros
+from eventide.functions.eventtime import epoch_micros, local_day, local_day_end, micros
 from eventide.operators import reconcile
 from eventide.operators.episodes import MIN_FAILS
 from eventide.operators.fraud import DAY_ZONE, DEFAULT_CAP
-from eventide.operators.orders import LATE, NO_PAY, PAID, PAY_WITHIN
+from eventide.operators.logins import known_users
+from eventide.operators.orders import LATE, NO_PAY, PAID, PAY_WITHIN, creates_and_pays
 from eventide.operators.reconcile import MATCHED, PAY_ONLY, RECEIPT_ONLY
+from eventide.streaming.joins import nameless
 
 KEPT, BLACKLISTED = "kept", "blacklisted"
 
@@ -224,7 +226,7 @@ def _run(rows: DataFrame, processor: InOrder, key_types: str, values: str, delay
 
 def fail_episodes(logins: DataFrame, within: timedelta = timedelta(seconds=2),
                   delay: str = "5 seconds") -> DataFrame:
-    rows = logins.select("ts", "user_id", "event_id", F.col("event_type").alias("what"))
+    rows = known_users(logins).select("ts", "user_id", "event_id", F.col("event_type").alias("what"))
     return (_run(rows, FailEpisodes(micros(within)), "user_id bigint",
                  "first_t bigint, last_t bigint, n bigint", delay)
             .select("user_id", F.timestamp_micros("first_t").alias("first_ts"),
@@ -232,7 +234,7 @@ def fail_episodes(logins: DataFrame, within: timedelta = timedelta(seconds=2),
 
 
 def order_status(orders: DataFrame, within: timedelta = PAY_WITHIN, delay: str = "0 seconds") -> DataFrame:
-    rows = orders.select("ts", "order_id", "event_id", F.col("event_type").alias("what"))
+    rows = creates_and_pays(orders).select("ts", "order_id", "event_id", F.col("event_type").alias("what"))
     return (_run(rows, OrderStatus(micros(within)), "order_id bigint",
                  "create_id bigint, create_t bigint, pay_id bigint, pay_t bigint, status string", delay)
             .select("order_id", "create_id", F.timestamp_micros("create_t").alias("create_ts"), "pay_id",
@@ -241,16 +243,18 @@ def order_status(orders: DataFrame, within: timedelta = PAY_WITHIN, delay: str =
 
 def reconcile_one_to_one(pays: DataFrame, receipts: DataFrame, early: timedelta = reconcile.EARLY,
                          late: timedelta = reconcile.LATE, delay: str = "0 seconds") -> DataFrame:
-    """Reconciliation for transaction ids that repeat: every row is used once."""
+    """Reconciliation for transaction ids that repeat: every row is used once. A row without an id has
+    no partner."""
     rows = (pays.select(F.col("pay_ts").alias("ts"), "tx_id", F.col("pay_id").alias("event_id"),
                         F.lit("pay").alias("what"))
             .unionByName(receipts.select(F.col("receipt_ts").alias("ts"), "tx_id",
                                          F.col("receipt_id").alias("event_id"), F.lit("receipt").alias("what"))))
     tx_type = rows.schema["tx_id"].dataType.simpleString()
-    return (_run(rows, OneToOne(micros(early), micros(late)), f"tx_id {tx_type}",
+    settled = (_run(rows.filter(F.col("tx_id").isNotNull()), OneToOne(micros(early), micros(late)), f"tx_id {tx_type}",
                  "pay_id bigint, pay_t bigint, receipt_id bigint, receipt_t bigint, status string", delay)
             .select("tx_id", "pay_id", F.timestamp_micros("pay_t").alias("pay_ts"), "receipt_id",
                     F.timestamp_micros("receipt_t").alias("receipt_ts"), "status"))
+    return settled.unionByName(nameless(pays, receipts))
 
 
 def capped_clicks(clicks: DataFrame, cap: int = DEFAULT_CAP, zone: str = DAY_ZONE,
@@ -259,7 +263,7 @@ def capped_clicks(clicks: DataFrame, cap: int = DEFAULT_CAP, zone: str = DAY_ZON
     if cap < 2:
         raise ValueError("cap must be at least 2")
     day = local_day("ts", zone)
-    day_end = F.unix_micros(F.to_utc_timestamp(F.date_add(day, 1).cast("timestamp"), zone))
+    day_end = epoch_micros(local_day_end(day, zone))
     rows = clicks.select("ts", "user_id", "ad_id", "event_id", day.alias("day"),
                          day_end.cast("string").alias("what"))
     return (_run(rows, ClickCap(cap), "user_id bigint, ad_id bigint, day date",

@@ -11,22 +11,23 @@ from pyspark.sql import functions as F
 from eventide.session import durable_dir, use_utc
 from eventide.sources.tables import instants
 
+STATE_STORES = 8
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-# Key of the rows that only push the watermark; never a real user.
-FLUSH_USER = -1
-_FLUSH_AT = datetime(2200, 1, 1)
+# Rows at or after this time only push the watermark. They are told by it, not by their key.
+_FLUSH_USER = -1
+FLUSH_AT = datetime(2200, 1, 1)
 
 
-def stream_session(spark: SparkSession) -> SparkSession:
+def stream_session(spark: SparkSession, stores: int = STATE_STORES) -> SparkSession:
     """A session of its own, so that state settings do not leak into batch queries.
 
-    Shuffle partitions fix the number of state stores for a stream's life: one per core at most.
+    `stores` is the number of state stores, which a checkpoint keeps for its life: as many as tasks
+    that the stream may ever need, whatever executors are up when it starts.
     """
     own = spark.newSession()
     use_utc(own)
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    own.conf.set("spark.sql.shuffle.partitions", str(min(wanted, spark.sparkContext.defaultParallelism)))
+    own.conf.set("spark.sql.shuffle.partitions", str(stores))
     return own
 
 
@@ -59,7 +60,7 @@ class Replay:
         self._rows(self._types).coalesce(1).write.mode("append").parquet(self._path)
 
     def _rows(self, event_types: list[str]) -> DataFrame:
-        fixed = {"ts": F.lit(_FLUSH_AT), "user_id": F.lit(FLUSH_USER), "event_type": F.col("kind"),
+        fixed = {"ts": F.lit(FLUSH_AT), "user_id": F.lit(_FLUSH_USER), "event_type": F.col("kind"),
                  "event_id": F.lit(-1), "props": F.lit('{"k": 0}')}
         return (self._spark.createDataFrame([(kind,) for kind in event_types], "kind string")
                 .select(*[fixed.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
