@@ -89,13 +89,14 @@ class Shard:
         fits[self.starts[long_]] += 1
         fits[self.starts[long_ + 1] - LENGTH + 1] -= 1
         fits = np.cumsum(fits[:-1]) > 0
-        begins, keys = [], []
+        begins, keys, last = [], [], None  # what a document's stretches are does not depend on its place in the shard
         for at in range(0, max(0, len(data) - LENGTH + 1), BLOCK):
             least = _sliding_least(_gram_hashes(data[at:at + BLOCK + LENGTH - 1], GRAM), LENGTH - GRAM + 1)
-            change = np.ones(len(least), bool)
-            change[1:] = least[1:] != least[:-1]
             own = fits[at:at + len(least)]
-            change[1:] |= own[1:] != own[:-1]
+            change = np.ones(len(least), bool)
+            change[1:] = (least[1:] != least[:-1]) | (own[1:] != own[:-1])
+            change[0] = last != (least[0], own[0])
+            last = (least[-1], own[-1])
             heads = self.starts[np.searchsorted(self.starts, at):np.searchsorted(self.starts, at + len(least))] - at
             change[heads] = True
             first = np.flatnonzero(change)

@@ -54,6 +54,18 @@ def test_collections(spark, monkeypatch):
     assert rows(suffix_dedup.digests(df, shard_bytes=3000)) == brute(docs)
 
 
+def test_stretches_do_not_depend_on_place(monkeypatch):
+    texts = [t.encode() for _, t in sample() if t]
+    def stretches(order, block):
+        monkeypatch.setattr(suffix_dedup, "BLOCK", block)
+        shard = suffix_dedup.Shard(list(order), [texts[i] for i in order])
+        return sorted((order[d], int(b - shard.starts[d]), int(e - shard.starts[d]), int(k))
+                      for d, b, e, k in zip(shard.doc, shard.begin, shard.end, shard.key))
+    order = list(range(len(texts)))
+    want = stretches(order, 1 << 19)
+    assert stretches(order, 37) == want and stretches(order[::-1], 64) == want
+
+
 def test_without_repeats(spark):
     shared = "é" * 40 + "the shared passage"
     df = documents(spark, ["start " + shared, "x" + shared + "� end", shared, "", None, "own"])
