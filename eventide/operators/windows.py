@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions.eventtime import bucket, epoch_micros, instant, micros, window_end
 
-# Runs are cut at multiples of this many window sizes, which bounds the rows per (key, block).
+# Changes are summed in blocks of this many window sizes, which bounds the rows per (key, block).
 SIZES_PER_BLOCK = 24
 
 
@@ -79,15 +79,30 @@ def hop_runs(events: DataFrame, keys: list[str], size: timedelta, slide: timedel
     """Sliding count as runs: every window ending from `first_window_end` to `last_window_end`
     (both included, one per slide) holds `cnt` rows of the key. Windows with no row are absent.
 
-    Lossless, and its volume follows the number of rows, not size / slide.
+    Lossless, and its volume follows the number of rows, not size / slide. Runs are maximal.
     """
     step = micros(slide)
-    runs = key_runs(events, keys, size, slide)
+    runs = _uncut(key_runs(events, keys, size, slide), keys, panes_per_window(size, slide))
     return runs.select(*keys, instant(F.col("first"), step).alias("first_window_end"),
                        instant(F.col("until") - 1, step).alias("last_window_end"),
                        (F.col("until") - F.col("first")).alias("windows"), "cnt")
 
 
+def _uncut(runs: DataFrame, keys: list[str], per_window: int) -> DataFrame:
+    """Joins runs of one count that meet where a block ends. Only runs at an edge of their block are
+    looked at together, two per key and block: their number follows the time span, not the rows."""
+    width = F.lit(per_window * SIZES_PER_BLOCK).cast("long")
+    edge = (F.col("first") == F.col("block") * width) | (F.col("until") == (F.col("block") + 1) * width)
+    w = Window.partitionBy(*keys).orderBy("first")
+    goes_on = F.coalesce((F.lag("until").over(w) == F.col("first")) & (F.lag("cnt").over(w) == F.col("cnt")),
+                         F.lit(False))
+    joined = (runs.filter(edge).withColumn("new", (~goes_on).cast("int"))
+              .withColumn("island", F.sum("new").over(w))
+              .groupBy(*keys, "island", "cnt").agg(F.min("first").alias("first"), F.max("until").alias("until")))
+    names = [*keys, "first", "until", "cnt"]
+    return runs.filter(~edge).select(*names).unionByName(joined.select(*names))
+
+
 def key_runs(events: DataFrame, keys: list[str], size: timedelta, slide: timedelta) -> DataFrame:
     """The runs in pane numbers: windows ending at panes first .. until-1 hold cnt rows."""
     return runs_of_panes(pane_counts(events, keys, slide), keys, panes_per_window(size, slide))

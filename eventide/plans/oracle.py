@@ -23,14 +23,13 @@ FROM ({source}) AS src CROSS JOIN range({size // slide}) AS panes(k) GROUP BY AL
 
 
 def _runs(keys: str, source: str, size: int, slide: int) -> str:
-    """Consecutive windows with one count, cut every 24 window sizes."""
+    """Consecutive windows with one count."""
     return f"""WITH hop AS ({_hop(keys, source, size, slide)}),
 numbered AS (SELECT *, CAST(epoch_us(window_end) // {slide * 10**6} AS BIGINT) AS w FROM hop),
-islands AS (SELECT *, w // {size // slide * 24} AS blk, w - row_number() OVER (
-    PARTITION BY {keys}, cnt, w // {size // slide * 24} ORDER BY w) AS island FROM numbered)
+islands AS (SELECT *, w - row_number() OVER (PARTITION BY {keys}, cnt ORDER BY w) AS island FROM numbered)
 SELECT {keys}, min(window_end) AS first_window_end, max(window_end) AS last_window_end,
        count(*) AS windows, cnt
-FROM islands GROUP BY {keys}, cnt, blk, island"""
+FROM islands GROUP BY {keys}, cnt, island"""
 
 
 def _top(counts: str, key: str) -> str:
