@@ -87,12 +87,16 @@ class LateTopN:
             if missing.getCondition() == "PATH_NOT_FOUND":
                 return  # the batch changed nothing
             raise
-        # Two numbers, the time range of this batch: only its folders are listed and read.
-        low, high = changed.agg(F.min(self._stretch(F.col("pane") - self.per_window)),
-                                F.max(self._stretch(F.col("pane") + self.per_window))).first()
-        near = ",".join(str(stretch) for stretch in range(low, high + 1))
+        # Only the folders that the batch's windows reach into are listed and read, however far apart
+        # its times lie, and of their panes only those in reach.
+        pane, reach = F.col("pane"), self.per_window
+        low, high = changed.agg(F.min("pane"), F.max("pane")).first()
+        if low is None:
+            return
+        stretches = F.sequence(self._stretch(pane - reach), self._stretch(pane + reach))
+        near = ",".join(str(row[0]) for row in changed.select(F.explode(stretches)).distinct().collect())
         current = (reader.parquet(f"{self.panes}/stretch={{{near}}}")
-                   .filter(F.col("batch_id") <= batch_id)
+                   .filter((F.col("batch_id") <= batch_id) & pane.between(low - reach, high + reach))
                    .groupBy(self.key, "pane").agg(F.max_by("cnt", "batch_id").alias("cnt")))
         # The windows that cover a changed pane end one to per_window panes after it.
         step = F.lit(micros(self.slide)).cast("long")
