@@ -20,6 +20,7 @@ flags are written to the shared folder.
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -123,19 +124,32 @@ class Shard:
         np.maximum.at(high, inverse, self.ids[self.doc])
         return keys, low != high, inverse
 
-    def segments(self, found: np.ndarray, hot: np.ndarray, inverse: np.ndarray) -> list[tuple]:
-        """((key, segment), [(document, first window)]) of the stretches whose key is flagged, in order."""
-        out: dict[tuple[int, bytes], list] = {}
+    def segments(self, found: np.ndarray, hot: np.ndarray, inverse: np.ndarray) -> Segments:
+        """Distinct (key, text) of the stretches whose key is flagged, in order; and of each stretch the number of its
+        text in that order, its document and its first window. Stretches with a hot key count window by window."""
+        use = np.flatnonzero(found[inverse])
+        numbers: dict[tuple[int, bytes], int] = {}
+        number, docs, firsts = [], [], []
         data = self.data
-        for i in np.flatnonzero(found[inverse]).tolist():
-            a, b, doc = int(self.begin[i]), int(self.end[i]), int(self.doc[i])
-            if hot[inverse[i]]:
-                for w in range(a, b):
-                    text = data[w:w + LENGTH]
-                    out.setdefault((xxhash.xxh64_intdigest(text) >> (64 - KEY_BITS), text), []).append((doc, w))
-            else:
-                out.setdefault((int(self.key[i]), data[a:b + LENGTH - 1]), []).append((doc, a))
-        return sorted(out.items())
+        for a, b, key, doc, spread in zip(*(x[use].tolist() for x in (self.begin, self.end, self.key, self.doc)),
+                                          hot[inverse[use]].tolist()):
+            parts = [(w, data[w:w + LENGTH]) for w in range(a, b)] if spread else [(a, data[a:b + LENGTH - 1])]
+            for first, text in parts:
+                named = xxhash.xxh64_intdigest(text) >> (64 - KEY_BITS) if spread else key
+                number.append(numbers.setdefault((named, text), len(numbers)))
+                docs.append(doc)
+                firsts.append(first)
+        order = sorted(numbers)
+        place = np.empty(len(order), np.int64)
+        place[[numbers[k] for k in order]] = np.arange(len(order))
+        return Segments(order, place[np.array(number, np.int64)], np.array(docs, np.int64), np.array(firsts, np.int64))
+
+
+class Segments(NamedTuple):
+    texts: list[tuple[int, bytes]]
+    number: np.ndarray
+    doc: np.ndarray
+    first: np.ndarray
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -205,7 +219,7 @@ def _flag(hot_shards: int) -> Callable:
     return run
 
 
-def _flagged(shard: Shard, marks: list[dict]) -> list[tuple]:
+def _flagged(shard: Shard, marks: list[dict]) -> Segments:
     marks = sorted((m for m in marks if m["kind"] == 0), key=lambda m: m["range"])
     keys, _, inverse = shard.distinct_keys()
     found = np.concatenate([_flags(m["a"], m["n"]) for m in marks]) if marks else np.zeros(len(keys), bool)
@@ -220,11 +234,12 @@ def _send(ranges: int) -> Callable:
             return _table([], *_SENT)
         shard = _shard(docs)
         segments = _flagged(shard, marks.to_pylist())
-        keys = np.array([k for (k, _), _ in segments], np.uint64)
-        least = np.array([min(int(shard.ids[d]) for d, _ in places) for _, places in segments], np.int64)
+        keys = np.array([k for k, _ in segments.texts], np.uint64)
+        least = np.full(len(keys), LAST)
+        np.minimum.at(least, segments.number, shard.ids[segments.doc])
         number, out = docs.column("shard")[0].as_py(), []
         for r, a, b in _ranges(keys, ranges):
-            texts = [t for (_, t), _ in segments[a:b]]
+            texts = [t for _, t in segments.texts[a:b]]
             out.append((r, number, b - a, _planes(keys[a:b]), _planes(least[a:b].view(np.uint64)),
                         bytes(map(len, texts)), zstandard.compress(b"".join(texts), 1)))
         return _table(out, *_SENT)
@@ -310,24 +325,15 @@ def _marked(docs: pa.Table, marks: pa.Table) -> pa.Table:
     shard, rows = _shard(docs), marks.to_pylist()
     delta = np.zeros(len(shard.data) + 1, np.int32)
     if rows:
-        segments, at = _flagged(shard, rows), 0
+        segments = _flagged(shard, rows)
         answers = [_unplaned(m["a"]).view(np.int64) for m in sorted((m for m in rows if m["kind"] == 1),
                                                                     key=lambda m: m["range"])]
         least = np.concatenate(answers) if answers else np.zeros(0, np.int64)
-        sizes, docs_of, firsts, froms = [], [], [], []
-        for (_, text), places in segments:
-            n = len(text) - LENGTH + 1
-            for doc, first in places:
-                sizes.append(n)
-                docs_of.append(doc)
-                firsts.append(first)
-                froms.append(at)
-            at += n
-        sizes_ = np.array(sizes, np.int64)
-        step = np.arange(int(sizes_.sum())) - np.repeat(np.cumsum(sizes_) - sizes_, sizes_)
-        window = np.repeat(np.array(firsts, np.int64), sizes_) + step
-        gone = least[np.repeat(np.array(froms, np.int64), sizes_) + step] < shard.ids[
-            np.repeat(np.array(docs_of, np.int64), sizes_)]
+        windows = np.array([len(t) - LENGTH + 1 for _, t in segments.texts], np.int64)
+        before, size = (np.cumsum(windows) - windows)[segments.number], windows[segments.number]
+        step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        window = np.repeat(segments.first, size) + step
+        gone = least[np.repeat(before, size) + step] < np.repeat(shard.ids[segments.doc], size)
         delta += np.bincount(window[gone], minlength=len(delta)).astype(np.int32)
         delta -= np.bincount(window[gone] + LENGTH, minlength=len(delta)).astype(np.int32)
     out = []
