@@ -38,6 +38,8 @@ MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 WORD_END = "</w>"
 # Python splits at these four; the tokenizer's white space does not hold them.
 NOT_SPACE = re.compile("[\x1c-\x1f]")
+# Lower-casing a text first, as the tokenizer does by character, could change these.
+PECULIAR = re.compile("[\u0130\u03a3]|<\\|")
 SPACE = re.compile(r"[^\S\x1c-\x1f]+")
 
 
@@ -63,7 +65,8 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Raw little-endian ids of each text."""
-        split = [SPACE.split(t) if NOT_SPACE.search(t) else t.split() for t in texts]
+        low = [t if PECULIAR.search(t) else t.lower() for t in texts]
+        split = [SPACE.split(t) if NOT_SPACE.search(t) else t.split() for t in low]
         new = [w for w in set().union(*split) if w not in self.known]
         if len(self.known) + len(new) > CACHED_WORDS and self.known:
             self.known, new = {}, list(set().union(*split))
@@ -73,24 +76,25 @@ class WordEncoder:
 
     def _learn(self, new: list[str]) -> None:
         """Letters followed by marks are two pre-tokens: the letters are encoded apart, many to a text."""
+        plain = [w for w in new if w.isalpha()]
         stems, rest, tails = {}, [], set()
         for word in new:
-            stem = word.rstrip(MARKS)
-            if stem.isalpha():
-                stems[word] = stem.lower() if stem.isascii() else stem
-                if len(stem) < len(word):
+            if not word.isalpha():
+                stem = word.rstrip(MARKS)
+                if stem.isalpha():
+                    stems[word] = stem
                     tails.add(word[len(stem):])
-            else:
-                rest.append(word)
+                else:
+                    rest.append(word)
         self._one_by_one([*rest, *tails - self.known.keys()])
-        codes = self._stems(list(set(stems.values())))
+        codes = self._stems(list({*plain, *stems.values()}))
+        self.known.update((w, codes[w]) for w in plain if w in codes)
+        self._one_by_one([w for w in plain if w not in codes])
         for word, stem in stems.items():
-            known = codes.get(stem)
-            if known is None:
-                self._one_by_one([word])
+            if stem in codes:
+                self.known[word] = codes[stem] + self.known[word[len(stem):]]
             else:
-                tail = word[len(stem):] if len(stem) < len(word) else ""
-                self.known[word] = known + self.known[tail] if tail else known
+                self._one_by_one([word])
 
     def _one_by_one(self, words: list[str]) -> None:
         for at in range(0, len(words), 10_000):
