@@ -1,7 +1,8 @@
 """Signature rules for licence scans.
 
 Rules match a text's words, lower-cased and joined by single spaces, so marks never matter ("GPL-2.0" reads "gpl 2 0").
-A rule is tried only on texts that hold all its keywords. Of two detections, one that lies within the other's words
+A rule is tried only on texts that hold all its keywords; every alternative of its pattern must hold them too, so a rule
+whose alternatives share no telling word is split over lines. Of two detections, one that lies within the other's words
 gives way unless its priority is higher.
 """
 
@@ -22,9 +23,10 @@ class Rule(NamedTuple):
 # The phrases that every scan counts.
 BASE = [("mit", "mit license"), ("apache", "apache license"), ("gpl", "general public license")]
 
-# label | words that must be present | how texts name the licence | its short identifier
+# label | words that must be present | how texts name the licence | its short identifier, where no line above has it
 FAMILIES = """
-mit | mit | (?:mit|expat)(?: x11)? licen[cs]e | mit
+mit | mit | mit(?: x11)? licen[cs]e | mit
+mit | expat | expat(?: x11)? licen[cs]e
 mit-0 | mit | mit no attribution(?: licen[cs]e)? | mit 0
 x11 | x11 | x11 licen[cs]e | x11
 apache-1.1 | apache | apache (?:software )?licen[cs]e (?:version |v)?1 1 | apache 1 1
@@ -37,7 +39,8 @@ gpl | public | (?:gnu )?general public licen[cs]e | gpl
 gpl | gpl | gnu gpl | gpl
 gpl-2.0 | gplv2 | gplv2 | gplv2
 gpl-3.0 | gplv3 | gplv3 | gplv3
-lgpl-2.0 | lesser | (?:gnu )?(?:lesser|library) general public licen[cs]e (?:version |v)?2(?: 0)? | lgpl 2 0(?: only| or later)?
+lgpl-2.0 | lesser | (?:gnu )?lesser general public licen[cs]e (?:version |v)?2(?: 0)? | lgpl 2 0(?: only| or later)?
+lgpl-2.0 | library | (?:gnu )?library general public licen[cs]e (?:version |v)?2(?: 0)?
 lgpl-2.1 | lesser | (?:gnu )?lesser general public licen[cs]e (?:version |v)?2 1 | lgpl 2 1(?: only| or later)?
 lgpl-3.0 | lesser | (?:gnu )?lesser general public licen[cs]e (?:version |v)?3(?: 0)? | lgpl 3 0(?: only| or later)?
 lgpl | lesser | (?:gnu )?lesser general public licen[cs]e | lgpl
@@ -82,7 +85,7 @@ cc-by-nc-nd | noncommercial | creative commons attribution noncommercial noderiv
 cc | creative | creative commons licen[cs]e | cc
 odbl | database | open (?:data commons )?(?:open )?database licen[cs]e | odbl 1 0
 odc-by | commons | open data commons attribution licen[cs]e | odc by 1 0
-pddl | commons | public domain dedication and licen[cs]e | pddl 1 0
+pddl | dedication | public domain dedication and licen[cs]e | pddl 1 0
 psf-2.0 | python | python software foundation licen[cs]e | psf 2 0
 python-2.0 | python | python licen[cs]e | python 2 0
 php-3.01 | php | php licen[cs]e | php 3 0?1
@@ -135,11 +138,12 @@ isc | permission fee | permission to use copy modify and or distribute this soft
 zlib | origin misrepresented | the origin of this software must not be misrepresented
 unlicense | unencumbered | this is free and unencumbered software released into the public domain
 bsl-1.0 | boost | distributed under the boost software licen[cs]e
-wtfpl | wtfpl | do what the fuck you want to
+wtfpl | fuck want | do what the fuck you want to
 public-domain | public domain | (?:released|placed|dedicated) (?:in|into|to) the public domain
 proprietary | rights reserved | all rights reserved
 proprietary | confidential proprietary | (?:confidential and proprietary|proprietary and confidential)
-proprietary | redistribution prohibited | (?:redistribution|copying) (?:of this \\w+ )?is (?:strictly )?prohibited
+proprietary | redistribution prohibited | redistribution (?:of this \\w+ )?is (?:strictly )?prohibited
+proprietary | copying prohibited | copying (?:of this \\w+ )?is (?:strictly )?prohibited
 """
 
 
@@ -152,9 +156,9 @@ def rules() -> list[Rule]:
     """Every rule, in order: of detections with equal words and priority the earlier rule's stays."""
     found = []
     for line in filter(None, FAMILIES.splitlines()):
-        label, words, name, short = (part.strip() for part in line.split(" | "))
+        label, words, name, *short = (part.strip() for part in line.split(" | "))
         found += [
-            _rule(label, 9, 0.99, "spdx identifier", f"spdx licen[cs]e identifier {short}"),
+            *(_rule(label, 9, 0.99, "spdx identifier", f"spdx licen[cs]e identifier {s}") for s in short),
             _rule(label, 7, 0.95, f"{words} under",
                   f"(?:licensed|released|distributed|available|provided|published|covered) under (?:the )?"
                   f"(?:terms (?:and conditions )?of )?(?:the )?(?:{name})"),

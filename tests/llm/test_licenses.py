@@ -62,3 +62,43 @@ def test_against_plain_suppression():
 def test_rules_and_empty(spark):
     assert len(all_rules()) > 200
     assert licenses.summary(documents(spark, [])).collect() == []
+
+
+def alternatives(pattern):
+    """Every text that a rule's pattern spells out; `\\w+` stands for one word."""
+    def each(items):
+        texts = [""]
+        for op, value in items:
+            name = str(op)
+            if name == "LITERAL":
+                own = [chr(value)]
+            elif name == "IN":
+                own = ["file"] if str(value[0][0]) == "CATEGORY" else [chr(c) for _, c in value]
+            elif name == "BRANCH":
+                own = [t for branch in value[1] for t in each(branch)]
+            elif name == "SUBPATTERN":
+                own = each(value[3])
+            elif name == "MAX_REPEAT":
+                own = ([""] if value[0] == 0 else []) + each(value[2])
+            else:
+                assert name == "ASSERT_NOT"
+                own = [""]
+            texts = [a + b for a in texts for b in own]
+        return texts
+    return each(re._parser.parse(pattern.decode()))
+
+
+def test_no_alternative_is_lost_to_the_keywords():
+    for rule in all_rules():
+        gated, free = (licenses.Scanner([], [r]) for r in (rule, rule._replace(keywords=frozenset())))
+        for text in alternatives(rule.pattern.pattern):
+            found = free.scan(text.encode())[2]
+            assert found and gated.scan(text.encode())[2] == found, (rule.label, text)
+
+
+def test_labels_without_the_other_word(spark):
+    texts = ["Licensed under the Expat license", "GNU Library General Public License version 2",
+             "Copying is strictly prohibited", "Public Domain Dedication and License"]
+    got = {r.doc_id: r for r in licenses.summary(documents(spark, texts)).collect()}
+    assert [got[i].labels for i in range(4)] == ["mit", "gpl,lgpl-2.0", "proprietary", "pddl"]
+    assert got[0].n_found == 2 and got[2].n_found == 1
