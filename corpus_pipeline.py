@@ -21,11 +21,12 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose language is not identified: no letters, or no language likely enough.
+    """Drops documents whose language is not identified: no letters, letters that fit none of the languages, or no
+    language likely enough.
 
     The text model learns from the documents' own labels; the label is also the declared language, the source the host.
     """
-    found = language.identify(docs, language.train(docs), "doc_id", "text", "lang", "source")
+    found = language.identify(docs, language.train(docs), "doc_id", "text", "lang", "source", label_col="lang")
     return _without(docs, found.where("rejected").withColumnRenamed("id", "doc_id"))
 
 

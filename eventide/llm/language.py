@@ -8,6 +8,10 @@ The text likelihood is a byte n-gram model fitted on labelled texts. The other t
 over the whole table, each row counting towards the languages as its text alone suggests. A host's prior is smoothed
 towards its domain's, that towards its suffix's, and that towards the whole table's. A row's own count is taken out of
 its prior, so that it is not heard twice.
+
+The posterior only compares the known languages with one another. Whether a text is in any of them is told by its fit:
+the mean log likelihood of its n-grams over that of a model in which all n-grams are alike. It does not grow with the
+text's length. Each language's least fit comes from the labelled sample, each text of it judged without its own counts.
 """
 
 from __future__ import annotations
@@ -30,6 +34,9 @@ TEXT_WEIGHT = 0.25
 SHRINK = 5.0
 SAMPLE_PER_LANGUAGE = 1000
 MIN_POSTERIOR = 0.6
+#: A language's usual fit is that of all but this share of its sample; its least fit lies halfway down to that of a
+#: text without any known n-gram.
+ODD_SHARE = 0.05
 _SPACED = bytes(b if 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 _HIDDEN = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
 
@@ -51,12 +58,17 @@ def visible_text(page: bytes) -> bytes:
 
 
 class TextModel:
-    """Log likelihood of each n-gram bucket under each language."""
+    """Log likelihood of each n-gram bucket under each language.
+
+    `limits` has the highest id hash in each language's sample. `least` and `mean` are the fits of `judge`.
+    """
 
-    def __init__(self, languages: list[str], counts: np.ndarray, alpha: float = 0.05):
-        self.languages = languages
+    def __init__(self, languages: list[str], counts: np.ndarray, alpha: float = 0.05,
+                 limits: dict[str, int] | None = None):
+        self.languages, self.counts, self.alpha, self.limits = languages, counts, alpha, limits or {}
         smooth = counts + alpha
         self.table = np.log(smooth / smooth.sum(axis=0, keepdims=True)).astype(np.float32)
+        self.least, self.mean = np.full(len(languages), -np.inf), np.zeros(len(languages))
 
     def score(self, text: bytes) -> np.ndarray:
         grams = _grams(text)
@@ -65,6 +77,37 @@ class TextModel:
             out += self.table[grams[at:at + (1 << 18)]].sum(axis=0, dtype=np.float64)
         return out * TEXT_WEIGHT
 
+    def fit(self, text: bytes, sampled: str | None = None) -> tuple[int, np.ndarray]:
+        """Number of n-grams, and their mean log likelihood under each language over that under equal chances.
+
+        `sampled` is the language in whose sample the text is; its own counts are taken out there.
+        """
+        grams = _grams(text)
+        buckets, times = np.unique(grams, return_counts=True)
+        logs = self.table[buckets].astype(np.float64)
+        if sampled in self.languages:
+            at = self.languages.index(sampled)
+            left = np.maximum(self.counts[buckets, at] - times, 0) + self.alpha
+            whole = max(self.counts[:, at].sum() - len(grams), 0) + self.alpha * BUCKETS
+            logs[:, at] = np.log(left / whole)
+        return len(grams), times @ logs / max(len(grams), 1) + np.log(BUCKETS)
+
+    def judge(self, usual: dict[str, tuple[float, float]]) -> None:
+        """Sets each language's least fit from the usual and the mean fit of its sample."""
+        none = np.log(self.alpha * BUCKETS / (self.counts.sum(axis=0) + self.alpha * BUCKETS))
+        for at, language in enumerate(self.languages):
+            low, self.mean[at] = usual.get(language, (-np.inf, 0.0))
+            self.least[at] = (none[at] + low) / 2
+
+    def known(self, text: bytes, sampled: str | None = None) -> bool:
+        """Whether a text's fit reaches the least fit of any language.
+
+        One independent observation of the language's mean fit is added, so that a few letters decide nothing.
+        """
+        n, fits = self.fit(text, sampled)
+        free = 1 / TEXT_WEIGHT
+        return bool(((n * fits + free * self.mean) / (n + free) >= self.least).any())
+
 
 def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id",
           per_language: int = SAMPLE_PER_LANGUAGE) -> TextModel:
@@ -72,7 +115,7 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang",
     (with repeated ids, all their rows).
 
     Rows with a null id, text or label are not used. The counts, not the texts, come to the driver: their number is
-    bounded by the model's size. One hash limit per language comes to the driver too.
+    bounded by the model's size. One hash limit and two fits per language come to the driver too.
     """
     rows = labelled.select(F.col(id_col).cast("long").alias("i"), F.col(label_col).cast("string").alias("l"),
                            F.col(text_col).cast("string").alias("t")).dropna()
@@ -104,11 +147,28 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang",
     counts = np.zeros((BUCKETS, len(languages)))
     column = np.array([languages.index(x) for x in sums.column("l").to_pylist()], np.int64)
     counts[sums.column("bucket").to_numpy(), column] = sums.column("n").to_numpy()
-    return TextModel(languages, counts)
+    model = TextModel(languages, counts, limits=limits)
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def fits(batches) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            labels, found = batch.column("l").to_pylist(), []
+            for label, text in zip(labels, batch.column("t").cast(pa.binary())):
+                n, fit = model.fit(text.as_py(), label)
+                found.append(float(fit[model.languages.index(label)]) if n else None)
+            yield pa.RecordBatch.from_arrays([pa.array(labels, pa.string()), pa.array(found, pa.float64())],
+                                             names=["l", "fit"])
+
+    lettered = chosen.where(F.col("l").isin(languages))
+    model.judge({r.l: (r.low, r.mean) for r in lettered.mapInArrow(fits, "l string, fit double").dropna().groupBy(
+        "l").agg(F.percentile_approx("fit", ODD_SHARE).alias("low"), F.avg("fit").alias("mean")).collect()})
+    return model
 
 
 def _score(rows: DataFrame, model: TextModel, markup: bool) -> DataFrame:
-    """Adds text_scores and n_letters to (id, text, declared, host, domain, suffix), and drops the text."""
+    """Adds text_scores, n_letters and known to (id, text, declared, host, domain, suffix, sampled), and drops the text
+    and sampled."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
     kept = ["id", "declared", "host", "domain", "suffix"]
 
@@ -119,12 +179,15 @@ def _score(rows: DataFrame, model: TextModel, markup: bool) -> DataFrame:
             texts = [visible_text(t) for t in texts] if markup else texts
             letters = [len(b"".join(t.translate(_SPACED).split())) for t in texts]
             scores = [model.score(t) if n else np.zeros(len(model.languages)) for t, n in zip(texts, letters)]
+            known = [n > 0 and model.known(t, s) for t, n, s in zip(texts, letters, batch.column("sampled").to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), pa.array(scores, pa.list_(pa.float64())), pa.array(letters, pa.int64())],
-                names=[*kept, "text_scores", "n_letters"])
+                [*(batch.column(c) for c in kept), pa.array(scores, pa.list_(pa.float64())), pa.array(letters, pa.int64()),
+                 pa.array(known, pa.bool_())],
+                names=[*kept, "text_scores", "n_letters", "known"])
 
-    return rows.select(*kept, "text").mapInArrow(
-        run, "id long, declared string, host string, domain string, suffix string, text_scores array<double>, n_letters long")
+    return rows.select(*kept, "sampled", "text").mapInArrow(
+        run, "id long, declared string, host string, domain string, suffix string, text_scores array<double>, "
+        "n_letters long, known boolean")
 
 
 def _softmax(scores: Column) -> Column:
@@ -142,11 +205,12 @@ def _sums(rows: DataFrame, key: str, k: int, name: str) -> DataFrame:
 def identify(rows: DataFrame, model: TextModel, id_col: str, text_col: str, declared_col: str | Column | None = None,
              host_col: str | Column | None = None, domain_col: str | Column | None = None,
              suffix_col: str | Column | None = None, markup: bool = False,
-             min_posterior: float = MIN_POSTERIOR) -> DataFrame:
+             min_posterior: float = MIN_POSTERIOR, label_col: str | Column | None = None) -> DataFrame:
     """Per row: id, lang, posterior, text_lang, declared, rejected.
 
-    Columns that are not given, or are null in a row, say nothing. A row is rejected if its text has no letters or no
-    language reaches `min_posterior`. Rows with equal ids are judged each by itself. A model without languages
+    Columns that are not given, or are null in a row, say nothing. A row is rejected if its text has no letters, fits
+    no language, or no language reaches `min_posterior`. If `rows` are those the model was trained on, `label_col` is
+    their label: the fit of a row of the sample is then taken without its own counts. Rows with equal ids are judged each by itself. A model without languages
     rejects every row, with a null language. Ties go to the language that sorts first.
     """
     def given(col: str | Column | None) -> Column:
@@ -155,7 +219,13 @@ def identify(rows: DataFrame, model: TextModel, id_col: str, text_col: str, decl
     k, languages = len(model.languages), model.languages
     named = rows.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
                         F.lower(given(declared_col)).alias("declared"), given(host_col).alias("host"),
-                        given(domain_col).alias("domain"), given(suffix_col).alias("suffix"))
+                        given(domain_col).alias("domain"), given(suffix_col).alias("suffix"),
+                        given(label_col).alias("label"))
+    if model.limits:
+        limit = F.element_at(F.create_map(*(F.lit(x) for pair in model.limits.items() for x in pair)), F.col("label"))
+        named = named.withColumn("sampled", F.when(F.col("id").isNotNull() & (F.xxhash64("id") <= limit), F.col("label")))
+    else:
+        named = named.withColumn("sampled", F.lit(None).cast("string"))
     scored = _score(named, model, markup)
     if not k:
         none = F.lit(None).cast("string")
@@ -189,7 +259,7 @@ def identify(rows: DataFrame, model: TextModel, id_col: str, text_col: str, decl
         "id", names[F.array_position("fused", best).cast("int") - 1].alias("lang"), best.alias("posterior"),
         F.when(F.col("n_letters") > 0, names[F.array_position("text_scores", F.array_max("text_scores")).cast("int") - 1]
                ).alias("text_lang"), "declared",
-        ((F.col("n_letters") == 0) | (best < min_posterior)).alias("rejected"))
+        ((F.col("n_letters") == 0) | ~F.col("known") | (best < min_posterior)).alias("rejected"))
 
 
 def identify_pages(pages: DataFrame, model: TextModel, id_col: str = "page_id", html_col: str = "html",

@@ -43,3 +43,26 @@ def test_nothing_to_learn_from(spark):
 def test_bounded_sample_ignores_the_rest(spark):
     few = language.train(labelled(spark), per_language=3)
     assert few.languages == ["de", "en"]
+
+
+UNKNOWN = ["Это простой русский текст о погоде и о том, как живут люди", "这是一个关于天气和城市生活的简单中文文本",
+           " ".join("xqzvkjwpbfgmyc"[i % 7:i % 5 + 8] + "zqxjkvw"[i % 4:i % 3 + 4] for i in range(200))]
+CLEAN = ["the dog", "hund und katze", EN, DE, EN * 500, "the dog sat in the house with the cat"]
+
+
+def test_texts_in_no_known_language_go(spark):
+    texts = CLEAN + UNKNOWN + [t * 50 for t in UNKNOWN]
+    found = {r.id: r for r in language.identify(
+        documents(spark, texts), language.train(labelled(spark)), "doc_id", "text", "lang", "source").collect()}
+    assert [i for i in range(len(texts)) if not found[i].rejected] == list(range(len(CLEAN)))
+    one = language.train(labelled(spark).where("lang = 'en'"))
+    found = {r.id: r for r in language.identify(documents(spark, [EN, *UNKNOWN]), one, "doc_id", "text").collect()}
+    assert [found[i].rejected for i in range(4)] == [False, True, True, True]
+
+
+def test_labelled_noise_does_not_vouch_for_itself(spark):
+    rows = [(i, (EN if i % 2 else DE) * (1 + i % 4), "en" if i % 2 else "de", "s", 0) for i in range(400)]
+    rows += [(1000 + i, t * 20, "en", "s", 0) for i, t in enumerate(UNKNOWN)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = language.identify(docs, language.train(docs), "doc_id", "text", "lang", "source", label_col="lang")
+    assert {r.id for r in found.where("rejected").collect()} == {1000, 1001, 1002}
