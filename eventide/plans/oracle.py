@@ -213,7 +213,10 @@ WHERE NOT EXISTS (SELECT 1 FROM ({_PAY}) AS p WHERE {_IN_REACH})""",
 ORACLE |= {twin: ORACLE[batch] for twin, batch in {
     "stream_pv": "pv_hourly",
     "stream_uv": "uv_hourly",
+    "stream_uv_running": "uv_hourly",
     "stream_hot_items_topn": "hot_items_topn",
+    "stream_topn_changelog": "hot_items_topn",
+    "stream_channel_behavior": "channel_behavior_hop_count",
     "stream_hot_urls": "hot_urls_topn",
     "stream_ad_clicks_by_province": "ad_clicks_by_province",
     "stream_login_fail": "login_fail_episode",

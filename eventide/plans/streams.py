@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventide.operators import filters, windows
-from eventide.plans.catalog import (CAP, EARLY, FIVE_SECONDS, HOUR, LATE, LOGIN_WITHIN, PAY_WITHIN, Query,
+from eventide.operators import filters
+from eventide.plans.catalog import (CAP, EARLY, FIVE_MINUTES, FIVE_SECONDS, HOUR, LATE, LOGIN_WITHIN, PAY_WITHIN, Query,
                                     plain)
 from eventide.session import durable_dir
 from eventide.sources import tables
@@ -35,6 +35,31 @@ def uv(spark, sf_dir):
     return runner.collect_appended(replay, aggregates.uv(_page_views(replay.events)), "uv")
 
 
+#: A replay in time order takes this many micro-batches.
+PIECES = 4
+
+
+def _in_order(spark, sf_dir):
+    """The events in micro-batches that follow each other in time, on a stream's own session."""
+    own = runner.stream_session(spark)
+    return own, tables.instants(runner.events_stream(own, runner.in_time_order(own, sf_dir, PIECES), "*.parquet", 1))
+
+
+def uv_running(spark, sf_dir):
+    """The last count of each window; every micro-batch before told the count so far."""
+    own, ev = _in_order(spark, sf_dir)
+    home = durable_dir(own, "uv-running")
+    runner.run(aggregates.uv_running(_page_views(ev)), runner.append_batches(f"{home}/out"), f"{home}/checkpoint", "update")
+    return aggregates.newest(own.read.parquet(f"{home}/out"))
+
+
+def topn_changelog(spark, sf_dir):
+    """What the changes of all micro-batches come to."""
+    own, ev = _in_order(spark, sf_dir)
+    top = aggregates.refined_top_n(own, _page_views(ev), durable_dir(own, "changelog"), "item_id", HOUR, FIVE_MINUTES)
+    return aggregates.replayed(top.changes())
+
+
 def hot_items_topn(spark, sf_dir):
     replay = _replay(spark, sf_dir, "view")
     counts = aggregates.hop_counts(_page_views(replay.events), "item_id", "1 hour", "5 minutes")
@@ -56,11 +81,19 @@ def ad_guard(spark, sf_dir):
     return _without_flush(guarded, "ts").select("user_id", "ad_id", "day", "ts", "status")
 
 
-def ad_guard_by_province(spark, sf_dir):
-    kept = ad_guard(spark, sf_dir).filter(F.col("status") == keyed.KEPT)
-    by_province = tables.add_province(kept, tables.table(kept.sparkSession, sf_dir, "customer"),
-                                      tables.table(kept.sparkSession, sf_dir, "nation"))
-    return windows.hop_runs(by_province, ["province"], HOUR, FIVE_SECONDS)
+def ad_clicks_by_province(spark, sf_dir):
+    """The click cap, the province and the sliding count in one stream: three stateful steps, no batch step."""
+    replay = _replay(spark, sf_dir, "click")
+    own = replay.events.sparkSession
+    kept = keyed.capped_clicks(tables.ad_clicks(replay.events), CAP).filter(F.col("status") == keyed.KEPT)
+    by_province = tables.add_province(kept, tables.table(own, sf_dir, "customer"), tables.table(own, sf_dir, "nation"))
+    return runner.collect_appended(replay, keyed.hop_runs(by_province, ["province"], HOUR, FIVE_SECONDS), "by-province")
+
+
+def channel_behavior(spark, sf_dir):
+    replay = _replay(spark, sf_dir, "view", "error", "click", "signup", "purchase")
+    runs = keyed.hop_runs(tables.channel_behaviour(replay.events), ["channel", "behavior"], HOUR, FIVE_SECONDS, "0 seconds")
+    return runner.collect_appended(replay, runs, "channels")
 
 
 def login_fail(spark, sf_dir):
@@ -95,10 +128,13 @@ def reconcile_one_to_one(spark, sf_dir):
 STREAMS: dict[str, Query] = {
     "stream_pv": pv,
     "stream_uv": uv,
+    "stream_uv_running": uv_running,
     "stream_hot_items_topn": hot_items_topn,
+    "stream_topn_changelog": topn_changelog,
     "stream_hot_urls": hot_urls,
     "stream_ad_guard": ad_guard,
-    "stream_ad_clicks_by_province": ad_guard_by_province,
+    "stream_ad_clicks_by_province": ad_clicks_by_province,
+    "stream_channel_behavior": channel_behavior,
     "stream_login_fail": login_fail,
     "stream_order_status": order_status,
     "stream_reconcile": reconcile,

@@ -23,6 +23,7 @@ from eventide.operators.fraud import DAY_ZONE, DEFAULT_CAP
 from eventide.operators.logins import known_users
 from eventide.operators.orders import LATE, NO_PAY, PAID, PAY_WITHIN, creates_and_pays
 from eventide.operators.reconcile import MATCHED, PAY_ONLY, RECEIPT_ONLY
+from eventide.operators.windows import panes_per_window
 from eventide.streaming.joins import nameless
 
 KEPT, BLACKLISTED = "kept", "blacklisted"
@@ -31,17 +32,24 @@ KEPT, BLACKLISTED = "kept", "blacklisted"
 class InOrder(StatefulProcessor):
     """Holds rows (t, event_id, what) back until the watermark and hands them to `step` in order.
 
+    Rows wait in slices of time, one map entry each. A small index tells each slice's first time and size, so that a
+    timer reads the due slices alone, however many rows wait behind them.
+
     Subclasses name their memory's schema and give `step`, `due` and `settle`; memory is None or a
-    tuple, `due` the time its key must be looked at again even without a new row.
+    tuple, `due` the time its key must be looked at again even without a new row. `room` may tell how
+    many waiting rows can still matter, given the memory: only the earliest so many are held.
     """
 
     memory_schema: str
     keys: list[str]
     columns: list[str]
+    #: Microseconds of a slice.
+    slice_width: int = 60_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", "t bigint, event_id bigint, what string")
+        self.pending = handle.getMapState("pending", "slice bigint", "t array<bigint>, event_id array<bigint>, what array<string>")
+        self.index = handle.getValueState("index", "slices array<bigint>, firsts array<bigint>, sizes array<bigint>")
         self.memory = handle.getValueState("memory", self.memory_schema)
         self.alarm = handle.getValueState("alarm", "at bigint")
 
@@ -55,55 +63,107 @@ class InOrder(StatefulProcessor):
         """Called once the watermark has reached `due`."""
         raise NotImplementedError
 
+    def room(self, memory) -> int | None:
+        return None
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        first = None
+        room = self.room(self._remembered())
+        slices = self._index()
         for pdf in rows:
-            items = list(zip(pdf["t"].tolist(), pdf["event_id"].tolist(), pdf["what"].tolist()))
-            self.pending.appendList(items)
-            lowest = min(item[0] for item in items)
-            first = lowest if first is None else min(first, lowest)
-        self._wake(first)
+            if room == 0:
+                continue
+            new: dict[int, list[tuple]] = {}
+            for item in zip(pdf["t"].tolist(), pdf["event_id"].tolist(), pdf["what"].tolist()):
+                new.setdefault(item[0] // self.slice_width, []).append(item)
+            for part, items in new.items():
+                self._put(slices, part, self._rows(slices, part) + items)
+            if room is not None:
+                self._trim(slices, room)
+        self._keep_index(slices)
+        if slices:
+            self._wake(min(first for first, _ in slices.values()))
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.alarm.clear()
         upto = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = sorted(tuple(row) for row in self.pending.get()) if self.pending.exists() else []
-        memory = tuple(self.memory.get()) if self.memory.exists() else None
+        memory, slices = self._remembered(), self._index()
         out: list = []
-        done = 0
-        for t, event_id, what in waiting:
-            if t > upto:
-                break
-            done += 1
-            memory = self.step(memory, t, event_id, what, out)
+        for part in sorted(part for part, (first, _) in slices.items() if first <= upto):
+            waiting = sorted(self._rows(slices, part))
+            done = 0
+            for t, event_id, what in waiting:
+                if t > upto:
+                    break
+                done += 1
+                memory = self.step(memory, t, event_id, what, out)
+            self._put(slices, part, waiting[done:])
         due = self.due(memory)
         if due is not None and due <= upto:
             memory = self.settle(memory, out)
             due = self.due(memory)
-        if done:
-            self.pending.clear()
-            if waiting[done:]:
-                self.pending.put(waiting[done:])
+        room = self.room(memory)
+        if room is not None:
+            self._trim(slices, room)
+        self._keep_index(slices)
         if memory is None:
             self.memory.clear()
         else:
             self.memory.update(memory)
-        times = [x for x in (due, waiting[done][0] if waiting[done:] else None) if x is not None]
+        times = [first for first, _ in slices.values()] + ([] if due is None else [due])
         if times:
             self._wake(min(times))
         if out:
             table = pd.DataFrame(out, columns=self.columns).astype(dict.fromkeys(self._longs(), "Int64"))
             for i, (name, value) in enumerate(zip(self.keys, key)):
                 table.insert(i, name, value)
-            yield table
+            yield self.shown(table)
 
     def close(self) -> None:
         pass
 
+    def shown(self, table: pd.DataFrame) -> pd.DataFrame:
+        return table
+
     def _longs(self) -> list[str]:
         return [c for c in self.columns if c != "status"]
 
+    def _remembered(self):
+        return tuple(self.memory.get()) if self.memory.exists() else None
+
+    def _index(self) -> dict[int, tuple[int, int]]:
+        """First time and size of each slice."""
+        if not self.index.exists():
+            return {}
+        slices, firsts, sizes = self.index.get()
+        return dict(zip(slices, zip(firsts, sizes)))
+
+    def _keep_index(self, slices: dict[int, tuple[int, int]]) -> None:
+        if slices:
+            self.index.update((list(slices), [f for f, _ in slices.values()], [n for _, n in slices.values()]))
+        elif self.index.exists():
+            self.index.clear()
+
+    def _rows(self, slices: dict, part: int) -> list[tuple]:
+        return list(zip(*self.pending.getValue((part,)))) if part in slices else []
+
+    def _put(self, slices: dict, part: int, rows: list[tuple]) -> None:
+        if rows:
+            self.pending.updateValue((part,), tuple(map(list, zip(*rows))))
+            slices[part] = (min(row[0] for row in rows), len(rows))
+        elif slices.pop(part, None):
+            self.pending.removeKey((part,))
+
+    def _trim(self, slices: dict, room: int) -> None:
+        """Lets go of the last rows beyond `room`: rows yet to come can only push them further back."""
+        extra = sum(size for _, size in slices.values()) - room
+        for part in sorted(slices, reverse=True):
+            if extra <= 0:
+                return
+            size = slices[part][1]
+            self._put(slices, part, sorted(self._rows(slices, part))[:size - extra] if size > extra else [])
+            extra -= size
+
     def _wake(self, t: int) -> None:
         at = -(-t // 1000)  # timers are in milliseconds
         if self.alarm.exists():
@@ -115,6 +175,10 @@ class InOrder(StatefulProcessor):
         self.alarm.update((at,))
 
 
+#: Slices in the length of a rule.
+_SLICES = 16
+
+
 class FailEpisodes(InOrder):
     memory_schema = "first bigint, last bigint, n bigint"
     keys = ["user_id"]
@@ -122,6 +186,7 @@ class FailEpisodes(InOrder):
 
     def __init__(self, length: int):
         self.length = length
+        self.slice_width = max(1, length // _SLICES)
 
     def step(self, memory, t, event_id, what, out):
         if memory and t > memory[0] + self.length:
@@ -146,6 +211,7 @@ class OrderStatus(InOrder):
 
     def __init__(self, limit: int):
         self.limit = limit
+        self.slice_width = max(1, limit // _SLICES)
 
     def step(self, memory, t, event_id, what, out):
         if memory and (what == "create" or t > memory[1] + self.limit):
@@ -174,6 +240,7 @@ class OneToOne(InOrder):
     def __init__(self, early: int, late: int):
         # how long a row of each side waits for the other side
         self.wait = {"pay": late, "receipt": early}
+        self.slice_width = max(1, max(early, late) // _SLICES)
 
     def step(self, memory, t, event_id, what, out):
         if memory and (memory[0] == what or t > memory[2] + self.wait[memory[0]]):
@@ -194,11 +261,13 @@ class OneToOne(InOrder):
 
 
 class ClickCap(InOrder):
-    """Key (user, ad, local day), so a count ends with its day and needs no reset."""
+    """Key (user, ad, local day), so a count ends with its day and needs no reset. Once the cap is reached no click of
+    the key is held any more, and before that no more clicks than are missing."""
 
     memory_schema = "clicks bigint, day_end bigint"
     keys = ["user_id", "ad_id", "day"]
     columns = ["event_id", "t", "status"]
+    slice_width = 3_600_000_000
 
     def __init__(self, cap: int):
         self.cap = cap
@@ -211,12 +280,53 @@ class ClickCap(InOrder):
             out.append((event_id, t, BLACKLISTED))
         return (clicks, day_end)
 
+    def room(self, memory):
+        return self.cap - memory[0] if memory and memory[0] < self.cap else 0 if memory else self.cap
+
     def due(self, memory):
         return memory[1] if memory else None
 
     def settle(self, memory, out):
         return None
 
+    def shown(self, table):
+        # A watermark can be carried on from here only by a timestamp.
+        table["ts"] = pd.to_datetime(table.pop("t"), unit="us")
+        return table[[*self.keys, "event_id", "ts", "status"]]
+
+
+class EqualWindows(InOrder):
+    """Runs of windows with one count, from the changes of the count: t is where a run may begin, event_id the change.
+
+    A run is let out when the count has changed, so no run is cut by a micro-batch."""
+
+    memory_schema = "since bigint, cnt bigint, at bigint, next_cnt bigint"
+    columns = ["since", "until", "cnt"]
+
+    def __init__(self, keys: list[str], size: int):
+        self.keys = keys
+        self.slice_width = max(1, size // _SLICES)
+
+    def step(self, memory, t, event_id, what, out):
+        since, cnt, at, after = memory or (t, 0, t, 0)
+        if t > at:
+            since, cnt, at, after = self._changed((since, cnt, at, after), out) or (t, 0, t, 0)
+        return (since, cnt, t, after + event_id)
+
+    def _changed(self, memory, out):
+        since, cnt, at, after = memory
+        if cnt == after:
+            return memory if cnt else None
+        if cnt:
+            out.append((since, at, cnt))
+        return (at, after, at, after) if after else None
+
+    def due(self, memory):
+        return memory[2] if memory and memory[1] != memory[3] else None
+
+    def settle(self, memory, out):
+        return self._changed(memory, out)
+
 
 def _run(rows: DataFrame, processor: InOrder, key_types: str, values: str, delay: str) -> DataFrame:
     ready = rows.withWatermark("ts", delay).withColumn("t", epoch_micros("ts"))
@@ -266,6 +376,32 @@ def capped_clicks(clicks: DataFrame, cap: int = DEFAULT_CAP, zone: str = DAY_ZON
     day_end = epoch_micros(local_day_end(day, zone))
     rows = clicks.select("ts", "user_id", "ad_id", "event_id", day.alias("day"),
                          day_end.cast("string").alias("what"))
-    return (_run(rows, ClickCap(cap), "user_id bigint, ad_id bigint, day date",
-                 "event_id bigint, t bigint, status string", delay)
-            .select("user_id", "ad_id", "day", "event_id", F.timestamp_micros("t").alias("ts"), "status"))
+    ready = rows.withWatermark("ts", delay).withColumn("t", epoch_micros("ts"))
+    capped = ready.groupBy(*ClickCap.keys).transformWithStateInPandas(
+        ClickCap(cap), "user_id bigint, ad_id bigint, day date, event_id bigint, ts timestamp, status string",
+        outputMode="Append", timeMode="EventTime", eventTimeColumnName="ts")
+    return capped.select("user_id", "ad_id", "day", "event_id", "ts", "status")
+
+
+def hop_runs(events: DataFrame, keys: list[str], size: timedelta, slide: timedelta, delay: str | None = None) -> DataFrame:
+    """Sliding counts as runs of equal windows, the streaming form of `windows.hop_runs`.
+
+    Rows are counted per (key, pane) first; a closed pane sends two changes of the count, whatever size / slide is. Give
+    no delay if the events carry a watermark already, as those of `capped_clicks` do.
+    """
+    per_window, step = panes_per_window(size, slide), F.lit(micros(slide)).cast("long")
+    timed = events if delay is None else events.withWatermark("ts", delay)
+    panes = (timed.groupBy(F.window("ts", f"{micros(slide)} microseconds").alias("pane"), *keys)
+             .agg(F.count(F.lit(1)).alias("n")))
+    at = epoch_micros("pane.end")
+    changes = F.array(F.struct(at.alias("t"), F.col("n").alias("event_id")),
+                      F.struct((at + per_window * step).alias("t"), (-F.col("n")).alias("event_id")))
+    moves = (panes.select(F.window_time("pane").alias("ts"), *keys, F.explode(changes).alias("c"))
+             .select("ts", *keys, "c.t", "c.event_id", F.lit("").alias("what")))
+    kinds = dict(moves.dtypes)
+    runs = moves.groupBy(*keys).transformWithStateInPandas(
+        EqualWindows(keys, micros(size)), ", ".join([f"{k} {kinds[k]}" for k in keys] + ["since bigint", "until bigint", "cnt bigint"]),
+        outputMode="Append", timeMode="EventTime")
+    return runs.select(*keys, F.timestamp_micros("since").alias("first_window_end"),
+                       F.timestamp_micros(F.col("until") - step).alias("last_window_end"),
+                       F.call_function("div", F.col("until") - F.col("since"), step).alias("windows"), "cnt")

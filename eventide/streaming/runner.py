@@ -8,22 +8,27 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventide.functions.eventtime import epoch_micros
 from eventide.session import durable_dir, use_utc
 from eventide.sources.tables import instants
 
+#: State stores of a stream, unless the session's setting of this name says otherwise.
 STATE_STORES = 8
+STORES_CONF = "eventide.stream.stores"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # Rows at or after this time only push the watermark. They are told by it, not by their key.
 _FLUSH_USER = -1
 FLUSH_AT = datetime(2200, 1, 1)
 
 
-def stream_session(spark: SparkSession, stores: int = STATE_STORES) -> SparkSession:
+def stream_session(spark: SparkSession, stores: int | None = None) -> SparkSession:
     """A session of its own, so that state settings do not leak into batch queries.
 
     `stores` is the number of state stores, which a checkpoint keeps for its life: as many as tasks
-    that the stream may ever need, whatever executors are up when it starts.
+    that the stream may ever need, whatever executors are up when it starts. On a cluster, set it here
+    or as `eventide.stream.stores` in the session.
     """
+    stores = stores or int(spark.conf.get(STORES_CONF, str(STATE_STORES)))
     own = spark.newSession()
     use_utc(own)
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
@@ -67,6 +72,19 @@ class Replay:
                           for f in self._schema]))
 
 
+def in_time_order(spark: SparkSession, folder: str, pieces: int, pattern: str = "events.parquet") -> str:
+    """The event files of a folder as a new folder of `pieces` consecutive stretches of time, written one after another:
+    a replay that takes a file at a time sees time pass. Rows without a time come first."""
+    rows = spark.read.option("pathGlobFilter", pattern).parquet(folder)
+    path = durable_dir(spark, "in-order")
+    t = epoch_micros(F.col("ts").cast("timestamp"))
+    low, high = rows.agg(F.min(t), F.max(t)).first()
+    part = F.least(F.call_function("div", (t - F.lit(low)) * pieces, F.lit(max((high or 0) - (low or 0), 1))), F.lit(pieces - 1))
+    for i in range(pieces):
+        rows.filter(F.coalesce(part, F.lit(0)) == i).write.mode("append").parquet(path)
+    return path
+
+
 def append_batches(path: str, transform: Callable[[DataFrame], DataFrame] | None = None):
     """Sink that keeps each micro-batch in a folder of its own: a batch run again after a failure
     replaces its own rows and nothing else."""

@@ -2,6 +2,7 @@
 
 from datetime import timedelta as td
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,6 +106,178 @@ def test_rows_on_each_side_of_the_lateness_limit(spark, tmp_path):
     assert second[1002, "/b"] == 2
 
 
+@pytest.mark.parametrize("files", [1, 2, 4])
+def test_running_unique_visitors(spark, source, tmp_path, files):
+    """Counts never fall, and the last of a window is its number of visitors, however the input is cut."""
+    folder, ev = source
+    own = runner.stream_session(spark)
+    stream = tables.instants(runner.events_stream(own, folder, "*.parquet", files_per_trigger=files))
+    runner.run(aggregates.uv_running(page_views(stream), delay=LATE), runner.append_batches(f"{tmp_path}/out"), f"{tmp_path}/cp", "update")
+    updates = own.read.parquet(f"{tmp_path}/out")
+    assert rows(aggregates.newest(updates)) == rows(uniques.uv(page_views(ev)))
+    told = {}
+    for r in updates.orderBy("batch_id").collect():
+        assert r["uv"] > told.get(r["window_end"], 0)
+        told[r["window_end"]] = r["uv"]
+
+
+def test_replay_in_time_order(spark, source):
+    folder, ev = source
+    own = runner.stream_session(spark)
+    ordered = own.read.parquet(runner.in_time_order(own, folder, 3, "*.parquet"))
+    assert rows(ordered) == rows(ev)
+
+
+@pytest.mark.parametrize("files", [1, 2, 4])
+def test_changes_of_a_top_n_replay_to_it(spark, source, tmp_path, files):
+    folder, ev = source
+    own = runner.stream_session(spark)
+    stream = tables.instants(runner.events_stream(own, folder, "*.parquet", files_per_trigger=files))
+    top = aggregates.refined_top_n(own, page_views(stream), str(tmp_path), "item_id", td(hours=1), td(minutes=5), 3, LATE)
+    want = topn.top_n(windows.hop_counts(page_views(ev), ["item_id"], td(hours=1), td(minutes=5)), "item_id", 3)
+    assert rows(aggregates.replayed(top.changes()), *want.columns) == rows(want)
+    assert rows(top.latest(), *want.columns) == rows(want)
+    # batch by batch: what is retracted is there, what is added is not
+    held = set()
+    for batch in sorted({r["batch_id"] for r in top.changes().select("batch_id").distinct().collect()}):
+        marked = [(r["change"], tuple(r[c] for c in want.columns)) for r in top.changes().filter(F.col("batch_id") == batch).collect()]
+        gone = {row for change, row in marked if change == "-"}
+        added = {row for change, row in marked if change == "+"}
+        assert gone <= held and not added & held and len(gone) + len(added) == len(marked)
+        held = held - gone | added
+    assert files == 4 or any(r["change"] == "-" for r in top.changes().collect())
+
+
+def test_refined_panes_are_removed_behind_the_watermark(spark, tmp_path):
+    """The number of pane files follows the windows that can still change, not the batches."""
+    own = runner.stream_session(spark)
+    folder, home = tmp_path / "in", tmp_path / "home"
+    folder.mkdir()
+    sizes = []
+    for i in range(12):
+        # two minutes go by with every file; the first row of each comes late
+        second = 120 * i
+        lines = [f"10.0.0.1 - - 01/01/2024:{s // 3600:02d}:{s // 60 % 60:02d}:{s % 60:02d} +0000 GET /{s % 3}"
+                 for s in (max(0, second - 5), second, second + 1, second + 60)]
+        (folder / f"{i:02d}.log").write_text("\n".join(lines))
+        gets = filters.get_requests(logs.stream_log(own, "access", str(folder), files_per_trigger=1))
+        late = aggregates.hot_urls(own, gets, str(home), td(seconds=10), td(seconds=1), delay="30 seconds")
+        sizes.append(len(late.panes.listing()))
+        assert all(len(versions) <= 2 for versions in late.panes.listing().values())
+    assert max(sizes) <= 4
+    all_gets = filters.get_requests(logs.read_log(spark, "access", str(folder)))
+    want = topn.top_n(windows.hop_counts(all_gets, ["url"], td(seconds=10), td(seconds=1)), "url")
+    assert rows(late.latest(), *want.columns) == rows(want)
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
+    own = runner.stream_session(spark)
+    top = aggregates.LateTopN(own, str(tmp_path), "k", "bigint", td(seconds=10), td(seconds=1), 2)
+    first = own.createDataFrame([(100, 1, 5), (101, 2, 4), (101, 3, 4)], "pane bigint, k bigint, cnt bigint")
+    second = own.createDataFrame([(101, 3, 6), (102, 1, 1)], "pane bigint, k bigint, cnt bigint")
+    top.absorb(first, 0)
+    top.absorb(second, 1)
+    once = rows(top.latest()), rows(top.changes())
+    top.absorb(second, 1)
+    assert (rows(top.latest()), rows(top.changes())) == once
+    top.absorb(first.limit(0), 2)
+    assert rows(top.latest()) == once[0]
+
+
+def test_runs_of_equal_windows(spark, source):
+    folder, ev = source
+    play = replay(spark, folder, *KINDS)
+    got = real(runner.collect_appended(play, keyed.hop_runs(tables.channel_behaviour(play.events), ["channel", "behavior"],
+                                                            td(minutes=30), td(seconds=30), LATE), "t-runs"))
+    want = windows.hop_runs(tables.channel_behaviour(ev), ["channel", "behavior"], td(minutes=30), td(seconds=30))
+    assert rows(got, *want.columns) == rows(want)
+
+
+def test_runs_of_clicks_below_the_cap(spark, source):
+    """Cap and sliding count are one stream of several stateful steps."""
+    folder, ev = source
+    play = replay(spark, folder, "click")
+    kept = keyed.capped_clicks(tables.ad_clicks(play.events), 4, delay=LATE).filter(F.col("status") == keyed.KEPT)
+    got = runner.collect_appended(play, keyed.hop_runs(kept, ["ad_id"], td(minutes=30), td(seconds=30)), "t-cap-runs")
+    want = windows.hop_runs(fraud.capped_clicks(tables.ad_clicks(ev), 4), ["ad_id"], td(minutes=30), td(seconds=30))
+    assert rows(got, *want.columns) == rows(want)
+
+
+class Held:
+    """The state calls of a processor, in memory, counting what is read."""
+
+    class Value:
+        def __init__(self):
+            self.now = None
+
+        def exists(self):
+            return self.now is not None
+
+        def get(self):
+            return self.now
+
+        def update(self, value):
+            self.now = tuple(value)
+
+        def clear(self):
+            self.now = None
+
+    class Map(dict):
+        reads = 0
+
+        def getValue(self, key):
+            Held.Map.reads += len(self[key][0])
+            return self[key]
+
+        def updateValue(self, key, value):
+            self[key] = value
+
+        def removeKey(self, key):
+            del self[key]
+
+    def getValueState(self, name, schema):
+        return self.Value()
+
+    def getMapState(self, name, key_schema, schema):
+        return self.Map()
+
+    def registerTimer(self, at):
+        pass
+
+    deleteTimer = registerTimer
+
+
+class Clock:
+    def __init__(self, millis):
+        self.getCurrentWatermarkInMs = lambda: millis
+
+
+def held_rows(processor, times):
+    pdf = pd.DataFrame({"t": times, "event_id": range(len(times)), "what": ["86400000000"] * len(times)})
+    list(processor.handleInputRows((1, 1, None), iter([pdf]), Clock(0)))
+
+
+def test_a_timer_reads_the_due_slices_alone():
+    processor = keyed.FailEpisodes(16_000_000)
+    processor.init(Held())
+    held_rows(processor, [s * 1_000_000 for s in range(10_000)])
+    Held.Map.reads = 0
+    list(processor.handleExpiredTimer((1,), Clock(20_500), None))
+    assert Held.Map.reads == 21  # one second is a slice here
+    assert sum(len(v[0]) for v in processor.pending.values()) == 10_000 - 21
+
+
+def test_a_full_cap_stores_nothing_more():
+    processor = keyed.ClickCap(5)
+    processor.init(Held())
+    held_rows(processor, list(range(1000, 0, -1)))
+    assert sum(len(v[0]) for v in processor.pending.values()) == 5
+    out = pd.concat(processor.handleExpiredTimer((1, 1, None), Clock(1), None))
+    assert list(out["status"]) == [keyed.KEPT] * 4 + [keyed.BLACKLISTED]
+    held_rows(processor, [2_000, 3_000])
+    assert not processor.pending and not processor.index.exists()
+
+
 def test_click_cap(spark, source):
     folder, ev = source
     play = replay(spark, folder, "click")
