@@ -1,42 +1,66 @@
 """Time blocks: split a key's timeline so that no key needs a task of its own.
 
-An operator that looks back at most `before` and ahead at most `after` can run per (key, block) when
-each block also sees the neighbouring rows within that reach. Rows far from a block's edges are sent
-once; only rows near an edge are sent to the next block as well.
+A rule that looks at the rows next to a row can run per (key, block), but for rows near a block's border. Those are
+looked at once more, by key, together with the border rows of the other blocks: a few rows a block, whatever it holds.
+So blocks can be narrow, whatever time a rule looks over, and a key with very many rows is spread over as many tasks as
+there are blocks in its time. No row is copied into another block.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from eventide.functions.eventtime import bucket, epoch_micros, micros
 
-# A block this many times the reach repeats about one row in eight.
-REACH_MULTIPLE = 8
+#: Blocks in the time a rule looks over, and the least width of one: border rows stay few.
+BLOCKS_IN_REACH = 32
+LEAST_WIDTH = timedelta(minutes=1)
 
+Looks = Callable[[WindowSpec], dict[str, Column]]
 
-def block_width(before: timedelta, after: timedelta) -> int:
-    return max(micros(before + after), 1) * REACH_MULTIPLE
 
+def block_width(reach: timedelta) -> int:
+    return max(micros(reach) // BLOCKS_IN_REACH, micros(LEAST_WIDTH))
 
-def with_blocks(df: DataFrame, ts: str, before: timedelta = timedelta(0),
-                after: timedelta = timedelta(0), width: int | None = None) -> DataFrame:
-    """Adds `block` and `own`: own is true in exactly one copy of each row.
 
-    In block b every row within `before` ahead of the block's start and `after` past its end is
-    present too, with own = false.
+def in_blocks(df: DataFrame, ts: str, reach: timedelta) -> DataFrame:
+    """Adds `block`; rows without a time are in none."""
+    return df.filter(F.col(ts).isNotNull()).withColumn("block", bucket(epoch_micros(ts), block_width(reach)))
+
+
+def with_neighbours(rows: DataFrame, key: str, order: list[str], back: Looks, ahead: Looks | None = None, reach: int = 1) -> DataFrame:
+    """Adds columns that look at up to `reach` rows before (`back`) or after (`ahead`) a row in its key's history.
+
+    Each of the two gives window expressions over a window of (key, block) first. The first rows of a block get what
+    `back` gives over the border rows of all the key's blocks, the last ones what `ahead` gives. Border rows are the
+    first and last `reach` of each block, so all that such a row can see is among them, and in the same order.
     """
-    width = width or block_width(before, after)
-    t = epoch_micros(ts)
-    home = bucket(t, width)
-    first = bucket(t - micros(after), width)
-    last = bucket(t + micros(before), width)
-    return (
-        df.withColumn("_home", home)
-        .withColumn("block", F.explode(F.sequence(first, last)))
-        .withColumn("own", F.col("block") == F.col("_home"))
-        .drop("_home")
-    )
+    ahead = ahead or (lambda w: {})
+    local = Window.partitionBy(key, "block").orderBy(*order)
+    whole = Window.partitionBy(key).orderBy(*order)
+    names = [*back(local), *ahead(local)]
+    seen = rows.select("*", F.lag(F.lit(1), reach).over(local).isNull().alias("_first"),
+                       F.lead(F.lit(1), reach).over(local).isNull().alias("_last"),
+                       *[c.alias(name) for name, c in (back(local) | ahead(local)).items()])
+    border = F.col("_first") | F.col("_last")
+    mended = seen.filter(border).select(
+        *rows.columns, *[F.when(F.col("_first"), c).otherwise(F.col(name)).alias(name) for name, c in back(whole).items()],
+        *[F.when(F.col("_last"), c).otherwise(F.col(name)).alias(name) for name, c in ahead(whole).items()])
+    return seen.filter(~border).select(*rows.columns, *names).unionByName(mended)
+
+
+def nearest_outside(rows: DataFrame, key: str, values: dict[str, Column]) -> DataFrame:
+    """Adds, for each value, `before_<name>` and `after_<name>`: the largest in the key's earlier blocks and the smallest
+    in its later ones. Values grow with time, nulls do not count."""
+    edges = [e for name, v in values.items() for e in (F.max(v).alias(f"last_{name}"), F.min(v).alias(f"first_{name}"))]
+    blocks = rows.groupBy(key, "block").agg(*edges)
+    earlier = Window.partitionBy(key).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(key).orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    near = [c for name in values for c in (F.max(f"last_{name}").over(earlier).alias(f"before_{name}"),
+                                           F.min(f"first_{name}").over(later).alias(f"after_{name}"))]
+    return rows.join(blocks.select(key, "block", *near), [key, "block"])

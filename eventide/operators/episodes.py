@@ -16,15 +16,15 @@ still does not need a user's whole history in one task:
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from datetime import timedelta
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.functions.blocks import with_blocks
+from eventide.functions.blocks import in_blocks, with_neighbours
 from eventide.functions.eventtime import bucket, epoch_micros, micros
 from eventide.operators.logins import FAIL, known_users
 
@@ -56,19 +56,20 @@ def _session_rows(logins: DataFrame, within: timedelta) -> DataFrame:
     """Fails of sessions with two or more fails: (user, session, t, n, cancel_t), n fails at instant t
     and cancel_t the time of a success right after them."""
     length = micros(within)
-    rows = with_blocks(logins, "ts", before=within, after=within).withColumn("t", epoch_micros("ts"))
+    rows = in_blocks(logins.select("user_id", "event_id", "event_type", "ts", epoch_micros("ts").alias("t")), "ts", within).drop("ts")
     w = Window.partitionBy("user_id", "block").orderBy("t", "event_id")
-
-    def near(step: Callable, gap: Callable):
-        same = (step("event_type").over(w) == FAIL) & (gap(step("t").over(w)) <= length)
-        return F.coalesce(same, F.lit(False))
-
-    success_next = F.lead("event_type").over(w) != FAIL
-    flagged = (rows.select("user_id", "block", "own", "t", "event_id", "event_type",
-                           F.when(success_next, F.lead("t").over(w)).otherwise(NEVER).alias("cancel_t"),
-                           near(F.lag, lambda other: F.col("t") - other).alias("joins"),
-                           near(F.lead, lambda other: other - F.col("t")).alias("goes_on"))
-               .filter(F.col("own") & (F.col("event_type") == FAIL) & (F.col("joins") | F.col("goes_on")))
+    seen = with_neighbours(rows, "user_id", ["t", "event_id"],
+                           lambda w: {"prev_type": F.lag("event_type").over(w), "prev_t": F.lag("t").over(w)},
+                           lambda w: {"next_type": F.lead("event_type").over(w), "next_t": F.lead("t").over(w)})
+
+    def near(other: str, gap: Column) -> Column:
+        return F.coalesce((F.col(f"{other}_type") == FAIL) & (gap <= length), F.lit(False))
+
+    flagged = (seen.select("user_id", "block", "t", "event_id", "event_type",
+                           F.when(F.col("next_type") != FAIL, F.col("next_t")).otherwise(NEVER).alias("cancel_t"),
+                           near("prev", F.col("t") - F.col("prev_t")).alias("joins"),
+                           near("next", F.col("next_t") - F.col("t")).alias("goes_on"))
+               .filter((F.col("event_type") == FAIL) & (F.col("joins") | F.col("goes_on")))
                # Few rows are left. An exchange here is shared by both uses below, which spares the
                # second one sorting the whole log again. (In the order of the window's keys Spark
                # would leave it out as needless.)

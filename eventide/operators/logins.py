@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.functions.blocks import with_blocks
+from eventide.functions.blocks import in_blocks, with_neighbours
 from eventide.functions.eventtime import epoch_micros, micros
 
 FAIL = "fail"
@@ -18,20 +18,19 @@ def known_users(logins: DataFrame) -> DataFrame:
     return logins.filter(F.col("user_id").isNotNull())
 
 
+_ORDER = ["ts", "event_id"]
+
+
+def _rows(logins: DataFrame, within: timedelta) -> DataFrame:
+    return in_blocks(known_users(logins).select("user_id", "event_id", "event_type", "ts"), "ts", within)
+
+
 def fail_pairs(logins: DataFrame, within: timedelta = timedelta(seconds=2)) -> DataFrame:
-    """Two consecutive fails of a user at most `within` apart; a success in between breaks the pair.
-
-    Whatever lies further back than `within` cannot form a pair, so each time block only needs that
-    much of the block before it.
-    """
-    rows = with_blocks(known_users(logins), "ts", before=within)
-    w = Window.partitionBy("user_id", "block").orderBy("ts", "event_id")
-    seen = rows.select("user_id", "event_type", "ts", "own",
-                       F.lag("event_type").over(w).alias("prev_type"),
-                       F.lag("ts").over(w).alias("prev_ts"))
+    """Two consecutive fails of a user at most `within` apart; a success in between breaks the pair."""
+    seen = with_neighbours(_rows(logins, within), "user_id", _ORDER, lambda w: {
+        "prev_type": F.lag("event_type").over(w), "prev_ts": F.lag("ts").over(w)})
     gap = epoch_micros("ts") - epoch_micros("prev_ts")
-    return (seen.filter(F.col("own") & (F.col("event_type") == FAIL) & (F.col("prev_type") == FAIL)
-                        & (gap <= micros(within)))
+    return (seen.filter((F.col("event_type") == FAIL) & (F.col("prev_type") == FAIL) & (gap <= micros(within)))
             .select("user_id", F.col("prev_ts").alias("first_ts"), F.col("ts").alias("last_ts")))
 
 
@@ -40,14 +39,12 @@ def fail_runs(logins: DataFrame, n: int = 5, within: timedelta = timedelta(secon
     runs are all reported."""
     if n < 2:
         raise ValueError("a run has at least two fails")
-    rows = with_blocks(known_users(logins), "ts", before=within)
-    w = Window.partitionBy("user_id", "block").orderBy("ts", "event_id")
-    last_n = w.rowsBetween(-(n - 1), Window.currentRow)
-    seen = rows.select("user_id", "ts", "own",
-                       F.lag("ts", n - 1).over(w).alias("first_ts"),
-                       F.sum((F.col("event_type") == FAIL).cast("long")).over(last_n).alias("fails"))
+    is_fail = (F.col("event_type") == FAIL).cast("long")
+    seen = with_neighbours(_rows(logins, within), "user_id", _ORDER, lambda w: {
+        "first_ts": F.lag("ts", n - 1).over(w),
+        "fails": F.sum(is_fail).over(w.rowsBetween(-(n - 1), Window.currentRow))}, reach=n - 1)
     span = epoch_micros("ts") - epoch_micros("first_ts")
-    return (seen.filter(F.col("own") & (F.col("fails") == n) & (span < micros(within)))
+    return (seen.filter((F.col("fails") == n) & (span < micros(within)))
             .select("user_id", "first_ts", F.col("ts").alias("last_ts"), F.col("fails").alias("n")))
 
 

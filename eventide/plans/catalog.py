@@ -164,6 +164,8 @@ BATCH: dict[str, Query] = {
     "pay_receipt_interval_join": lambda s, d: reconcile.interval_join(*_pay_receipt(s, d), EARLY, LATE),
     "pay_receipt_reconcile": lambda s, d: reconcile.reconcile(*_pay_receipt(s, d), EARLY, LATE)
         .select("tx_id", "pay_ts", "receipt_ts", "status"),
+    "pay_receipt_one_to_one": lambda s, d: reconcile.reconcile_one_to_one(*_pay_receipt(s, d), EARLY, LATE)
+        .select("tx_id", "pay_ts", "receipt_ts", "status"),
     "pay_without_receipt": lambda s, d: reconcile.pay_without_receipt(*_pay_receipt(s, d), EARLY, LATE),
     "receipt_without_pay": lambda s, d: reconcile.receipt_without_pay(*_pay_receipt(s, d), EARLY, LATE),
 }

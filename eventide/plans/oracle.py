@@ -248,3 +248,4 @@ SELECT tx_id, pay_ts, receipt_ts, status FROM walk WHERE status IS NOT NULL
 UNION ALL
 SELECT tx_id, CASE WHEN w_side = 'pay' THEN w_ts END, CASE WHEN w_side = 'receipt' THEN w_ts END,
   w_side || '_only' FROM walk WHERE rn = total AND w_side IS NOT NULL"""
+ORACLE["pay_receipt_one_to_one"] = ORACLE["stream_reconcile_one_to_one"]
