@@ -23,16 +23,24 @@ def interval_join(pays: DataFrame, receipts: DataFrame, early: timedelta = EARLY
     Joined on (tx_id, time slice), each pay going to every slice its interval touches (two at most).
     A transaction id with very many rows is so spread over its slices, and a pair is formed only
     where both rows lie in reach of each other.
+
+    Both records come out whole: columns besides the id and time follow, those that both sides have as pay_<name> and
+    receipt_<name>.
     """
+    fixed = ["tx_id", "pay_id", "pay_ts", "receipt_id", "receipt_ts"]
+    shared = set(pays.columns) & set(receipts.columns) - {"tx_id"}
+    pays = pays.withColumnsRenamed({c: f"pay_{c}" for c in shared})
+    receipts = receipts.withColumnsRenamed({c: f"receipt_{c}" for c in shared})
+    payload = [c for side in (pays, receipts) for c in side.columns if c not in fixed]
     width = max(micros(early + late), 1)
     p, r = epoch_micros("pay_ts"), epoch_micros("receipt_ts")
     reach = F.sequence(bucket(p - micros(early), width), bucket(p + micros(late), width))
-    left = pays.withColumn("slice", F.explode(reach))
-    right = receipts.withColumn("slice", bucket(r, width))
+    left = pays.withColumn("_slice", F.explode(reach))
+    right = receipts.withColumn("_slice", bucket(r, width))
     gap = r - p
-    return (left.join(right, ["tx_id", "slice"])
+    return (left.join(right, ["tx_id", "_slice"])
             .filter((gap >= -micros(early)) & (gap <= micros(late)))
-            .select("tx_id", "pay_id", "pay_ts", "receipt_id", "receipt_ts"))
+            .select(*fixed, *payload))
 
 
 def _both(pays: DataFrame, receipts: DataFrame) -> DataFrame:

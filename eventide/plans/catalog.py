@@ -84,7 +84,7 @@ def _behavior_lines(spark, d):
                   _seconds())
 
 
-def _login_lines(spark, d):
+def login_lines(spark, d):
     return _lines(_logins(spark, d), ",", F.col("user_id"),
                   F.concat(F.lit("10.0.0."), F.col("user_id") % 256), F.col("event_type"), _seconds())
 
@@ -113,6 +113,23 @@ def _access_lines(spark, d):
                   F.col("url"))
 
 
+def _market_lines(spark, d):
+    m = tables.channel_behaviour(tables.events(spark, d))
+    return _lines(m, ",", F.col("user_id"), F.col("behavior"), F.col("channel"), F.unix_millis("ts"))
+
+
+def _pay_lines(spark, d):
+    """Pays under the transaction ids of the receipt lines."""
+    o = _orders(spark, d)
+    tx = F.when(F.col("event_type") == "pay", F.concat(F.lit("tx"), F.col("order_id"))).otherwise("")
+    return _lines(o, ",", F.col("order_id"), F.col("event_type"), tx, _seconds())
+
+
+def _logged_sides(spark, d):
+    return (logs.payments(logs.parse_order_log(_pay_lines(spark, d), with_id=True)),
+            logs.receipts(logs.parse_receipt_log(_receipt_lines(spark, d), with_id=True)))
+
+
 # -- queries ------------------------------------------------------------------------------------
 
 def _hot_item_counts(spark, d):
@@ -125,11 +142,21 @@ def hot_items_topn(spark, d):
 
 BATCH: dict[str, Query] = {
     "parse_behavior_log": lambda s, d: logs.parse_behavior_log(_behavior_lines(s, d)),
-    "parse_login_log": lambda s, d: logs.parse_login_log(_login_lines(s, d)),
+    "parse_login_log": lambda s, d: logs.parse_login_log(login_lines(s, d)),
     "parse_order_log": lambda s, d: logs.parse_order_log(_order_lines(s, d)),
     "parse_receipt_log": lambda s, d: logs.parse_receipt_log(_receipt_lines(s, d)),
     "parse_ad_log": lambda s, d: logs.parse_ad_log(_ad_lines(s, d)),
     "parse_access_log": lambda s, d: logs.parse_access_log(_access_lines(s, d)),
+    "parse_market_log": lambda s, d: logs.parse_market_log(_market_lines(s, d)),
+    # From log lines to results: the rows' ids come from the lines alone.
+    "login_fail_pair_from_log": lambda s, d: logins.fail_pairs(
+        logs.parse_login_log(login_lines(s, d), with_id=True), LOGIN_WITHIN),
+    "order_status_from_log": lambda s, d: orders.order_status(
+        logs.parse_order_log(_order_lines(s, d), with_id=True), PAY_WITHIN).select("order_id", "create_ts", "pay_ts", "status"),
+    "reconcile_from_log": lambda s, d: reconcile.reconcile(*_logged_sides(s, d), EARLY, LATE)
+        .select("tx_id", "pay_ts", "receipt_ts", "status"),
+    "interval_join_from_log": lambda s, d: reconcile.interval_join(*_logged_sides(s, d), EARLY, LATE)
+        .select("tx_id", "order_id", "pay_ts", "pay_channel", "receipt_ts"),
     "pv_filter": lambda s, d: _page_views(s, d),
     "get_requests": lambda s, d: _gets(s, d),
     "hot_items_hop_count": lambda s, d: _hot_item_counts(s, d),
@@ -144,6 +171,8 @@ BATCH: dict[str, Query] = {
     "uv_hourly": lambda s, d: uniques.uv(_page_views(s, d)),
     "uv_hourly_bitmap": lambda s, d: uniques.uv_bitmap(_page_views(s, d)),
     "uv_hourly_approx": lambda s, d: uniques.uv_approx_check(_page_views(s, d)),
+    "uv_sliding_approx": lambda s, d: uniques.uv_sliding_check(_page_views(s, d), FIVE_MINUTES, HOUR, FIVE_MINUTES),
+    "uv_daily_approx": lambda s, d: uniques.uv_sliding_check(_page_views(s, d), FIVE_MINUTES, td(days=1), td(days=1)),
     "uv_running": lambda s, d: uniques.uv_running(_page_views(s, d)),
     "channel_behavior_hop_count": lambda s, d: windows.hop_runs(
         tables.channel_behaviour(tables.events(s, d)), ["channel", "behavior"], HOUR, FIVE_SECONDS),

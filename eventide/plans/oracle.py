@@ -220,6 +220,10 @@ ORACLE |= {twin: ORACLE[batch] for twin, batch in {
     "stream_hot_urls": "hot_urls_topn",
     "stream_ad_clicks_by_province": "ad_clicks_by_province",
     "stream_login_fail": "login_fail_episode",
+    "stream_login_fail_pair": "login_fail_pair",
+    "stream_login_fail_run": "login_fail_run",
+    "stream_order_pay_match": "order_pay_match",
+    "stream_order_pay_timeout": "order_pay_timeout",
     "stream_order_status": "order_status",
     "stream_reconcile": "pay_receipt_reconcile",
 }.items()}
@@ -249,3 +253,40 @@ UNION ALL
 SELECT tx_id, CASE WHEN w_side = 'pay' THEN w_ts END, CASE WHEN w_side = 'receipt' THEN w_ts END,
   w_side || '_only' FROM walk WHERE rn = total AND w_side IS NOT NULL"""
 ORACLE["pay_receipt_one_to_one"] = ORACLE["stream_reconcile_one_to_one"]
+
+# Results from log lines: times in whole seconds, a row's id from its line.
+_SECONDS = "CAST(epoch(date_trunc('second', ts)) AS BIGINT)"
+
+
+def _logged(line: str, rows: str = "events") -> str:
+    return f"""SELECT CAST('0x' || substr(md5({line}), 1, 15) AS BIGINT) AS event_id, {_SECOND} AS ts, user_id, event_type
+FROM {rows}"""
+
+
+_LOGIN_LOG = _logged(f"user_id || ',' || {_IP} || ',' || {_LOGIN} || ',' || {_SECONDS}")
+_ORDER_LOG = _logged(f"""user_id || ',' || {_ORDER} || ',' || CASE WHEN event_type = 'purchase' THEN 'tx' || event_id ELSE '' END
+    || ',' || {_SECONDS}""")
+
+
+def _from_log(name: str, log: str) -> str:
+    return ORACLE[name].replace("FROM events", f"FROM ({log}) AS events")
+
+
+ORACLE["parse_market_log"] = f"""SELECT user_id, event_type AS behavior, 'channel-' || ({_ITEM} % 4) AS channel,
+    date_trunc('millisecond', ts) AS ts FROM events"""
+ORACLE["login_fail_pair_from_log"] = _from_log("login_fail_pair", _LOGIN_LOG)
+ORACLE["stream_login_fail_from_log"] = _from_log("login_fail_episode", _LOGIN_LOG)
+ORACLE["order_status_from_log"] = _from_log("order_status", _ORDER_LOG)
+_SIDES = """WITH p AS (SELECT 'tx' || user_id AS tx_id, user_id AS order_id, date_trunc('second', ts) AS pay_ts
+  FROM events WHERE event_type = 'purchase'),
+r AS (SELECT 'tx' || user_id AS tx_id, CASE WHEN event_id % 2 = 0 THEN 'wechat' ELSE 'alipay' END AS pay_channel,
+    date_trunc('second', ts) AS receipt_ts FROM events WHERE event_type = 'click')"""
+ORACLE["reconcile_from_log"] = f"""{_SIDES}
+SELECT coalesce(p.tx_id, r.tx_id) AS tx_id, pay_ts, receipt_ts, CASE WHEN receipt_ts IS NULL THEN 'pay_only'
+    WHEN pay_ts IS NULL THEN 'receipt_only' ELSE 'matched' END AS status
+FROM p FULL OUTER JOIN r ON {_IN_REACH}"""
+ORACLE["interval_join_from_log"] = f"""{_SIDES}
+SELECT p.tx_id, order_id, pay_ts, pay_channel, receipt_ts FROM p JOIN r ON {_IN_REACH}"""
+ORACLE["uv_sliding_approx"] = f"SELECT DISTINCT window_end, TRUE AS close FROM ({_HOT_ITEMS}) AS h"
+ORACLE["uv_daily_approx"] = f"""SELECT DISTINCT date_trunc('day', ts) + INTERVAL '1 day' AS window_end, TRUE AS close
+FROM events WHERE {_PV}"""

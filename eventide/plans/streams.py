@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventide.operators import filters
+from eventide.operators.orders import NO_PAY, PAID
+from eventide.plans import catalog
 from eventide.plans.catalog import (CAP, EARLY, FIVE_MINUTES, FIVE_SECONDS, HOUR, LATE, LOGIN_WITHIN, PAY_WITHIN, Query,
-                                    plain)
+                                    RUN_LENGTH, RUN_WITHIN, plain)
 from eventide.session import durable_dir
-from eventide.sources import tables
+from eventide.sources import logs, tables
 from eventide.streaming import aggregates, joins, keyed, runner
 
 
@@ -102,6 +104,46 @@ def login_fail(spark, sf_dir):
     return _without_flush(runner.collect_appended(replay, alerts, "login-fail"), "last_ts")
 
 
+def login_fail_pair(spark, sf_dir):
+    replay = _replay(spark, sf_dir, "error", "view")
+    pairs = keyed.fail_pairs(tables.logins(replay.events), LOGIN_WITHIN)
+    return _without_flush(runner.collect_appended(replay, pairs, "login-pairs"), "last_ts")
+
+
+def login_fail_run(spark, sf_dir):
+    replay = _replay(spark, sf_dir, "error", "view")
+    runs = keyed.fail_runs(tables.logins(replay.events), RUN_LENGTH, RUN_WITHIN)
+    return _without_flush(runner.collect_appended(replay, runs, "login-runs"), "last_ts")
+
+
+def _first_pays(spark, sf_dir, status):
+    replay = _replay(spark, sf_dir, "signup", "purchase")
+    found = runner.collect_appended(replay, keyed.first_pays(tables.orders(replay.events), PAY_WITHIN), "first-pays")
+    return _without_flush(found.filter(F.col("status") == status), "create_ts").drop("status")
+
+
+def order_pay_match(spark, sf_dir):
+    return _first_pays(spark, sf_dir, PAID)
+
+
+def order_pay_timeout(spark, sf_dir):
+    return _first_pays(spark, sf_dir, NO_PAY).drop("pay_ts")
+
+
+def login_fail_from_log(spark, sf_dir):
+    """Episodes from log lines: the lines are written as files, read as a stream of lines and parsed."""
+    own = runner.stream_session(spark)
+    folder = durable_dir(own, "login-lines")
+    catalog.login_lines(own, sf_dir).write.text(folder)
+    alerts = keyed.fail_episodes(logs.stream_log(own, "login", folder, with_id=True), LOGIN_WITHIN)
+    last = f"-1,0.0.0.0,success,{int(runner.FLUSH_AT.timestamp())}"
+
+    def end():
+        own.createDataFrame([(last,)], "value string").coalesce(1).write.mode("append").text(folder)
+
+    return _without_flush(runner.collect_ended(end, alerts, "login-fail-lines"), "last_ts")
+
+
 def order_status(spark, sf_dir):
     replay = _replay(spark, sf_dir, "signup", "purchase")
     status = keyed.order_status(tables.orders(replay.events), PAY_WITHIN)
@@ -136,6 +178,11 @@ STREAMS: dict[str, Query] = {
     "stream_ad_clicks_by_province": ad_clicks_by_province,
     "stream_channel_behavior": channel_behavior,
     "stream_login_fail": login_fail,
+    "stream_login_fail_pair": login_fail_pair,
+    "stream_login_fail_run": login_fail_run,
+    "stream_order_pay_match": order_pay_match,
+    "stream_order_pay_timeout": order_pay_timeout,
+    "stream_login_fail_from_log": login_fail_from_log,
     "stream_order_status": order_status,
     "stream_reconcile": reconcile,
     "stream_reconcile_one_to_one": reconcile_one_to_one,

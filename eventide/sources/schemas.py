@@ -11,6 +11,9 @@ RECEIPT = (("tx_id", "string"), ("pay_channel", "string"), ("ts_s", "bigint"))
 AD_CLICK = (("user_id", "bigint"), ("ad_id", "bigint"), ("province", "string"),
             ("city", "string"), ("ts_s", "bigint"))
 
+#: Times in milliseconds here.
+MARKET = (("user_id", "bigint"), ("behavior", "string"), ("channel", "string"), ("ts_ms", "bigint"))
+
 # Web access log: token position of each field in a line split on single spaces
 ACCESS_TOKENS = {"ip": 0, "user_id": 1, "time": 3, "method": 5, "url": 6}
 ACCESS_TIME_FORMAT = "dd/MM/yyyy:HH:mm:ss"

@@ -204,6 +204,70 @@ class FailEpisodes(InOrder):
         return None
 
 
+class FailRuns(InOrder):
+    """`n` fails in a row whose first and last are at most `length` apart; memory holds the times of the last fails."""
+
+    memory_schema = "times array<bigint>"
+    keys = ["user_id"]
+    columns = ["first_t", "last_t", "n"]
+
+    def __init__(self, n: int, length: int):
+        self.n, self.length = n, length
+        self.slice_width = max(1, length // _SLICES)
+
+    def step(self, memory, t, event_id, what, out):
+        if what != "fail":
+            return None
+        times = [*(memory[0] if memory else []), t][-self.n:]
+        if len(times) == self.n and t - times[0] <= self.length:
+            out.append((times[0], t, self.n))
+        # Only the last n - 1 fails matter to the next, and of those none that lies too far back.
+        return ([x for x in times if x >= t - self.length],)
+
+    def due(self, memory):
+        # One microsecond on, no later fail can be in a run with the newest.
+        return memory[0][-1] + self.length + 1 if memory else None
+
+    def settle(self, memory, out):
+        return None
+
+
+class FirstPay(InOrder):
+    """The first pay after each create, if less than `limit` after it; memory holds the creates still open."""
+
+    memory_schema = "ids array<bigint>, times array<bigint>"
+    keys = ["order_id"]
+    columns = ["create_id", "create_t", "pay_t", "status"]
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.slice_width = max(1, limit // _SLICES)
+
+    def step(self, memory, t, event_id, what, out):
+        memory = self._expired(memory, t, out)
+        if what == "create":
+            ids, times = memory or ([], [])
+            return ([*ids, event_id], [*times, t])
+        for create_id, create_t in zip(*memory) if memory else ():
+            out.append((create_id, create_t, t, PAID))
+        return None
+
+    def due(self, memory):
+        return memory[1][0] + self.limit if memory else None
+
+    def settle(self, memory, out):
+        return self._expired(memory, memory[1][0] + self.limit, out)
+
+    def _expired(self, memory, t, out):
+        """Creates that a pay at `t` comes too late for are timed out."""
+        if not memory:
+            return None
+        gone = sum(1 for created in memory[1] if t - created >= self.limit)
+        for create_id, create_t in zip(memory[0][:gone], memory[1][:gone]):
+            out.append((create_id, create_t, None, NO_PAY))
+        return (memory[0][gone:], memory[1][gone:]) if gone < len(memory[0]) else None
+
+
 class OrderStatus(InOrder):
     memory_schema = "create_id bigint, create_t bigint"
     keys = ["order_id"]
@@ -343,6 +407,30 @@ def fail_episodes(logins: DataFrame, within: timedelta = timedelta(seconds=2),
                     F.timestamp_micros("last_t").alias("last_ts"), "n"))
 
 
+def _fail_runs(logins: DataFrame, n: int, length: int, delay: str) -> DataFrame:
+    rows = known_users(logins).select("ts", "user_id", "event_id", F.col("event_type").alias("what"))
+    return (_run(rows, FailRuns(n, length), "user_id bigint", "first_t bigint, last_t bigint, n bigint", delay)
+            .select("user_id", F.timestamp_micros("first_t").alias("first_ts"), F.timestamp_micros("last_t").alias("last_ts"), "n"))
+
+
+def fail_pairs(logins: DataFrame, within: timedelta = timedelta(seconds=2), delay: str = "5 seconds") -> DataFrame:
+    return _fail_runs(logins, 2, micros(within), delay).drop("n")
+
+
+def fail_runs(logins: DataFrame, n: int = 5, within: timedelta = timedelta(seconds=5), delay: str = "5 seconds") -> DataFrame:
+    if n < 2:
+        raise ValueError("a run has at least two fails")
+    return _fail_runs(logins, n, micros(within) - 1, delay)
+
+
+def first_pays(orders: DataFrame, within: timedelta = PAY_WITHIN, delay: str = "0 seconds") -> DataFrame:
+    """Matches and timeouts in one stream, told apart by `status`."""
+    rows = creates_and_pays(orders).select("ts", "order_id", "event_id", F.col("event_type").alias("what"))
+    return (_run(rows, FirstPay(micros(within)), "order_id bigint", "create_id bigint, create_t bigint, pay_t bigint, status string", delay)
+            .select("order_id", "create_id", F.timestamp_micros("create_t").alias("create_ts"),
+                    F.timestamp_micros("pay_t").alias("pay_ts"), "status"))
+
+
 def order_status(orders: DataFrame, within: timedelta = PAY_WITHIN, delay: str = "0 seconds") -> DataFrame:
     rows = creates_and_pays(orders).select("ts", "order_id", "event_id", F.col("event_type").alias("what"))
     return (_run(rows, OrderStatus(micros(within)), "order_id bigint",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ STORES_CONF = "eventide.stream.stores"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # Rows at or after this time only push the watermark. They are told by it, not by their key.
 _FLUSH_USER = -1
-FLUSH_AT = datetime(2200, 1, 1)
+FLUSH_AT = datetime(2200, 1, 1, tzinfo=timezone.utc)
 
 
 def stream_session(spark: SparkSession, stores: int | None = None) -> SparkSession:
@@ -102,13 +102,19 @@ def run(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: s
     query.awaitTermination()
 
 
-def collect_appended(replay: Replay, stream: DataFrame, label: str,
-                     transform: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Runs an append-mode stream over a replay to its end and returns what it wrote."""
+def collect_ended(end: Callable[[], None], stream: DataFrame, label: str,
+                  transform: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Runs an append-mode stream over all its input, then over what `end` adds to it, and returns what it wrote."""
     spark = stream.sparkSession
     home = durable_dir(spark, label)
     sink = append_batches(f"{home}/out", transform)
     run(stream, sink, f"{home}/checkpoint")
-    replay.end()
+    end()
     run(stream, sink, f"{home}/checkpoint")
     return spark.read.parquet(f"{home}/out").drop("batch_id")
+
+
+def collect_appended(replay: Replay, stream: DataFrame, label: str,
+                     transform: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Runs an append-mode stream over a replay to its end and returns what it wrote."""
+    return collect_ended(replay.end, stream, label, transform)

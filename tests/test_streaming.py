@@ -1,5 +1,6 @@
 """Each streaming twin must end with the rows of its batch query, however its input is cut."""
 
+import random
 from datetime import timedelta as td
 
 import pandas as pd
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import frame, random_events, secs
-from eventide.operators import episodes, filters, fraud, orders, reconcile, topn, uniques, windows
+from eventide.operators import episodes, filters, fraud, logins, orders, reconcile, topn, uniques, windows
 from eventide.sources import logs, tables
 from eventide.streaming import aggregates, joins, keyed, runner
 
@@ -301,6 +302,50 @@ def test_login_episodes(spark, source):
     assert rows(got, *want.columns) == rows(want)
 
 
+def test_login_pairs_and_runs(spark, source):
+    folder, ev = source
+    play = replay(spark, folder, "error", "view")
+    got = real(runner.collect_appended(play, keyed.fail_pairs(tables.logins(play.events), td(minutes=10), LATE), "t-pairs"))
+    want = logins.fail_pairs(tables.logins(ev), td(minutes=10))
+    assert want.count() > 0 and rows(got, *want.columns) == rows(want)
+    play = replay(spark, folder, "error", "view")
+    got = real(runner.collect_appended(play, keyed.fail_runs(tables.logins(play.events), 3, td(minutes=9), LATE), "t-login-runs"))
+    want = logins.fail_runs(tables.logins(ev), 3, td(minutes=9))
+    assert want.count() > 0 and rows(got, *want.columns) == rows(want)
+
+
+def test_first_pays(spark, source):
+    folder, ev = source
+    play = replay(spark, folder, "signup", "purchase")
+    got = real(runner.collect_appended(play, keyed.first_pays(tables.orders(play.events), td(minutes=9), LATE), "t-pays"))
+    for status, want in (("paid", orders.pay_matches(tables.orders(ev), td(minutes=9))),
+                         ("no_pay", orders.pay_timeouts(tables.orders(ev), td(minutes=9)))):
+        assert want.count() > 0
+        assert rows(got.filter(F.col("status") == status), *want.columns) == rows(want)
+
+
+def test_a_busy_transaction_uses_many_stores(spark, tmp_path):
+    """One id holds all rows; its slices lie in many state stores, and the rows come out as in the batch query."""
+    folder, home = tmp_path / "in", tmp_path / "home"
+    rng = random.Random(4)
+    events = [(i, 7, rng.choice(["purchase", "click"]), float(rng.randrange(4000))) for i in range(600)]
+    frame(spark, events, "event_id bigint, user_id bigint, event_type string, s double").coalesce(1).write.parquet(str(folder))
+    own = runner.stream_session(spark, 8)
+    ev = tables.instants(runner.events_stream(own, str(folder), "*.parquet"))
+    bounds = td(seconds=5), td(seconds=9)
+    joined = joins.reconcile(tables.payments(ev), tables.receipts(ev), *bounds, "0 seconds")
+    runner.run(joined, runner.append_batches(f"{home}/out"), f"{home}/cp")
+    for operator in (0, 1):
+        held = (own.read.format("statestore").option("operatorId", operator).option("batchId", 0).option("joinSide", "left")
+                .load(f"{home}/cp").groupBy("partition_id").count().collect())
+        assert len(held) >= 7 and max(r["count"] for r in held) < sum(r["count"] for r in held) / 3
+    ev = tables.instants(spark.read.parquet(str(folder)))
+    want = rows(reconcile.reconcile(tables.payments(ev), tables.receipts(ev), *bounds))
+    got = rows(own.read.parquet(f"{home}/out").drop("batch_id"), "tx_id", "pay_id", "pay_ts", "receipt_id", "receipt_ts", "status")
+    # what the last watermark has not passed is still open
+    assert set(got) <= set(want) and len(want) - len(got) < 10
+
+
 def test_order_status(spark, source):
     folder, ev = source
     within = td(minutes=15)

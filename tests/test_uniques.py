@@ -72,3 +72,29 @@ def test_empty(spark):
     none = visits(spark, n=2).filter("false")
     for op in (uniques.uv, uniques.uv_bitmap, uniques.uv_approx, uniques.uv_running):
         assert op(none).count() == 0
+
+
+@pytest.mark.parametrize("pane,size,slide", [(60, 600, 60), (30, 600, 120), (600, 3600, 3600)])
+def test_sliding_uniques_from_merged_sketches(spark, pane, size, slide):
+    rows = random_events(31, 3000, 700, 2 * 3600, ["pv"], hot_share=0.3)
+    rows += [(10_000 + i, None, "pv", float(i)) for i in range(20)]
+    df = frame(spark, rows, "event_id bigint, user_id bigint, behavior string, s double")
+    spans = td(seconds=pane), td(seconds=size), td(seconds=slide)
+    exact = {}
+    for _, user, _, s in rows:
+        end = int(s // slide) * slide + slide
+        for at in range(end, end + size, slide):
+            exact.setdefault(at, set()).add(user)
+    exact = {at: len(users - {None}) for at, users in exact.items()}
+    assert {secs(r["window_end"]): r["uv"] for r in uniques.uv_sliding(df, *spans).collect()} == exact
+    sketches = uniques.uv_sketches(df, spans[0])
+    found = {secs(r["window_end"]): r["uv"] for r in uniques.uv_sliding_approx(sketches, *spans).collect()}
+    assert found.keys() == exact.keys()
+    assert all(abs(found[at] - exact[at]) <= max(1, 0.05 * exact[at]) for at in exact)
+    assert all(r["close"] for r in uniques.uv_sliding_check(df, *spans).collect())
+
+
+def test_sketches_need_windows_of_whole_panes(spark):
+    df = frame(spark, [(1, 1, "pv", 0.0)], "event_id bigint, user_id bigint, behavior string, s double")
+    with pytest.raises(ValueError):
+        uniques.uv_sliding_approx(uniques.uv_sketches(df, td(seconds=7)), td(seconds=7), td(seconds=60), td(seconds=10))
