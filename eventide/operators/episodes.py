@@ -56,9 +56,9 @@ def _session_rows(logins: DataFrame, within: timedelta) -> DataFrame:
     """Fails of sessions with two or more fails: (user, session, t, n, cancel_t), n fails at instant t
     and cancel_t the time of a success right after them."""
     length = micros(within)
-    rows = in_blocks(logins.select("user_id", "event_id", "event_type", "ts", epoch_micros("ts").alias("t")), "ts", within).drop("ts")
+    blocked = in_blocks(logins.select("user_id", "event_id", "event_type", "ts", epoch_micros("ts").alias("t")), "user_id", "ts")
     w = Window.partitionBy("user_id", "block").orderBy("t", "event_id")
-    seen = with_neighbours(rows, "user_id", ["t", "event_id"],
+    seen = with_neighbours(blocked, "user_id", ["t", "event_id"],
                            lambda w: {"prev_type": F.lag("event_type").over(w), "prev_t": F.lag("t").over(w)},
                            lambda w: {"next_type": F.lead("event_type").over(w), "next_t": F.lead("t").over(w)})
 

@@ -10,7 +10,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.functions.blocks import in_blocks, nearest_outside, with_neighbours
+from eventide.functions.blocks import Blocked, in_blocks, nearest_outside, with_neighbours
 from eventide.functions.eventtime import epoch_micros, micros
 
 PAY_WITHIN = timedelta(minutes=15)
@@ -23,15 +23,15 @@ def creates_and_pays(orders: DataFrame) -> DataFrame:
     return orders.filter(F.col("event_type").isin(CREATE, PAY))
 
 
-def _in_blocks(orders: DataFrame, within: timedelta) -> DataFrame:
+def _blocked(orders: DataFrame) -> Blocked:
     """Rows by (order, block). The id is wrapped, as a null in a struct equals another: a missing id is an order too."""
     rows = creates_and_pays(orders).select(F.struct("order_id").alias("order_id"), "event_id", "event_type", "ts")
-    return in_blocks(rows, "ts", within)
+    return in_blocks(rows, "order_id", "ts")
 
 
 def _creates(orders: DataFrame, within: timedelta) -> DataFrame:
     """Every create with the first later pay less than `within` after it, else a null pay_ts."""
-    rows = _in_blocks(orders, within)
+    rows = _blocked(orders)
     # Latest first, so that "the next pay" is a running value and each row is visited once.
     back = (Window.partitionBy("order_id", "block").orderBy(F.col("ts").desc(), F.col("event_id").desc())
             .rowsBetween(Window.unboundedPreceding, -1))
@@ -63,7 +63,7 @@ def order_status(orders: DataFrame, within: timedelta = PAY_WITHIN) -> DataFrame
     """
     t = epoch_micros("ts")
     names = ["event_type", "ts", "event_id"]
-    seen = with_neighbours(_in_blocks(orders, within), "order_id", ["ts", "event_id"],
+    seen = with_neighbours(_blocked(orders), "order_id", ["ts", "event_id"],
                            lambda w: {f"prev_{c}": F.lag(c).over(w) for c in names},
                            lambda w: {f"next_{c}": F.lead(c).over(w) for c in names[:2]})
     limit = micros(within)

@@ -60,13 +60,13 @@ def _unmatched(pays: DataFrame, receipts: DataFrame, early: timedelta, late: tim
     both = _both(pays, receipts)
     nameless = both.filter(F.col("tx_id").isNull()).select("tx_id", "side", "id", "ts")
     is_pay = F.col("side") == PAY
-    rows = in_blocks(both.filter(F.col("tx_id").isNotNull()), "ts", max(early, late))
+    blocked = in_blocks(both.filter(F.col("tx_id").isNotNull()), "tx_id", "ts")
     part = Window.partitionBy("tx_id", "block")
     # Both frames take in all rows at the same instant.
     before = part.orderBy("t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     after = part.orderBy(F.col("t").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     pay_t, receipt_t = F.when(is_pay, F.col("t")), F.when(~is_pay, F.col("t"))
-    seen = nearest_outside(rows, "tx_id", {"pay": pay_t, "receipt": receipt_t}).select(
+    seen = nearest_outside(blocked, "tx_id", {"pay": pay_t, "receipt": receipt_t}).select(
         "tx_id", "side", "id", "ts", "t",
         F.coalesce(F.max(pay_t).over(before), "before_pay").alias("pay_before"),
         F.coalesce(F.max(receipt_t).over(before), "before_receipt").alias("receipt_before"),
@@ -124,7 +124,7 @@ def reconcile_one_to_one(pays: DataFrame, receipts: DataFrame, early: timedelta
     """
     both = _both(pays, receipts)
     nameless = both.filter(F.col("tx_id").isNull())
-    rows = in_blocks(both.filter(F.col("tx_id").isNotNull()), "ts", max(early, late))
+    rows = in_blocks(both.filter(F.col("tx_id").isNotNull()), "tx_id", "ts").rows
     w = Window.partitionBy("tx_id", "block").orderBy("t", "id", "side")
     row = F.struct("t", "id", "side", "ts")
 
