@@ -1,6 +1,6 @@
 """Token-id files with keyed access through a minimal perfect hash index.
 
-A dataset is a folder of two Parquet tables:
+A dataset is a folder of Parquet tables:
 
 - `blocks`: documents in ascending doc_id order, cut into blocks of some MB. A row holds shard and block number, the
   raw ids of its documents one after another (little-endian, 2 or 4 bytes each), and each document's id and length.
@@ -8,7 +8,11 @@ A dataset is a folder of two Parquet tables:
   and, at each key's number, a 32-bit fingerprint and the document's shard, block, offset and length. Keys are not
   stored; a key whose fingerprint differs is not in the dataset.
 
-A lookup reads one index row and one block row, however large the dataset is.
+- `size`: one row, the number of buckets.
+
+Both large tables are filed by folders whose names follow from a key's hash and from its slot, and a block is a row group
+of its own. `fetch_key` so reads one index row and one block row, however large the dataset is. `lookup` and `fetch` are
+for tables of keys: they read the index once, and the blocks once.
 """
 
 from __future__ import annotations
@@ -17,6 +21,8 @@ import os
 import re
 import zlib
 from collections.abc import Iterable
+from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -30,25 +36,27 @@ from eventide.llm.tables import texts_of
 
 BLOCK_BYTES = 4 << 20
 KEYS_PER_BUCKET = 50_000
-CACHED_WORDS = 400_000
+BUCKETS_PER_PART = 64
+#: Bytes of known words a Python worker keeps.
+CACHED_BYTES = 192 << 20
+WORDS_PER_CALL = 500
+#: Text that is encoded together.
+PIECE_BYTES = 1 << 20
 BLOCKS = "shard int, block int, width int, n_tokens long, doc_ids array<long>, lengths array<long>, payload binary"
 SLOT = np.dtype([("check", "<u4"), ("shard", "<u4"), ("block", "<u4"), ("offset", "<u8"), ("length", "<u8")])
-# Marks that stand alone or in runs as a pre-token of their own.
-MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-WORD_END = "</w>"
 # Python splits at these four; the tokenizer's white space does not hold them.
-NOT_SPACE = re.compile("[\x1c-\x1f]")
+NOT_SPACE = "\x1c\x1d\x1e\x1f"
 # Lower-casing a text first, as the tokenizer does by character, could change these.
-PECULIAR = re.compile("[\u0130\u03a3]|<\\|")
+PECULIAR = ("\u0130", "\u03a3", "<|")
 SPACE = re.compile(r"[^\S\x1c-\x1f]+")
 
 
 class WordEncoder:
-    """Encodes whole texts with a tokenizers-library file whose pre-tokenizer drops white space and parts letters from
-    marks, and whose last token of every pre-token ends with WORD_END.
+    """Encodes whole texts with a tokenizers-library file whose pre-tokenizer drops white space.
 
-    White space always ends a word there, so a text's ids are its words' ids in a row. Each distinct word is encoded
-    once by the library while it is cached; the cache is emptied when full.
+    White space always ends a word there, so a text's ids are its words' ids in a row. Words have numbers; the ids of all
+    known words lie in one array, and a text's are gathered from it. The library encodes the distinct words that are not
+    known yet, many to a call. When the known words take more than CACHED_BYTES they are let go.
     """
 
     def __init__(self, path: str):
@@ -58,66 +66,91 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for name, i in vocabulary.items() if name.endswith(WORD_END)]] = True
-        self.known: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.held = self.used = 0
+        self.start, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.ids = np.zeros(1 << 18, self.kind)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Raw little-endian ids of each text."""
-        low = [t if PECULIAR.search(t) else t.lower() for t in texts]
-        split = [SPACE.split(t) if NOT_SPACE.search(t) else t.split() for t in low]
-        new = [w for w in set().union(*split) if w not in self.known]
-        if len(self.known) + len(new) > CACHED_WORDS and self.known:
-            self.known, new = {}, list(set().union(*split))
-        self._learn(new)
-        word = self.known.__getitem__
-        return [b"".join(map(word, words)) for words in split]
+        if self.held > CACHED_BYTES:
+            self._forget()
+        split = [_words(t) for t in texts]
+        words = list(chain.from_iterable(split))
+        number = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(number < 0).tolist()
+        if missing:
+            self._learn(list(dict.fromkeys(words[i] for i in missing)))
+            number[missing] = np.fromiter((self.known[words[i]] for i in missing), np.int64, len(missing))
+        size = self.size[number]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        at = np.repeat(self.start[number] - ends[:-1], size) + np.arange(ends[-1])
+        raw = self.ids[at].tobytes()
+        bounds = (ends[np.cumsum([0, *map(len, split)])] * self.width).tolist()
+        return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
 
     def _learn(self, new: list[str]) -> None:
-        """Letters followed by marks are two pre-tokens: the letters are encoded apart, many to a text."""
-        plain = [w for w in new if w.isalpha()]
-        stems, rest, tails = {}, [], set()
-        for word in new:
-            if not word.isalpha():
-                stem = word.rstrip(MARKS)
-                if stem.isalpha():
-                    stems[word] = stem
-                    tails.add(word[len(stem):])
-                else:
-                    rest.append(word)
-        self._one_by_one([*rest, *tails - self.known.keys()])
-        codes = self._stems(list({*plain, *stems.values()}))
-        self.known.update((w, codes[w]) for w in plain if w in codes)
-        self._one_by_one([w for w in plain if w not in codes])
-        for word, stem in stems.items():
-            if stem in codes:
-                self.known[word] = codes[stem] + self.known[word[len(stem):]]
-            else:
-                self._one_by_one([word])
-
-    def _one_by_one(self, words: list[str]) -> None:
-        for at in range(0, len(words), 10_000):
-            part = words[at:at + 10_000]
-            codes = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            self.known.update(zip(part, (np.array(c.ids, self.kind).tobytes() for c in codes)))
-
-    def _stems(self, stems: list[str]) -> dict[str, bytes]:
-        """Ids of words that are one pre-token each. Their ends show in the ids; where the count differs, no result."""
-        groups = [stems[at:at + 500] for at in range(0, len(stems), 500)]
-        out: dict[str, bytes] = {}
-        for group, code in zip(groups, self.tokenizer.encode_batch_fast(list(map(" ".join, groups)),
-                                                                        add_special_tokens=False)):
-            ids = np.array(code.ids, self.kind)
-            ends = (np.flatnonzero(self.ends[ids]) + 1) * self.width
-            if len(ends) == len(group):
-                raw = ids.tobytes()
-                out.update(zip(group, (raw[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist()))))
-        return out
+        groups = [new[at:at + WORDS_PER_CALL] for at in range(0, len(new), WORDS_PER_CALL)]
+        codes = self.tokenizer.encode_batch(list(map(" ".join, groups)), add_special_tokens=False)
+        sizes = np.concatenate([_sizes(g, c) for g, c in zip(groups, codes)])
+        ids = np.concatenate([np.array(c.ids, self.kind) for c in codes])
+        first, n = len(self.known), len(new)
+        self.known.update(zip(new, range(first, first + n)))
+        self.start, self.size = _room(self.start, first + n), _room(self.size, first + n)
+        self.ids = _room(self.ids, self.used + len(ids))
+        self.size[first:first + n] = sizes
+        self.start[first:first + n] = self.used + np.cumsum(sizes) - sizes
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.used += len(ids)
+        # a string and its place in the dictionary take some hundred bytes besides the characters
+        self.held += sum(map(len, new)) * 2 + n * 150 + ids.nbytes
+
+
+def _words(text: str) -> list[str]:
+    """Lower-cased where the tokenizer would do so alike; split where it sees white space."""
+    if any(c in text for c in PECULIAR):
+        return SPACE.split(text)
+    return SPACE.split(text.lower()) if any(c in text for c in NOT_SPACE) else text.lower().split()
+
+
+def _sizes(words: list[str], code) -> np.ndarray:
+    """How many ids each of the words has that were encoded as one text: an id belongs to the word it starts in."""
+    starts = np.cumsum([0, *(len(w) + 1 for w in words[:-1])])
+    at = np.fromiter(chain.from_iterable(code.offsets), np.int64, 2 * len(code))[::2]
+    return np.bincount(np.searchsorted(starts, at, "right") - 1, minlength=len(words))
+
+
+def _room(array: np.ndarray, n: int) -> np.ndarray:
+    return array if n <= len(array) else np.concatenate([array, np.zeros(max(n - len(array), len(array)), array.dtype)])
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> WordEncoder:
+    """One for all tasks of a Python worker."""
+    return WordEncoder(path)
+
+
+def _pieces(batches: Iterable[pa.RecordBatch]):
+    """Ids and texts of some PIECE_BYTES at a time, however the batches are cut."""
+    keys, texts, size = [], [], 0
+    for batch in batches:
+        for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+            text = text.as_py() or ""
+            keys.append(key)
+            texts.append(text)
+            size += len(text)
+            if size >= PIECE_BYTES:
+                yield keys, texts
+                keys, texts, size = [], [], 0
+    if keys:
+        yield keys, texts
 
 
 def _blocks(batches: Iterable[pa.RecordBatch], path: str, end_id: int, block_bytes: int):
-    coder = WordEncoder(path)
+    coder = _encoder(path)
     end = int(end_id).to_bytes(coder.width, "little")
     shard, block, size = TaskContext.get().partitionId(), 0, 0
     ids: list = []
@@ -130,17 +163,14 @@ def _blocks(batches: Iterable[pa.RecordBatch], path: str, end_id: int, block_byt
             pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()))],
             names=["shard", "block", "width", "n_tokens", "doc_ids", "lengths", "payload"])
 
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            piece = batch.slice(at, 256)
-            keys = piece.column("doc_id").to_pylist()
-            for key, code in zip(keys, coder.encode([t or "" for t in piece.column("text").to_pylist()])):
-                ids.append(key)
-                parts.append(code + end)
-                size += len(code) + len(end)
-                if size >= block_bytes:
-                    yield row()
-                    block, size, ids, parts = block + 1, 0, [], []
+    for keys, texts in _pieces(batches):
+        for key, code in zip(keys, coder.encode(texts)):
+            ids.append(key)
+            parts.append(code + end)
+            size += len(code) + len(end)
+            if size >= block_bytes:
+                yield row()
+                block, size, ids, parts = block + 1, 0, [], []
     if ids:
         yield row()
 
@@ -157,22 +187,31 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 2
     ranged = texts_of(docs, id_col, text_col).withColumn("tie", F.xxhash64("text")).repartitionByRange(*order)
     ranged.sortWithinPartitions(*order).drop("tie").mapInArrow(
         lambda batches: _blocks(batches, tokenizer_path, end_id, block_bytes), BLOCKS,
-    ).write.option("compression", "zstd").parquet(f"{folder}/blocks")
+    ).write.option("compression", "zstd").option("parquet.block.size", block_bytes).partitionBy("shard").parquet(f"{folder}/blocks")
 
     entries = _entries(_read_blocks(spark, folder).drop("payload")).where("doc_id is not null")
     first = entries.groupBy("doc_id").agg(
         F.min(F.struct("shard", "block", "offset", "length")).alias("at")).select("doc_id", "at.*")
     count = _read_blocks(spark, folder).agg(F.sum(F.size("doc_ids"))).first()[0] or 0
     buckets = 1 + count // keys_per_bucket
-    first.withColumn("bucket", _bucket(buckets)).groupBy("bucket").applyInPandas(
-        _index_bucket, "bucket long, hash binary, slots binary").withColumn("buckets", F.lit(buckets)).write.parquet(
-        f"{folder}/index")
+    spark.range(1).select(F.lit(buckets).cast("long").alias("buckets")).write.parquet(f"{folder}/size")
+    index = first.withColumn("bucket", _bucket(buckets)).groupBy("bucket").applyInPandas(_index_bucket, "bucket long, hash binary, slots binary")
+    (index.withColumn("part", F.call_function("div", F.col("bucket"), F.lit(BUCKETS_PER_PART))).repartition("part")
+     .sortWithinPartitions("part", "bucket").write.option("parquet.block.size", block_bytes).partitionBy("part").parquet(f"{folder}/index"))
 
 
 def _bucket(buckets: int):
     return F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("long")
 
 
+def _read_index(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema("bucket long, hash binary, slots binary, part long").parquet(f"{folder}/index")
+
+
+def _buckets(spark: SparkSession, folder: str) -> int:
+    return spark.read.schema("buckets long").parquet(f"{folder}/size").first()[0]
+
+
 def _read_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(BLOCKS).parquet(f"{folder}/blocks")
 
@@ -200,10 +239,9 @@ def _index_bucket(rows: pd.DataFrame) -> pd.DataFrame:
 def lookup(keys: DataFrame, folder: str, id_col: str = "doc_id") -> DataFrame:
     """(doc_id, shard, block, offset, length) of each distinct key that the dataset holds; other keys give no row."""
     spark = keys.sparkSession
-    index = spark.read.parquet(f"{folder}/index")
-    some = index.select("buckets").first()
+    index = _read_index(spark, folder).drop("part")
     wanted = keys.select(F.col(id_col).cast("long").alias("doc_id")).where("doc_id is not null").distinct()
-    wanted = wanted.withColumn("bucket", _bucket(some[0] if some else 1))
+    wanted = wanted.withColumn("bucket", _bucket(_buckets(spark, folder)))
 
     def find(asked: pd.DataFrame, row: pd.DataFrame) -> pd.DataFrame:
         names = ["shard", "block", "offset", "length"]
@@ -220,6 +258,34 @@ def lookup(keys: DataFrame, folder: str, id_col: str = "doc_id") -> DataFrame:
         find, "doc_id long, shard long, block long, offset long, length long")
 
 
+def key_rows(spark: SparkSession, folder: str, key: int) -> tuple[DataFrame, DataFrame | None]:
+    """The index row of a key's bucket and, if the key is in the dataset, its ids' bytes; each read from one folder."""
+    hashed = spark.range(1).select(F.lit(key).cast("long").alias("doc_id"))
+    bucket = hashed.select(_bucket(_buckets(spark, folder))).first()[0]
+    index = _read_index(spark, folder).where((F.col("part") == bucket // BUCKETS_PER_PART) & (F.col("bucket") == bucket))
+    row = index.first()
+    if row is None:
+        return index, None
+    wanted = np.array([key], np.int64)
+    slots = np.frombuffer(row["slots"], SLOT)
+    at = int(PerfectHash.load(row["hash"]).numbers(wanted)[0])
+    if at < 0 or slots["check"][at] != fingerprints(wanted)[0]:
+        return index, None
+    shard, block, offset, length = (int(slots[name][at]) for name in ("shard", "block", "offset", "length"))
+    block = _read_blocks(spark, folder).where((F.col("shard") == shard) & (F.col("block") == block))
+    start, size = F.lit(offset) * F.col("width") + 1, F.lit(length) * F.col("width")
+    return index, block.select("width", F.substring("payload", start, size).alias("ids"))
+
+
+def fetch_key(spark: SparkSession, folder: str, key: int) -> list[int] | None:
+    """The ids of one document, or None where the dataset does not hold the key (but for one in 2^32 others)."""
+    block = key_rows(spark, folder, key)[1]
+    if block is None:
+        return None
+    row = block.first()
+    return np.frombuffer(row["ids"], f"<u{row['width']}").tolist()
+
+
 def read_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Per document in the blocks: doc_id, shard, block, offset, length, ids (array<long>)."""
     def run(batches):
@@ -286,7 +352,7 @@ def checked(spark: SparkSession, folder: str) -> DataFrame:
     starts = sizes.withColumn("block_start", F.sum("n").over(within) - F.col("n")).join(shards, "shard").select(
         F.col("shard").cast("long").alias("shard"), F.col("block").cast("long").alias("block"),
         (F.col("shard_start") + F.col("block_start")).alias("at"))
-    found = lookup(docs.select("doc_id"), folder).select(
+    found = lookup(blocks.select(F.explode("doc_ids").alias("doc_id")), folder).select(
         F.col("doc_id").alias("key"), "shard", "block", "offset", F.col("length").alias("key_length"))
     whole = docs.join(starts, ["shard", "block"]).join(found, ["shard", "block", "offset"], "left")
     keyed = F.coalesce((F.col("key") == F.col("doc_id")) & (F.col("key_length") == F.col("n_tokens")), F.lit(False))

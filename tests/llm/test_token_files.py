@@ -51,6 +51,35 @@ def test_round_trip(spark, tmp_path):
     assert whole == {w[0]: w[2] for w in want}
 
 
+def test_one_key_reads_one_bucket_and_one_block(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_files, "BUCKETS_PER_PART", 2)
+    texts = [f"word{i} and more of it " * (i % 7) for i in range(300)]
+    folder = str(tmp_path / "ids")
+    token_files.write_ids(documents(spark, texts), folder, PATH, block_bytes=2000, keys_per_bucket=10)
+    library = Tokenizer.from_file(PATH)
+    for key in (0, 17, 299):
+        index, block = token_files.key_rows(spark, folder, key)
+        assert index.count() == 1 and block.count() == 1
+        # folders are picked by name; the bucket and the block are picked inside by a filter that reaches the files
+        for rows in (index, block):
+            plan = rows._jdf.queryExecution().executedPlan().toString()
+            assert "PartitionFilters: [isnotnull(" in plan and "PushedFilters: [IsNotNull(b" in plan and "EqualTo(b" in plan
+        assert token_files.fetch_key(spark, folder, key) == library.encode(texts[key], add_special_tokens=False).ids + [2]
+    assert token_files.fetch_key(spark, folder, 10**12) is None
+    token_files.write_ids(documents(spark, []), str(tmp_path / "none"), PATH)
+    assert token_files.fetch_key(spark, str(tmp_path / "none"), 1) is None
+
+
+def test_known_words_are_let_go(monkeypatch):
+    monkeypatch.setattr(token_files, "CACHED_BYTES", 2000)
+    coder, library = token_files.WordEncoder(PATH), Tokenizer.from_file(PATH)
+    for i in range(30):
+        texts = [f"some{i} words{j} here!" for j in range(10)] + ["x" * 5000, "日本" * 300]
+        want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert [np.frombuffer(c, coder.kind).tolist() for c in coder.encode(texts)] == want
+    assert len(coder.known) < 100
+
+
 def test_empty_null_and_repeated(spark, tmp_path):
     token_files.write_ids(documents(spark, []), str(tmp_path / "none"), PATH)
     assert token_files.checked(spark, str(tmp_path / "none")).collect() == []
