@@ -317,10 +317,26 @@ def _mark(docs: pa.Table, marks: pa.Table) -> pa.Table:
     done = _marked(docs, marks) if docs.num_rows else _DONE.empty_table()
     if CARRIED not in docs.column_names:
         return done
-    texts = pa.array([k.decode(errors="ignore").encode() for k in done.column("kept").to_pylist()], pa.binary())
+    rows = zip(docs.column("text").cast(pa.binary()), done.column("spans"), done.column("kept"))
+    texts = pa.array([kept.as_py() if not len(spans) else _whole_characters(text.as_py(), spans.as_py())
+                      for text, spans, kept in rows], pa.binary())
     return done.set_column(3, "kept", texts).append_column(CARRIED, docs.column(CARRIED))
 
 
+def _whole_characters(text: bytes, spans: list[dict]) -> bytes:
+    """The text without its spans, each widened to the borders of the UTF-8 characters at its ends."""
+    kept, at = [], 0
+    for span in spans:
+        start, stop = span["start"], span["stop"]
+        while start > at and text[start] & 0xC0 == 0x80:
+            start -= 1
+        while stop < len(text) and text[stop] & 0xC0 == 0x80:
+            stop += 1
+        kept.append(text[at:max(start, at)])
+        at = max(stop, at)
+    return b"".join([*kept, text[at:]])
+
+
 def _marked(docs: pa.Table, marks: pa.Table) -> pa.Table:
     shard, rows = _shard(docs), marks.to_pylist()
     delta = np.zeros(len(shard.data) + 1, np.int32)

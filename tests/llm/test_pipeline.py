@@ -58,4 +58,4 @@ def test_empty_and_odd_tables(spark):
 
 def test_registered():
     names = contract.queries()
-    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))

@@ -76,6 +76,55 @@ def test_without_repeats(spark):
     assert suffix_dedup.without_repeats(documents(spark, [])).collect() == []
 
 
+def test_no_character_is_made_of_two_others(spark):
+    """A span that begins inside one character and ends inside another takes both."""
+    shared = "s" * 60
+    df = documents(spark, ["\u0129" + shared + "\u00e8", "begin \u00e9" + shared + "\u00ea fin"])
+    got = {r.doc_id: r.text for r in suffix_dedup.without_repeats(df).collect()}
+    assert got[1] in ("begin  fin", "begin \u00e9\u00ea fin", "begin \u00e9 fin", "begin \u00ea fin")
+    assert set(got[1]) <= set("begin \u00e9\u00ea fin")
+
+
+def test_kept_characters_against_brute_force(spark):
+    """Whatever bytes go, the rest is the document's own characters with none of their bytes removed."""
+    rng = random.Random(12)
+    letters = ["a", "b", "\u00e9", "\u00e8", "\u0129", "\u65e5", "\u65e6", "\u66e5", "\U0001f600", "\U0001f601", "\U0001f640"]
+    shared = ["".join(rng.choice(letters) for _ in range(40)) for _ in range(4)]
+    texts = []
+    for _ in range(60):
+        parts = ["".join(rng.choice(letters) for _ in range(rng.randrange(30)))]
+        for _ in range(rng.randrange(4)):
+            passage = rng.choice(shared)
+            at = rng.randrange(10)
+            parts += [passage[at:], rng.choice(letters)]
+        texts.append("".join(parts))
+    spans = {r[0]: r[1] for r in spans_of(texts)}
+    got = {r.doc_id: r.text for r in suffix_dedup.without_repeats(documents(spark, texts)).collect()}
+    for i, text in enumerate(texts):
+        covered, at, kept = spans[i], 0, []
+        for character in text:
+            size = len(character.encode())
+            if not any(covered[at:at + size]):
+                kept.append(character)
+            at += size
+        assert got.get(i, "") == "".join(kept)
+
+
+def spans_of(texts):
+    """(id, which bytes go) by comparing all 50-byte strings."""
+    seen, out = set(), []
+    for i, text in enumerate(texts):
+        data = text.encode()
+        windows = [data[j:j + 50] for j in range(len(data) - 49)]
+        covered = [False] * len(data)
+        for j, w in enumerate(windows):
+            if w in seen:
+                covered[j:j + 50] = [True] * 50
+        seen.update(windows)
+        out.append((i, covered))
+    return out
+
+
 def test_bwt_and_common_prefixes():
     rng = random.Random(1)
     for trial in range(150):
