@@ -38,7 +38,9 @@ MIN_POSTERIOR = 0.6
 #: text without any known n-gram.
 ODD_SHARE = 0.05
 _SPACED = bytes(b if 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
-_HIDDEN = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
+_ZEROS, _LONG_NUMBER = re.compile("&#0+(?=[0-9])"), re.compile("&#[0-9]{8,}")
+_RAW = re.compile(r"<(script|style)\b", re.I)
+_RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style")}
 
 
 def _grams(text: bytes) -> np.ndarray:
@@ -53,8 +55,44 @@ def _grams(text: bytes) -> np.ndarray:
 
 
 def visible_text(page: bytes) -> bytes:
-    """A page's text without scripts, styles, comments and tags."""
-    return entities.unescape(_HIDDEN.sub(" ", page.decode())).encode("utf-8", "replace")
+    """A page's text without scripts, styles, comments and tags. What is never closed counts as a tag, or as text where
+    that is not closed either. Each kind of end is looked for once more only where one has been found, so any page takes
+    time in proportion to its length."""
+    text, out, at = page.decode(), [], 0
+    missing: set[str] = set()
+    while True:
+        start = text.find("<", at)
+        if start < 0 or "tag" in missing:
+            out.append(text[at:])
+            break
+        out.append(text[at:start])
+        end = -1
+        raw = _RAW.match(text, start)
+        if raw and raw[1].lower() not in missing:
+            closing = _RAW_END[raw[1].lower()].search(text, raw.end())
+            end = closing.end() if closing else -1
+            if not closing:
+                missing.add(raw[1].lower())
+        elif text.startswith("<!--", start) and "comment" not in missing:
+            end = text.find("-->", start + 4) + 3
+            if end < 3:
+                end = -1
+                missing.add("comment")
+        if end < 0:
+            end = text.find(">", start) + 1
+        if not end:
+            missing.add("tag")
+            at = start
+            out.append("")
+            continue
+        out.append(" ")
+        at = end
+    return _unescaped("".join(out)).encode("utf-8", "replace")
+
+
+def _unescaped(text: str) -> str:
+    """Numbers too long for any character are cut, as the regular decoding fails on thousands of digits."""
+    return entities.unescape(_LONG_NUMBER.sub("&#9999999", _ZEROS.sub("&#", text)) if "&#" in text else text)
 
 
 class TextModel:

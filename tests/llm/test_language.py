@@ -1,3 +1,8 @@
+import html
+import random
+import re
+import time
+
 from fixtures import clashing, documents
 
 from eventide.llm import language
@@ -66,3 +71,18 @@ def test_labelled_noise_does_not_vouch_for_itself(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     found = language.identify(docs, language.train(docs), "doc_id", "text", "lang", "source", label_col="lang")
     assert {r.id for r in found.where("rejected").collect()} == {1000, 1001, 1002}
+
+
+def test_visible_text_in_linear_time():
+    """As a regular expression would have it, on markup of all kinds and on markup that is never closed."""
+    hidden = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
+    rng = random.Random(3)
+    parts = ["<", "<!--", "-->", "<script", "<SCRIPT>", "</script>", "</Script >", "<style>", "</style>", ">", "a", " ", "&amp;",
+             "&#65;", "&#00000065;", "<p>", "</", "<scripts>", "\u00e9", "\n", "<!-->"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(14)))
+        assert language.visible_text(text.encode()).decode() == html.unescape(hidden.sub(" ", text))
+    start = time.perf_counter()
+    for piece in ("<!--", "<script", "<", "<style>x", "<!-- >", "&#1", "<script></scrip>"):
+        language.visible_text((piece * 300_000).encode())
+    assert time.perf_counter() - start < 20
