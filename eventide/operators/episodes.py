@@ -126,13 +126,12 @@ def _chunk_exits(length: int, size: int):
         t, own = pdf["t"].to_numpy(), pdf["own"].to_numpy()
         following = np.searchsorted(t, t + length, side="right")
         owned = int(own.sum())  # own rows come first in time
-        leaves = np.full(owned, -1, dtype=np.int64)
-        for i in range(owned - 1, -1, -1):
-            j = following[i]
-            if j < owned:
-                leaves[i] = leaves[j]
-            elif j < len(t):
-                leaves[i] = t[j]
+        # Jumps of doubled length until every chain has left the own rows; rows beyond them lead to themselves.
+        at = np.r_[following, len(t)]
+        at[owned:] = np.arange(owned, len(t) + 1)
+        while (at[:owned] < owned).any():
+            at = at[at]
+        leaves = np.r_[t, -1][at[:owned]]
         head = pdf.iloc[0]
         chunk_start = head["session_t"] + head["chunk"] * size
         near = int(np.searchsorted(t[:owned], chunk_start + 2 * length, side="left"))

@@ -13,6 +13,13 @@ from eventide.operators.windows import (SIZES_PER_BLOCK, hop_counts, key_runs, p
 
 DEFAULT_N = 5
 
+# Parts of a window's steps; see _changing.
+STEP_PARTS = 4
+
+# Beyond this many rows a group Spark no longer trims groups in the map tasks.
+TRIM_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
+PARTS = 64
+
 # Segments in one window length; see contenders.
 SEGMENTS_PER_WINDOW = 4
 
@@ -28,9 +35,15 @@ def top_n(counts: DataFrame, key: str, n: int = DEFAULT_N, window: str = "window
     """The n largest counts of each window, ties by key ascending.
 
     The filter on row_number lets Spark keep n rows per window in every map task before the shuffle,
-    so a window's whole count list never meets in one task.
+    so a window's whole count list never meets in one task. Beyond Spark's limit for that, a window is trimmed in parts
+    first: its first n are among the first n of each part.
     """
-    order = Window.partitionBy(window).orderBy(F.col("cnt").desc(), F.col(key))
+    by = [F.col("cnt").desc(), F.col(key)]
+    if n > int(counts.sparkSession.conf.get(TRIM_LIMIT_CONF, "1000")):
+        part = F.pmod(F.xxhash64(key), F.lit(PARTS))
+        nth = F.row_number().over(Window.partitionBy(window, "_part").orderBy(*by))
+        counts = counts.withColumn("_part", part).withColumn("_nth", nth).filter(F.col("_nth") <= n).drop("_part", "_nth")
+    order = Window.partitionBy(window).orderBy(*by)
     return (counts.withColumn("rank", F.row_number().over(order))
             .filter(F.col("rank") <= n)
             .select(window, "rank", key, "cnt"))
@@ -110,6 +123,33 @@ def hot_items_sql(spark: SparkSession, behaviour: DataFrame) -> DataFrame:
     return spark.sql(HOT_ITEMS_SQL, behaviour=behaviour)
 
 
+def _changing(so_far: DataFrame, key: str, per_window: int, n: int) -> DataFrame:
+    """Stretches of equal counts (key, end, cnt, from pane to until), without those of keys that are never among a
+    window's first n while they last.
+
+    Counts only grow within a window, so within a part of its steps a key holds at least its first count there and at
+    most its last. Where n keys hold at least as much from the part's start on as a key does at its end, that key is
+    behind all of them. What is left follows the changes of the first places, not the number of keys.
+    """
+    length = max(1, per_window // STEP_PARTS)
+    width = F.lit(length).cast("long")
+    parts = F.sequence(bucket(F.col("pane"), length), bucket(F.col("until") - 1, length))
+    cut = so_far.select(key, "block", "end", "cnt", F.explode(parts).alias("part"), "pane", "until").select(
+        key, "block", "end", "cnt", "part", F.greatest("pane", F.col("part") * width).alias("pane"),
+        F.least("until", (F.col("part") + 1) * width).alias("until"))
+    mine = Window.partitionBy(key, "block", "end", "part")
+    first = F.greatest(F.col("part") * width, F.col("end") - per_window)
+    cut = cut.select("*", F.max("cnt").over(mine).alias("high"), F.min("cnt").over(mine).alias("least"),
+                     (F.min("pane").over(mine) == first).alias("from_start"))
+    best = Window.partitionBy("end", "part").orderBy(F.col("least").desc(), F.col(key))
+    bars = (cut.filter(F.col("from_start") & (F.col("pane") == first)).withColumn("place", F.row_number().over(best))
+            .filter(F.col("place") <= n).filter(F.col("place") == n)
+            .select("end", "part", F.col("least").alias("bar"), F.col(key).alias("bar_key")))
+    behind = (F.col("high") < F.col("bar")) | ((F.col("high") == F.col("bar")) & (F.col(key) > F.col("bar_key")))
+    return (cut.join(bars, ["end", "part"], "left").filter(~F.coalesce(behind, F.lit(False)))
+            .select(key, "end", "cnt", "pane", "until"))
+
+
 def top_n_changelog(events: DataFrame, key: str, size: timedelta, slide: timedelta,
                     n: int = DEFAULT_N) -> DataFrame:
     """How each window's top-N came about, as a retract stream.
@@ -133,6 +173,7 @@ def top_n_changelog(events: DataFrame, key: str, size: timedelta, slide: timedel
         key, "block", "end",
         F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("cnt"),
         F.col("pane"), F.coalesce(F.lead("pane").over(w), F.col("end")).alias("until"))
+    so_far = _changing(so_far, key, per_window, n)
     so_far = so_far.select(key, "end", "cnt",
                            F.explode(F.sequence(F.col("pane"), F.col("until") - 1)).alias("step"))
     order = Window.partitionBy("end", "step").orderBy(F.col("cnt").desc(), F.col(key))

@@ -18,9 +18,10 @@ def _replay(spark, sf_dir, *event_types):
     return runner.Replay(runner.stream_session(spark), sf_dir, list(event_types))
 
 
-def _without_flush(df, *times):
-    """The rows of real events, whatever their keys; any of the result's times tells."""
-    return df.filter(F.coalesce(*times) < F.lit(runner.FLUSH_AT))
+def _without_flush(df, key, *times):
+    """The rows of real events, whatever their times: what a flush row makes has the flush's key and time."""
+    late = F.coalesce(F.coalesce(*times) >= F.lit(runner.FLUSH_AT), F.lit(False))
+    return df.filter(~(late & F.col(key).eqNullSafe(F.lit(runner.FLUSH_KEY))))
 
 
 def _page_views(ev):
@@ -80,7 +81,7 @@ def ad_guard(spark, sf_dir):
     replay = _replay(spark, sf_dir, "click")
     guarded = runner.collect_appended(replay, keyed.capped_clicks(tables.ad_clicks(replay.events), CAP),
                                       "ad-guard")
-    return _without_flush(guarded, "ts").select("user_id", "ad_id", "day", "ts", "status")
+    return _without_flush(guarded, "user_id", "ts").select("user_id", "ad_id", "day", "ts", "status")
 
 
 def ad_clicks_by_province(spark, sf_dir):
@@ -101,25 +102,25 @@ def channel_behavior(spark, sf_dir):
 def login_fail(spark, sf_dir):
     replay = _replay(spark, sf_dir, "error", "view")
     alerts = keyed.fail_episodes(tables.logins(replay.events), LOGIN_WITHIN)
-    return _without_flush(runner.collect_appended(replay, alerts, "login-fail"), "last_ts")
+    return _without_flush(runner.collect_appended(replay, alerts, "login-fail"), "user_id", "last_ts")
 
 
 def login_fail_pair(spark, sf_dir):
     replay = _replay(spark, sf_dir, "error", "view")
     pairs = keyed.fail_pairs(tables.logins(replay.events), LOGIN_WITHIN)
-    return _without_flush(runner.collect_appended(replay, pairs, "login-pairs"), "last_ts")
+    return _without_flush(runner.collect_appended(replay, pairs, "login-pairs"), "user_id", "last_ts")
 
 
 def login_fail_run(spark, sf_dir):
     replay = _replay(spark, sf_dir, "error", "view")
     runs = keyed.fail_runs(tables.logins(replay.events), RUN_LENGTH, RUN_WITHIN)
-    return _without_flush(runner.collect_appended(replay, runs, "login-runs"), "last_ts")
+    return _without_flush(runner.collect_appended(replay, runs, "login-runs"), "user_id", "last_ts")
 
 
 def _first_pays(spark, sf_dir, status):
     replay = _replay(spark, sf_dir, "signup", "purchase")
     found = runner.collect_appended(replay, keyed.first_pays(tables.orders(replay.events), PAY_WITHIN), "first-pays")
-    return _without_flush(found.filter(F.col("status") == status), "create_ts").drop("status")
+    return _without_flush(found.filter(F.col("status") == status), "order_id", "create_ts").drop("status")
 
 
 def order_pay_match(spark, sf_dir):
@@ -141,13 +142,13 @@ def login_fail_from_log(spark, sf_dir):
     def end():
         own.createDataFrame([(last,)], "value string").coalesce(1).write.mode("append").text(folder)
 
-    return _without_flush(runner.collect_ended(end, alerts, "login-fail-lines"), "last_ts")
+    return _without_flush(runner.collect_ended(end, alerts, "login-fail-lines"), "user_id", "last_ts")
 
 
 def order_status(spark, sf_dir):
     replay = _replay(spark, sf_dir, "signup", "purchase")
     status = keyed.order_status(tables.orders(replay.events), PAY_WITHIN)
-    return (_without_flush(runner.collect_appended(replay, status, "order-status"), "create_ts", "pay_ts")
+    return (_without_flush(runner.collect_appended(replay, status, "order-status"), "order_id", "create_ts", "pay_ts")
             .select("order_id", "create_ts", "pay_ts", "status"))
 
 
@@ -155,7 +156,7 @@ def reconcile(spark, sf_dir):
     replay = _replay(spark, sf_dir, "purchase", "click")
     ev = replay.events
     joined = joins.reconcile(tables.payments(ev), tables.receipts(ev), EARLY, LATE)
-    return (_without_flush(runner.collect_appended(replay, joined, "reconcile"), "pay_ts", "receipt_ts")
+    return (_without_flush(runner.collect_appended(replay, joined, "reconcile"), "tx_id", "pay_ts", "receipt_ts")
             .select("tx_id", "pay_ts", "receipt_ts", "status"))
 
 
@@ -163,7 +164,7 @@ def reconcile_one_to_one(spark, sf_dir):
     replay = _replay(spark, sf_dir, "purchase", "click")
     ev = replay.events
     settled = keyed.reconcile_one_to_one(tables.payments(ev), tables.receipts(ev), EARLY, LATE)
-    return (_without_flush(runner.collect_appended(replay, settled, "one-to-one"), "pay_ts", "receipt_ts")
+    return (_without_flush(runner.collect_appended(replay, settled, "one-to-one"), "tx_id", "pay_ts", "receipt_ts")
             .select("tx_id", "pay_ts", "receipt_ts", "status"))
 
 

@@ -60,7 +60,7 @@ class InOrder(StatefulProcessor):
         raise NotImplementedError
 
     def settle(self, memory, out: list):
-        """Called once the watermark has reached `due`."""
+        """Called when the watermark has reached `due`, again and again until it has not."""
         raise NotImplementedError
 
     def room(self, memory) -> int | None:
@@ -99,7 +99,7 @@ class InOrder(StatefulProcessor):
                 memory = self.step(memory, t, event_id, what, out)
             self._put(slices, part, waiting[done:])
         due = self.due(memory)
-        if due is not None and due <= upto:
+        while due is not None and due <= upto:
             memory = self.settle(memory, out)
             due = self.due(memory)
         room = self.room(memory)

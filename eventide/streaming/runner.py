@@ -16,8 +16,8 @@ from eventide.sources.tables import instants
 STATE_STORES = 8
 STORES_CONF = "eventide.stream.stores"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-# Rows at or after this time only push the watermark. They are told by it, not by their key.
-_FLUSH_USER = -1
+# Rows of this key and time only push the watermark.
+FLUSH_KEY = -1
 FLUSH_AT = datetime(2200, 1, 1, tzinfo=timezone.utc)
 
 
@@ -65,7 +65,7 @@ class Replay:
         self._rows(self._types).coalesce(1).write.mode("append").parquet(self._path)
 
     def _rows(self, event_types: list[str]) -> DataFrame:
-        fixed = {"ts": F.lit(FLUSH_AT), "user_id": F.lit(_FLUSH_USER), "event_type": F.col("kind"),
+        fixed = {"ts": F.lit(FLUSH_AT), "user_id": F.lit(FLUSH_KEY), "event_type": F.col("kind"),
                  "event_id": F.lit(-1), "props": F.lit('{"k": 0}')}
         return (self._spark.createDataFrame([(kind,) for kind in event_types], "kind string")
                 .select(*[fixed.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)

@@ -268,6 +268,15 @@ def test_a_timer_reads_the_due_slices_alone():
     assert sum(len(v[0]) for v in processor.pending.values()) == 10_000 - 21
 
 
+def test_all_creates_that_are_due_time_out_at_once():
+    processor = keyed.FirstPay(10_000_000)
+    processor.init(Held())
+    pdf = pd.DataFrame({"t": [0, 1_000_000, 2_000_000], "event_id": [1, 2, 3], "what": ["create"] * 3})
+    list(processor.handleInputRows((1,), iter([pdf]), Clock(0)))
+    out = pd.concat(processor.handleExpiredTimer((1,), Clock(11_500), None))
+    assert list(out["create_id"]) == [1, 2] and processor.memory.get() == ([3], [2_000_000])
+
+
 def test_a_full_cap_stores_nothing_more():
     processor = keyed.ClickCap(5)
     processor.init(Held())

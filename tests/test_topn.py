@@ -1,6 +1,7 @@
 from collections import defaultdict
 from datetime import timedelta as td
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import at, frame, random_events, secs
@@ -85,3 +86,55 @@ def test_hopeless_keys_are_dropped_early(spark):
     every = windows.hop_counts(ev, ["item_id"], size, slide)
     left = topn.contenders(windows.key_runs(ev, ["item_id"], size, slide), "item_id", 120, slide, 5)
     assert left.filter("item_id >= 100").count() < every.filter("item_id >= 100").count() / 20
+
+
+def test_more_ranks_than_spark_trims(spark):
+    rows = [(300 * (1 + i % 2), i, (i * 7919) % 97) for i in range(5000)]
+    got = {(secs(r["window_end"]), r["rank"]): (r["item_id"], r["cnt"]) for r in topn.top_n(counts(spark, rows), "item_id", 1500).collect()}
+    for window in (300, 600):
+        best = sorted((-c, k) for w, k, c in rows if w == window)[:1500]
+        assert [got[window, i + 1] for i in range(1500)] == [(k, -c) for c, k in best]
+
+
+@pytest.mark.parametrize("seed,slots,n,keys", [(1, 12, 5, 60), (2, 7, 2, 9), (3, 24, 3, 200), (4, 1, 2, 5)])
+def test_changelog_against_brute_force(spark, seed, slots, n, keys):
+    """Every window followed step by step, with far more keys than places."""
+    rows = random_events(seed, 500, keys, 3 * 3600, ["pv"], hot_share=0.1, step=1.0)
+    slide = 300
+    panes = {}
+    for _, key, _, s in rows:
+        panes.setdefault(int(s // slide), []).append(key)
+    want = []
+    for end in range(min(panes) + 1, max(panes) + slots + 1):
+        before, held = [], {}
+        for step in range(end - slots, end):
+            for key in panes.get(step, ()):
+                held[key] = held.get(key, 0) + 1
+            now = [(i + 1, k, c) for i, (k, c) in enumerate(sorted(held.items(), key=lambda x: (-x[1], x[0]))[:n])]
+            want += [(end, step + 1, "-", *row) for row in before if row not in now]
+            want += [(end, step + 1, "+", *row) for row in now if row not in before]
+            before = now
+    df = frame(spark, rows, "event_id bigint, item_id bigint, behavior string, s double")
+    got = [(secs(r["window_end"]) // slide, secs(r["as_of"]) // slide, r["change"], r["rank"], r["item_id"], r["cnt"])
+           for r in topn.top_n_changelog(df, "item_id", td(seconds=slide * slots), td(seconds=slide), n).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_keys_out_of_the_running_are_not_followed_step_by_step(spark):
+    """Rows that reach the ranking follow the first places, not the number of keys."""
+    rows = [(i, i % 3, "pv", float(i % 3600)) for i in range(3000)] + [(10_000 + i, 100 + i, "pv", 1800.0 + i % 100) for i in range(2000)]
+    df = frame(spark, rows, "event_id bigint, item_id bigint, behavior string, s double")
+    plain = topn._changing
+    seen = []
+
+    def counting(so_far, *args):
+        out = plain(so_far, *args)
+        seen.append((so_far.count(), out.count()))
+        return out
+
+    topn._changing = counting
+    try:
+        topn.top_n_changelog(df, "item_id", td(hours=1), td(minutes=5), 3).count()
+    finally:
+        topn._changing = plain
+    assert seen[0][1] < seen[0][0] / 5
