@@ -44,6 +44,7 @@ WORDS_PER_CALL = 500
 PIECE_BYTES = 1 << 20
 BLOCKS = "shard int, block int, width int, n_tokens long, doc_ids array<long>, lengths array<long>, payload binary"
 SLOT = np.dtype([("check", "<u4"), ("shard", "<u4"), ("block", "<u4"), ("offset", "<u8"), ("length", "<u8")])
+WORD_END = "</w>"
 # Python splits at these four; the tokenizer's white space does not hold them.
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
 # Lower-casing a text first, as the tokenizer does by character, could change these.
@@ -66,6 +67,9 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for name, i in vocabulary.items() if name.endswith(WORD_END)]] = True
         self._forget()
 
     def _forget(self) -> None:
@@ -93,10 +97,11 @@ class WordEncoder:
         return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
 
     def _learn(self, new: list[str]) -> None:
-        groups = [new[at:at + WORDS_PER_CALL] for at in range(0, len(new), WORDS_PER_CALL)]
-        codes = self.tokenizer.encode_batch(list(map(" ".join, groups)), add_special_tokens=False)
-        sizes = np.concatenate([_sizes(g, c) for g, c in zip(groups, codes)])
-        ids = np.concatenate([np.array(c.ids, self.kind) for c in codes])
+        plain = [w for w in new if w.isalpha()]
+        rest = [w for w in new if not w.isalpha()]
+        found = [*self._letters(plain), *self._any(rest)]
+        new = plain + rest
+        sizes, ids = (np.concatenate(c) for c in zip(*found))
         first, n = len(self.known), len(new)
         self.known.update(zip(new, range(first, first + n)))
         self.start, self.size = _room(self.start, first + n), _room(self.size, first + n)
@@ -108,6 +113,26 @@ class WordEncoder:
         # a string and its place in the dictionary take some hundred bytes besides the characters
         self.held += sum(map(len, new)) * 2 + n * 150 + ids.nbytes
 
+    def _letters(self, words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Sizes and ids of words of letters alone. Each is one pre-token, whose last id says so; as every word has one
+        such id at least, their number tells whether that holds for all."""
+        groups, out = _groups(words), []
+        codes = self.tokenizer.encode_batch_fast(list(map(" ".join, groups)), add_special_tokens=False)
+        for group, code in zip(groups, codes):
+            ids = np.array(code.ids, self.kind)
+            ends = np.flatnonzero(self.ends[ids])
+            out += [(np.diff(ends, prepend=-1), ids)] if len(ends) == len(group) else self._any(group)
+        return out
+
+    def _any(self, words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        groups = _groups(words)
+        codes = self.tokenizer.encode_batch(list(map(" ".join, groups)), add_special_tokens=False)
+        return [(_sizes(g, c), np.array(c.ids, self.kind)) for g, c in zip(groups, codes)]
+
+
+def _groups(words: list[str]) -> list[list[str]]:
+    return [words[at:at + WORDS_PER_CALL] for at in range(0, len(words), WORDS_PER_CALL)]
+
 
 def _words(text: str) -> list[str]:
     """Lower-cased where the tokenizer would do so alike; split where it sees white space."""
