@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from datetime import timedelta
+from itertools import islice, zip_longest
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from eventide.functions.eventtime import bucket, instant, micros, utc_clock
 from eventide.operators.windows import (SIZES_PER_BLOCK, hop_counts, key_runs, pane_counts,
@@ -13,9 +17,6 @@ from eventide.operators.windows import (SIZES_PER_BLOCK, hop_counts, key_runs, p
 
 DEFAULT_N = 5
 
-# Parts of a window's steps; see _changing.
-STEP_PARTS = 4
-
 # Beyond this many rows a group Spark no longer trims groups in the map tasks.
 TRIM_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 PARTS = 64
@@ -123,31 +124,46 @@ def hot_items_sql(spark: SparkSession, behaviour: DataFrame) -> DataFrame:
     return spark.sql(HOT_ITEMS_SQL, behaviour=behaviour)
 
 
-def _changing(so_far: DataFrame, key: str, per_window: int, n: int) -> DataFrame:
-    """Stretches of equal counts (key, end, cnt, from pane to until), without those of keys that are never among a
-    window's first n while they last.
+def _first_of_steps(so_far: DataFrame, key: str, n: int) -> DataFrame:
+    """Of the counts so far (key, end, pane, cnt), the n largest among those that grew at the same step of a window.
 
-    Counts only grow within a window, so within a part of its steps a key holds at least its first count there and at
-    most its last. Where n keys hold at least as much from the part's start on as a key does at its end, that key is
-    behind all of them. What is left follows the changes of the first places, not the number of keys.
+    Counts only grow within a window, so a key comes into its top-N, or moves up there, only at a step at which it grows
+    itself. A key that n others beat at that step is behind them until it grows again. What is left are at most n rows a
+    step at which anything grew, however many keys there are and however many steps nothing happens.
     """
-    length = max(1, per_window // STEP_PARTS)
-    width = F.lit(length).cast("long")
-    parts = F.sequence(bucket(F.col("pane"), length), bucket(F.col("until") - 1, length))
-    cut = so_far.select(key, "block", "end", "cnt", F.explode(parts).alias("part"), "pane", "until").select(
-        key, "block", "end", "cnt", "part", F.greatest("pane", F.col("part") * width).alias("pane"),
-        F.least("until", (F.col("part") + 1) * width).alias("until"))
-    mine = Window.partitionBy(key, "block", "end", "part")
-    first = F.greatest(F.col("part") * width, F.col("end") - per_window)
-    cut = cut.select("*", F.max("cnt").over(mine).alias("high"), F.min("cnt").over(mine).alias("least"),
-                     (F.min("pane").over(mine) == first).alias("from_start"))
-    best = Window.partitionBy("end", "part").orderBy(F.col("least").desc(), F.col(key))
-    bars = (cut.filter(F.col("from_start") & (F.col("pane") == first)).withColumn("place", F.row_number().over(best))
-            .filter(F.col("place") <= n).filter(F.col("place") == n)
-            .select("end", "part", F.col("least").alias("bar"), F.col(key).alias("bar_key")))
-    behind = (F.col("high") < F.col("bar")) | ((F.col("high") == F.col("bar")) & (F.col(key) > F.col("bar_key")))
-    return (cut.join(bars, ["end", "part"], "left").filter(~F.coalesce(behind, F.lit(False)))
-            .select(key, "end", "cnt", "pane", "until"))
+    at = so_far.select(F.struct("end", "pane").alias("at"), key, "cnt")
+    return top_n(at, key, n, "at").select("at.end", "at.pane", key, "cnt")
+
+
+def _steps(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, int, list[tuple]]]:
+    """(end, pane, [(key, cnt)]) of rows sorted by end and pane."""
+    at, grown = None, []
+    for batch in batches:
+        for end, pane, key, cnt in zip(*(c.to_pylist() for c in batch.columns)):
+            if at != (end, pane):
+                if grown:
+                    yield *at, grown
+                at, grown = (end, pane), []
+            grown.append((key, cnt))
+    if grown:
+        yield *at, grown
+
+
+def _changes(batches: Iterable[pa.RecordBatch], n: int) -> Iterator[tuple]:
+    """(end, step, change, rank, key, cnt) wherever a step makes a place of a window's top-N differ; holds one top-N."""
+    own, top = None, []
+    for end, pane, grown in _steps(batches):
+        if end != own:
+            own, top = end, []
+        keys = {k for k, _ in grown}
+        now = sorted([*(row for row in top if row[0] not in keys), *grown],
+                     key=lambda row: (-row[1], row[0] is not None, row[0]))[:n]
+        for rank, (old, new) in enumerate(zip_longest(top, now), 1):
+            if old != new:
+                if old:
+                    yield end, pane + 1, "-", rank, *old
+                yield end, pane + 1, "+", rank, *new  # a top-N never gets shorter
+        top = now
 
 
 def top_n_changelog(events: DataFrame, key: str, size: timedelta, slide: timedelta,
@@ -156,6 +172,9 @@ def top_n_changelog(events: DataFrame, key: str, size: timedelta, slide: timedel
 
     `as_of` steps through the panes of a window. At each step the rows that left the top-N or changed
     rank or count are retracted ('-') and the rows that took their place are added ('+').
+
+    A window's rows are followed from change to change, in order, by one task that holds its present top-N: at most n
+    rows for each step that brought anything, and none for the others.
     """
     per_window = panes_per_window(size, slide)
     block = per_window * SIZES_PER_BLOCK
@@ -167,39 +186,20 @@ def top_n_changelog(events: DataFrame, key: str, size: timedelta, slide: timedel
     low = F.greatest(F.col("pane") + 1, F.col("block") * block)
     high = F.least(F.col("pane") + per_window, (F.col("block") + 1) * block - 1)
     hits = spread.withColumn("end", F.explode(F.sequence(low, high)))
-    # Count so far at each pane of the window, and the pane up to which it stays so.
-    w = Window.partitionBy(key, "block", "end").orderBy("pane")
-    so_far = hits.select(
-        key, "block", "end",
-        F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("cnt"),
-        F.col("pane"), F.coalesce(F.lead("pane").over(w), F.col("end")).alias("until"))
-    so_far = _changing(so_far, key, per_window, n)
-    so_far = so_far.select(key, "end", "cnt",
-                           F.explode(F.sequence(F.col("pane"), F.col("until") - 1)).alias("step"))
-    order = Window.partitionBy("end", "step").orderBy(F.col("cnt").desc(), F.col(key))
-    ranked = (so_far.withColumn("rank", F.row_number().over(order))
-              .filter(F.col("rank") <= n))
-    # Compare a key's place at one step with its place at the next; at most per_window rows a group.
-    life = Window.partitionBy("end", key).orderBy("step")
-    same_before = ((F.lag("step").over(life) == F.col("step") - 1)
-                   & (F.lag("rank").over(life) == F.col("rank"))
-                   & (F.lag("cnt").over(life) == F.col("cnt")))
-    same_after = ((F.lead("step").over(life) == F.col("step") + 1)
-                  & (F.lead("rank").over(life) == F.col("rank"))
-                  & (F.lead("cnt").over(life) == F.col("cnt")))
-    flagged = ranked.select(
-        "end", "step", key, "rank", "cnt",
-        (~F.coalesce(same_before, F.lit(False))).alias("_adds"),
-        (~F.coalesce(same_after, F.lit(False)) & (F.col("step") + 1 < F.col("end"))).alias("_drops"))
-    none = F.array().cast("array<struct<change:string,at:bigint>>")
-    changes = F.concat(
-        F.when(F.col("_adds"), F.array(F.struct(F.lit("+").alias("change"), F.col("step").alias("at"))))
-        .otherwise(none),
-        F.when(F.col("_drops"),
-               F.array(F.struct(F.lit("-").alias("change"), (F.col("step") + 1).alias("at"))))
-        .otherwise(none))
+    upto = (Window.partitionBy(key, "block", "end").orderBy("pane")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    grown = _first_of_steps(hits.select(key, "end", "pane", F.sum("cnt").over(upto).alias("cnt")), key, n)
+    kind = grown.schema[key].dataType
+
+    def follow(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, key_type = ["end", "step", "change", "rank", "key", "cnt"], to_arrow_type(kind)
+        types = [pa.int64(), pa.int64(), pa.string(), pa.int32(), key_type, pa.int64()]
+        rows = _changes(batches, n)
+        while part := list(islice(rows, 10_000)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part), types)], names=names)
+
+    ordered = grown.repartition("end").sortWithinPartitions("end", "pane")
     step = micros(slide)
-    return (flagged.select("end", key, "rank", "cnt", F.explode(changes).alias("c"))
-            .select(instant(F.col("end"), step).alias("window_end"),
-                    instant(F.col("c.at") + 1, step).alias("as_of"),
-                    F.col("c.change").alias("change"), "rank", key, "cnt"))
+    return (ordered.mapInArrow(follow, f"end long, step long, change string, rank int, key {kind.simpleString()}, cnt long")
+            .select(instant(F.col("end"), step).alias("window_end"), instant(F.col("step"), step).alias("as_of"),
+                    "change", "rank", F.col("key").alias(key), "cnt"))

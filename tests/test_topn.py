@@ -124,7 +124,7 @@ def test_keys_out_of_the_running_are_not_followed_step_by_step(spark):
     """Rows that reach the ranking follow the first places, not the number of keys."""
     rows = [(i, i % 3, "pv", float(i % 3600)) for i in range(3000)] + [(10_000 + i, 100 + i, "pv", 1800.0 + i % 100) for i in range(2000)]
     df = frame(spark, rows, "event_id bigint, item_id bigint, behavior string, s double")
-    plain = topn._changing
+    plain = topn._first_of_steps
     seen = []
 
     def counting(so_far, *args):
@@ -132,9 +132,9 @@ def test_keys_out_of_the_running_are_not_followed_step_by_step(spark):
         seen.append((so_far.count(), out.count()))
         return out
 
-    topn._changing = counting
+    topn._first_of_steps = counting
     try:
         topn.top_n_changelog(df, "item_id", td(hours=1), td(minutes=5), 3).count()
     finally:
-        topn._changing = plain
+        topn._first_of_steps = plain
     assert seen[0][1] < seen[0][0] / 5
