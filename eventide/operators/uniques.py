@@ -82,7 +82,14 @@ def uv_sliding(behaviour: DataFrame, pane: timedelta, size: timedelta, slide: ti
 def uv_sliding_check(behaviour: DataFrame, pane: timedelta, size: timedelta, slide: timedelta,
                      log_buckets: int = SKETCH_LOG) -> DataFrame:
     """Per window, whether the estimate lies within three standard errors, or one visitor, of the exact number."""
-    estimate = uv_sliding_approx(uv_sketches(behaviour, pane, log_buckets), pane, size, slide).withColumnRenamed("uv", "estimate")
+    return sliding_close(uv_sliding_approx(uv_sketches(behaviour, pane, log_buckets), pane, size, slide), behaviour, pane, size,
+                         slide, log_buckets)
+
+
+def sliding_close(estimates: DataFrame, behaviour: DataFrame, pane: timedelta, size: timedelta, slide: timedelta,
+                  log_buckets: int = SKETCH_LOG) -> DataFrame:
+    """The same check of estimates (window_end, uv), wherever they come from."""
+    estimate = estimates.withColumnRenamed("uv", "estimate")
     allowed = F.greatest(F.lit(1.0), 3 * 1.04 / 2 ** (log_buckets / 2) * F.col("uv"))
     return (uv_sliding(behaviour, pane, size, slide).join(estimate, "window_end", "left")
             .select("window_end", F.coalesce(F.abs(F.col("estimate") - F.col("uv")) <= allowed, F.lit(False)).alias("close")))

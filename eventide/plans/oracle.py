@@ -212,16 +212,20 @@ WHERE NOT EXISTS (SELECT 1 FROM ({_PAY}) AS p WHERE {_IN_REACH})""",
 # A streaming twin must end with the rows of its batch query.
 ORACLE |= {twin: ORACLE[batch] for twin, batch in {
     "stream_pv": "pv_hourly",
+    "stream_pv_salted": "pv_hourly",
     "stream_uv": "uv_hourly",
+    "stream_uv_bitmap": "uv_hourly_bitmap",
     "stream_uv_running": "uv_hourly",
     "stream_hot_items_topn": "hot_items_topn",
     "stream_topn_changelog": "hot_items_topn",
+    "stream_topn_report": "topn_report",
     "stream_channel_behavior": "channel_behavior_hop_count",
     "stream_hot_urls": "hot_urls_topn",
     "stream_ad_clicks_by_province": "ad_clicks_by_province",
     "stream_login_fail": "login_fail_episode",
     "stream_login_fail_pair": "login_fail_pair",
     "stream_login_fail_run": "login_fail_run",
+    "stream_login_fail_two_step": "login_fail_two_step",
     "stream_order_pay_match": "order_pay_match",
     "stream_order_pay_timeout": "order_pay_timeout",
     "stream_order_status": "order_status",
@@ -288,5 +292,6 @@ FROM p FULL OUTER JOIN r ON {_IN_REACH}"""
 ORACLE["interval_join_from_log"] = f"""{_SIDES}
 SELECT p.tx_id, order_id, pay_ts, pay_channel, receipt_ts FROM p JOIN r ON {_IN_REACH}"""
 ORACLE["uv_sliding_approx"] = f"SELECT DISTINCT window_end, TRUE AS close FROM ({_HOT_ITEMS}) AS h"
+ORACLE["stream_uv_sliding_approx"] = ORACLE["uv_sliding_approx"]
 ORACLE["uv_daily_approx"] = f"""SELECT DISTINCT date_trunc('day', ts) + INTERVAL '1 day' AS window_end, TRUE AS close
 FROM events WHERE {_PV}"""

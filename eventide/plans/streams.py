@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventide.operators import filters
+from eventide.operators import filters, uniques
 from eventide.operators.orders import NO_PAY, PAID
 from eventide.plans import catalog
 from eventide.plans.catalog import (CAP, EARLY, FIVE_MINUTES, FIVE_SECONDS, HOUR, LATE, LOGIN_WITHIN, PAY_WITHIN, Query,
@@ -38,6 +38,25 @@ def uv(spark, sf_dir):
     return runner.collect_appended(replay, aggregates.uv(_page_views(replay.events)), "uv")
 
 
+def pv_salted(spark, sf_dir):
+    replay = _replay(spark, sf_dir, "view")
+    return runner.collect_appended(replay, aggregates.pv_salted(_page_views(replay.events)), "pv-salted")
+
+
+def uv_bitmap(spark, sf_dir):
+    replay = _replay(spark, sf_dir, "view")
+    return runner.collect_appended(replay, aggregates.uv_bitmap(_page_views(replay.events)), "uv-bitmap")
+
+
+def uv_sliding_approx(spark, sf_dir):
+    """Whether the stream's estimates are close to the exact numbers, which a batch counts."""
+    replay = _replay(spark, sf_dir, "view")
+    found = runner.collect_appended(replay, aggregates.uv_sliding_approx(
+        _page_views(replay.events), "5 minutes", "1 hour", "5 minutes"), "uv-sliding")
+    exact = _page_views(tables.events(replay.events.sparkSession, sf_dir))
+    return uniques.sliding_close(found, exact, FIVE_MINUTES, HOUR, FIVE_MINUTES)
+
+
 #: A replay in time order takes this many micro-batches.
 PIECES = 4
 
@@ -69,6 +88,12 @@ def hot_items_topn(spark, sf_dir):
     return runner.collect_appended(replay, counts, "hot-items", aggregates.rank_closed())
 
 
+def topn_report(spark, sf_dir):
+    replay = _replay(spark, sf_dir, "view")
+    counts = aggregates.hop_counts(_page_views(replay.events), "item_id", "1 hour", "5 minutes")
+    return runner.collect_appended(replay, counts, "report", aggregates.report_closed())
+
+
 def hot_urls(spark, sf_dir):
     # Update mode reports open windows too, so nothing has to be flushed.
     own = runner.stream_session(spark)
@@ -117,6 +142,12 @@ def login_fail_run(spark, sf_dir):
     return _without_flush(runner.collect_appended(replay, runs, "login-runs"), "user_id", "last_ts")
 
 
+def login_fail_two_step(spark, sf_dir):
+    replay = _replay(spark, sf_dir, "error", "view")
+    runs = keyed.fail_runs(tables.logins(replay.events), 2, LOGIN_WITHIN)
+    return _without_flush(runner.collect_appended(replay, runs, "login-two-step"), "user_id", "last_ts")
+
+
 def _first_pays(spark, sf_dir, status):
     replay = _replay(spark, sf_dir, "signup", "purchase")
     found = runner.collect_appended(replay, keyed.first_pays(tables.orders(replay.events), PAY_WITHIN), "first-pays")
@@ -170,10 +201,14 @@ def reconcile_one_to_one(spark, sf_dir):
 
 STREAMS: dict[str, Query] = {
     "stream_pv": pv,
+    "stream_pv_salted": pv_salted,
     "stream_uv": uv,
+    "stream_uv_bitmap": uv_bitmap,
+    "stream_uv_sliding_approx": uv_sliding_approx,
     "stream_uv_running": uv_running,
     "stream_hot_items_topn": hot_items_topn,
     "stream_topn_changelog": topn_changelog,
+    "stream_topn_report": topn_report,
     "stream_hot_urls": hot_urls,
     "stream_ad_guard": ad_guard,
     "stream_ad_clicks_by_province": ad_clicks_by_province,
@@ -181,6 +216,7 @@ STREAMS: dict[str, Query] = {
     "stream_login_fail": login_fail,
     "stream_login_fail_pair": login_fail_pair,
     "stream_login_fail_run": login_fail_run,
+    "stream_login_fail_two_step": login_fail_two_step,
     "stream_order_pay_match": order_pay_match,
     "stream_order_pay_timeout": order_pay_timeout,
     "stream_login_fail_from_log": login_fail_from_log,

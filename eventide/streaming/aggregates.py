@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.functions.eventtime import bucket, epoch_micros, micros
-from eventide.operators.topn import DEFAULT_N, contenders, top_n
+from eventide.functions.hashing import BITMAP_CAPACITY, bitmap_offset
+from eventide.operators.topn import DEFAULT_N, ITEM_REPORT, contenders, report, top_n
+from eventide.operators.uniques import SKETCH_LOG
 from eventide.operators.windows import panes_per_window, runs_of_panes
 from eventide.streaming import runner
 from eventide.streaming.versions import Versions
@@ -29,6 +31,40 @@ def uv(page_views: DataFrame, size: str = "1 hour", delay: str = "0 seconds") ->
             .select(F.col("w2.end").alias("window_end"), "uv"))
 
 
+def pv_salted(page_views: DataFrame, salt_on: str = "event_id", salts: int = 8, size: str = "1 hour",
+              delay: str = "0 seconds") -> DataFrame:
+    """Two stateful steps: a count per (window, salt), and when these close their sum. No window has its rows counted in
+    one state store; the salt is a hash of a row id, so a repeated micro-batch puts rows under the same salts."""
+    salt = F.pmod(F.xxhash64(salt_on), F.lit(salts))
+    partial = (page_views.withWatermark("ts", delay).groupBy(F.window("ts", size).alias("w"), salt.alias("salt"))
+               .agg(F.count(F.lit(1)).alias("partial")))
+    return (partial.groupBy(F.window(F.window_time("w"), size).alias("w2")).agg(F.sum("partial").alias("cnt"))
+            .select(F.col("w2.end").alias("window_end"), "cnt"))
+
+
+def uv_bitmap(page_views: DataFrame, size: str = "1 hour", delay: str = "0 seconds",
+              capacity: int = BITMAP_CAPACITY) -> DataFrame:
+    """Distinct bit positions of a one-hash bitmap. State holds the bitmap's pieces in use, each of a fixed number of bits,
+    so it is bounded by the capacity however many users come."""
+    at = page_views.withWatermark("ts", delay).select(
+        F.window("ts", size).alias("w"), bitmap_offset(F.col("user_id"), capacity).alias("pos"))
+    pieces = (at.groupBy("w", F.bitmap_bucket_number("pos").alias("piece"))
+              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("pos")).alias("bits")))
+    return (pieces.groupBy(F.window(F.window_time("w"), size).alias("w2")).agg(F.sum(F.bitmap_count("bits")).alias("uv"))
+            .select(F.col("w2.end").alias("window_end"), "uv"))
+
+
+def uv_sliding_approx(page_views: DataFrame, pane: str, size: str, slide: str, delay: str = "0 seconds",
+                      log_buckets: int = SKETCH_LOG) -> DataFrame:
+    """Estimated distinct users of sliding windows: one sketch per pane as state, and closed panes' sketches merged into
+    the windows over them. State does not grow with the users."""
+    sketches = (page_views.withWatermark("ts", delay).groupBy(F.window("ts", pane).alias("pane"))
+                .agg(F.hll_sketch_agg("user_id", F.lit(log_buckets)).alias("sketch")))
+    return (sketches.groupBy(F.window(F.window_time("pane"), size, slide).alias("w"))
+            .agg(F.hll_union_agg("sketch").alias("sketch"))
+            .select(F.col("w.end").alias("window_end"), F.hll_sketch_estimate("sketch").alias("uv")))
+
+
 def hop_counts(events: DataFrame, key: str, size: str, slide: str, delay: str = "0 seconds") -> DataFrame:
     """Sliding count in two stateful steps: rows are counted per pane, and only closed panes, not
     rows, are copied into the windows that cover them."""
@@ -45,6 +81,11 @@ def rank_closed(n: int = DEFAULT_N, key: str = "item_id"):
     return lambda batch: top_n(batch, key, n)
 
 
+def report_closed(n: int = DEFAULT_N, key: str = "item_id", style: dict = ITEM_REPORT):
+    """Batch step that writes the text of every closed window."""
+    return lambda batch: report(top_n(batch, key, n), key, style)
+
+
 def uv_running(page_views: DataFrame, size: str = "1 hour", delay: str = "0 seconds") -> DataFrame:
     """Unique visitors so far of every window that a micro-batch adds visitors to, for update mode.
 

@@ -62,6 +62,35 @@ def test_counts_and_unique_visitors(spark, source):
     assert rows(got) == rows(uniques.uv(page_views(ev)))
 
 
+def test_salted_and_bitmap_counts(spark, source):
+    folder, ev = source
+    play = replay(spark, folder, "view")
+    got = runner.collect_appended(play, aggregates.pv_salted(page_views(play.events), delay=LATE), "t-salted")
+    assert rows(got) == rows(windows.tumbling_count(page_views(ev), td(hours=1)))
+    play = replay(spark, folder, "view")
+    got = runner.collect_appended(play, aggregates.uv_bitmap(page_views(play.events), delay=LATE, capacity=64), "t-bits")
+    assert rows(got) == rows(uniques.uv_bitmap(page_views(ev), capacity=64))
+
+
+def test_sliding_estimates(spark, source):
+    folder, ev = source
+    five, hour = td(minutes=5), td(hours=1)
+    play = replay(spark, folder, "view")
+    got = runner.collect_appended(play, aggregates.uv_sliding_approx(
+        page_views(play.events), "5 minutes", "1 hour", "5 minutes", LATE), "t-sketch")
+    batch = uniques.uv_sliding_approx(uniques.uv_sketches(page_views(ev), five), five, hour, five)
+    assert rows(got) == rows(batch)  # merged sketches do not depend on how the rows were cut into batches
+    assert all(r.close for r in uniques.sliding_close(got, page_views(ev), five, hour, five).collect())
+
+
+def test_report_of_closed_windows(spark, source):
+    folder, ev = source
+    play = replay(spark, folder, "view")
+    counts = aggregates.hop_counts(page_views(play.events), "item_id", "1 hour", "5 minutes", LATE)
+    got = runner.collect_appended(play, counts, "t-report", aggregates.report_closed())
+    assert rows(got) == rows(topn.report(topn.top_n_hop(page_views(ev), "item_id", td(hours=1), td(minutes=5)), "item_id"))
+
+
 def test_hot_items(spark, source):
     folder, ev = source
     play = replay(spark, folder, "view")
