@@ -6,7 +6,8 @@ prefix before it, that is if merging the two together gives just these two. The
 is linear in the text, and no merge queue is kept.
 
 Pieces do not reach across a space that follows another character, so texts are encoded by words, and a word is
-encoded once while it is cached.
+encoded once while it is cached. Words go side by side, a position at a time; a text without spaces is gone through alone,
+character by character, and is not cached. Both are linear, so very long texts of either kind are encoded whole.
 """
 
 from __future__ import annotations
@@ -23,6 +24,10 @@ from eventide.llm.tables import batched, rows_of, texts_of
 
 SPACE = "▁"
 CACHED_WORDS, CACHED_PAIRS = 400_000, 2_000_000
+#: Words of more characters go alone and uncached: a cached word is at most about 2 KB with its ids.
+LONGEST_WORD = 64
+#: Characters of cached words, whatever their number.
+CACHED_CHARS = 6_000_000
 #: Characters gone through side by side at most (a longer word goes alone).
 CELLS = 2_000_000
 #: Text whose new words are learnt together.
@@ -149,6 +154,11 @@ class Automaton:
         keys = sorted((at * len(letters) + c, child) for at, row in enumerate(children) for c, child in row.items())
         self.keys, self.next = (np.array(x, np.int64) for x in zip(*keys))
 
+    def plain(self) -> tuple:
+        """The same automaton for one character at a time: letter numbers, steps by key, and the arrays as lists."""
+        return ({chr(c): i for i, c in enumerate(self.letters.tolist())}, dict(zip(self.keys.tolist(), self.next.tolist())),
+                *(x.tolist() for x in (self.fail, self.out, self.size, self.shorter)))
+
     def codes(self, chars: np.ndarray) -> np.ndarray:
         """Letter numbers of code points; -1 for those in no piece."""
         at = np.minimum(np.searchsorted(self.letters, chars), len(self.letters) - 1)
@@ -175,6 +185,9 @@ class PieceCoder:
         self.live = len(model.live)
         self.keys, self.good = np.zeros(0, np.int64), np.zeros(0, bool)
         self.words: dict[str, tuple] = {}
+        self.held = 0  # characters of the words
+        self.plain: tuple = ()
+        self.pairs: dict[int, bool] = {}
 
     def _spelled(self, token: int) -> str:
         return self.model.live[token] if token < self.live else chr(token - self.live)
@@ -225,6 +238,37 @@ class PieceCoder:
         self._remember(fresh)
         return self._backwards(last, sizes, order)
 
+    def tokens_alone(self, text: str) -> list[int]:
+        """Token numbers of one text, as `tokens` gives them, one character after the other."""
+        self.plain = self.plain or self.auto.plain()
+        letter, go, fail, out, size, shorter = self.plain
+        if len(self.pairs) > CACHED_PAIRS // 4:
+            self.pairs = {}
+        letters, live, pairs, state, last = len(letter), self.live, self.pairs, 0, [0]
+        for end, char in enumerate(text, 1):
+            code = letter.get(char)
+            if code is None:
+                state = 0
+            else:
+                while (to := go.get(state * letters + code)) is None and state:
+                    state = fail[state]
+                state = to or 0
+            token = out[state]
+            while token >= 0 and (start := end - size[token]):
+                key = last[start] * _PAIR + token
+                good = pairs.get(key)
+                if good is None:
+                    good = pairs[key] = self.model.compatible(self._spelled(last[start]), self._spelled(token))
+                if good:
+                    break
+                token = shorter[token]
+            last.append(token if token >= 0 else live + ord(char))
+        found, at = [], len(text)
+        while at:
+            found.append(last[at])
+            at -= size[last[at]] if last[at] < live else 1
+        return found[::-1]
+
     def _remember(self, fresh: dict[int, bool]) -> None:
         if fresh:
             if len(self.keys) + len(fresh) > CACHED_PAIRS:
@@ -271,22 +315,32 @@ class PieceCoder:
         """Chunk to (number of ids, ids, ids in decimal, decoded bytes), for chunks that no token leaves."""
         wanted = set(chunks)
         known, new = self.words, [c for c in wanted if c not in self.words]
-        if len(known) + len(new) > CACHED_WORDS:
-            new = list(wanted)
+        chars = sum(map(len, new))
+        if len(known) + len(new) > CACHED_WORDS or self.held + chars > CACHED_CHARS:
+            new, self.held = list(wanted), 0
             known = self.words = {}
+            chars = sum(map(len, new))
+        self.held += chars
         new.sort(key=len)
         at = 0
         while at < len(new):
             stop = at + 1
-            while stop < len(new) and (stop - at + 1) * len(new[stop]) <= CELLS:
+            if len(new[at]) > LONGEST_WORD:
+                known[new[at]] = self._coded(self.tokens_alone(new[at]))
+                at = stop
+                continue
+            while stop < len(new) and len(new[stop]) <= LONGEST_WORD and (stop - at + 1) * len(new[stop]) <= CELLS:
                 stop += 1
             part = new[at:stop]
             for chunk, tokens in zip(part, self.tokens(part)):
-                ids = self._ids(tokens)
-                known[chunk] = (len(ids), ids, ",".join(map(str, ids)).encode(), self._bytes(ids))
+                known[chunk] = self._coded(tokens)
             at = stop
         return known
 
+    def _coded(self, tokens: list[int]) -> tuple:
+        ids = self._ids(tokens)
+        return len(ids), ids, ",".join(map(str, ids)).encode(), self._bytes(ids)
+
     def chunks(self, text: str) -> list[str]:
         """The text after its leading space is added, cut where a word begins."""
         if not text:
@@ -300,7 +354,12 @@ class PieceCoder:
     def coded(self, texts: list[str]) -> list[list[tuple]]:
         split = [self.chunks(t) for t in texts]
         word = self.learn(c for cs in split for c in cs).__getitem__
-        return [[word(c) for c in cs] for cs in split]
+        out = [[word(c) for c in cs] for cs in split]
+        long = {c for cs in split for c in cs if len(c) > LONGEST_WORD}
+        for c in long:
+            del self.words[c]
+        self.held -= sum(map(len, long))
+        return out
 
     def encode(self, text: str) -> list[int]:
         return [i for w in self.coded([text])[0] for i in w[1]]

@@ -50,6 +50,20 @@ def test_long_words_and_small_caches(library, monkeypatch):
         assert coder.encode(text) == library.encode(text)
 
 
+def test_long_texts_without_spaces(library):
+    """Against the library, in linear time, and nothing of them stays behind."""
+    rng = random.Random(4)
+    letters = "日本語文字漢学校生天気電車" + "abcdeinorst" + "é😀\x00.1"
+    coder = pieces.PieceCoder(pieces.PieceModel(PATH))
+    for size in (63, 64, 65, 66, 500, 3000):
+        text = "".join(rng.choice(letters) for _ in range(size))
+        assert coder.encode(text) == library.encode(text)
+        assert coder.tokens_alone(text) == coder.tokens([text])[0]
+    whole = "".join(rng.choice(letters) for _ in range(300_000))
+    assert coder.encode(whole + " a " + whole) == library.encode(whole + " a " + whole)
+    assert coder.held == sum(map(len, coder.words)) and all(len(w) <= pieces.LONGEST_WORD for w in coder.words)
+
+
 def test_tables(spark, library):
     texts = ["Hello, World", None, "", "Hello, World", "日本 x"]
     df = clashing(documents(spark, texts, [3, 1, None, 3, 5]))
