@@ -83,13 +83,18 @@ class SortedProjections:
         return self.ids[rows[best]], scores[best]
 
 
+def _scaled(vector: np.ndarray) -> np.ndarray:
+    """The vector times a power of two: no digit of a cosine changes, and no square overflows or vanishes."""
+    return np.ldexp(vector, -np.frexp(np.abs(vector).max())[1])
+
+
 def _usable(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
     for key, vector in zip(batch.column("vec_id").to_pylist(), batch.column("embedding").to_pylist()):
         if key is None or not vector or any(x is None for x in vector):
             continue
         values = np.array(vector, np.float64)
         if np.isfinite(values).all() and values.any():
-            yield key, values
+            yield key, _scaled(values)
 
 
 def _directions(size: int) -> np.ndarray:
@@ -117,7 +122,7 @@ def _query_blocks(queries: DataFrame, most: int) -> Iterator[dict[int, tuple[np.
     ready = lambda: {d: (np.array(list(q)), np.array(list(q.values()))) for d, q in block.items()}
     for row in queries.toLocalIterator():
         vector = np.array(row.embedding, np.float64)
-        block.setdefault(len(vector), {})[row.vec_id] = vector
+        block.setdefault(len(vector), {})[row.vec_id] = _scaled(vector)
         count += 1
         if count >= most:
             yield ready()

@@ -49,3 +49,13 @@ def test_unusable_few_and_empty(spark):
     none = df.limit(0)
     assert nearest.search(none, none).collect() == [] and nearest.search(none, df).collect() == []
     assert nearest.search(df, none).collect() == []
+
+
+def test_huge_and_tiny_components(spark):
+    """Scores are those of the same directions at an ordinary length, to the last digit."""
+    plain = [[3.0, 4.0], [1.0, 2.0], [-1.0, 0.5], [2.0, 2.0]]
+    df = spark.createDataFrame([(i, v, 0) for i, v in enumerate(plain)], SCHEMA)
+    sizes = [2.0 ** 1020, 2.0 ** -1060, 1.0, 2.0 ** 700]
+    odd = spark.createDataFrame([(i, [x * m for x in v], 0) for i, (v, m) in enumerate(zip(plain, sizes))], SCHEMA)
+    want = nearest.search(df, df).orderBy("query_id", "rank").collect()
+    assert nearest.search(odd, odd).orderBy("query_id", "rank").collect() == want and len(want) == 12
