@@ -16,6 +16,7 @@ from collections.abc import Iterable
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -87,19 +88,29 @@ def chained(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a[:, :, None] + b[None, :, :]).min(axis=1)
 
 
-def repair(roles: list[int], rules: Automaton, entry: int = 0, end: int | None = None) -> list[tuple[int, int]]:
-    """(state before, state after) of each turn on a least-cost path from `entry` to `end` (None: any fit to finish).
+#: Costs of the states before a conversation's first turn.
+START = [0.0, INF, INF, INF]
 
-    Of equal costs the state that comes first stays.
-    """
+
+def _backs(roles: list[int], rules: Automaton, ahead: list[float]) -> tuple[np.ndarray, np.ndarray]:
+    """The state before each turn for every state after it, and the costs of the states after the last turn."""
     steps = [rules.step(r) for r in range(4)]
-    cost = np.full(4, INF)
-    cost[entry] = 0.0
-    back = np.zeros((len(roles), 4), np.int8)
+    cost, back = np.array(ahead, float), np.zeros((len(roles), 4), np.int8)
     for i, role in enumerate(roles):
         all_ = cost[:, None] + steps[role]
         back[i] = all_.argmin(axis=0)
         cost = all_.min(axis=0)
+    return back, cost
+
+
+def repair(roles: list[int], rules: Automaton, ahead: list[float] | None = None,
+           end: int | None = None) -> list[tuple[int, int]]:
+    """(state before, state after) of each turn on a least-cost path, given the costs of the states before the turns, to
+    `end` (None: any fit to finish).
+
+    Of equal costs the state that comes first stays, so a sequence cut anywhere has the path of the whole one.
+    """
+    back, cost = _backs(roles, rules, ahead or START)
     at = int((cost + rules.finish).argmin()) if end is None else end
     out = []
     for i in range(len(roles) - 1, -1, -1):
@@ -109,18 +120,30 @@ def repair(roles: list[int], rules: Automaton, entry: int = 0, end: int | None =
     return out[::-1]
 
 
-def _sorted_parts(turns: DataFrame, conv_col: str, turn_col: str, role_col: str, text_col: str) -> DataFrame:
-    """Turns in order of (conv_id, turn), with the part they lie in and their place there."""
+#: Text in a part, which one task holds at a time; a longer turn is a part of its own, with what still fits before it.
+PART_BYTES = 8 << 20
+_TURN_BYTES = 64
+
+
+def _sorted_parts(turns: DataFrame, conv_col: str, turn_col: str, role_col: str, text_col: str, part_bytes: int) -> DataFrame:
+    """Turns in order of (conv_id, turn), with the part they lie in and their place in its range.
+
+    A part is a stretch of about `part_bytes` of one range, however large the ranges are; parts are numbered in order.
+    """
     named = turns.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"),
                          F.col(role_col).cast("string").alias("role"), F.col(text_col).cast("string").alias("text"))
     order = ["conv_id", "turn", "role", "tie", "row"]
     ranged = named.withColumn("tie", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
 
     def number(batches: Iterable[pa.RecordBatch]):
-        part, at = TaskContext.get().partitionId(), 0
+        first, at, held = TaskContext.get().partitionId() << 32, 0, 0
         for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = held + np.cumsum(sizes + _TURN_BYTES)
+            part = first + (ends - 1) // part_bytes
+            held = int(ends[-1]) if len(ends) else held
             yield pa.RecordBatch.from_arrays(
-                [pa.array([part] * batch.num_rows, pa.int64()), pa.array(range(at, at + batch.num_rows), pa.int64()),
+                [pa.array(part), pa.array(range(at, at + batch.num_rows), pa.int64()),
                  *(batch.column(c) for c in ("conv_id", "turn", "role", "text"))],
                 names=["part", "place", "conv_id", "turn", "role", "text"])
             at += batch.num_rows
@@ -141,17 +164,18 @@ def _ids(column: pd.Series) -> list:
 
 def format_turns(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
                  text_col: str = "text", rules: Automaton | None = None,
-                 template: str = "<|{role}|>\n{text}<|end|>\n") -> DataFrame:
+                 template: str = "<|{role}|>\n{text}<|end|>\n", part_bytes: int = PART_BYTES) -> DataFrame:
     """Per turn: conv_id, turn, seq, role, new_role, action, cost, piece.
 
     `piece` is what the turn adds to the rendered conversation: inserted empty turns before it, its own header and
     text (joined by a newline to the turn before, if merged), and its end mark unless the next turn is merged into it.
     The pieces of a conversation in order of `seq` are the whole rendering. Turns go by number; equal numbers by role
     and text; a null number comes first. A null text is empty; a null or unknown role can take any, at the price of a
-    relabel. Rows with a null conv_id make up one conversation.
+    relabel. Rows with a null conv_id make up one conversation. A very long conversation is rendered in parts of about
+    `part_bytes` of text; a very long turn makes one part.
     """
     rules = rules or Automaton()
-    parts = _sorted_parts(turns, conv_col, turn_col, role_col, text_col)
+    parts = _sorted_parts(turns, conv_col, turn_col, role_col, text_col, part_bytes)
     head, tail = template.split("{text}")
 
     def edges(rows: pd.DataFrame) -> pd.DataFrame:
@@ -166,31 +190,50 @@ def format_turns(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
             out.append((int(rows.part.iloc[0]), ids[start], stop - start, whole.ravel().tolist()))
         return pd.DataFrame(out, columns=["part", "conv_id", "size", "costs"]).astype({"conv_id": "Int64"})
 
-    def states(rows: pd.DataFrame) -> pd.DataFrame:
-        """State on entering and leaving each part of a conversation."""
+    def entered(rows: pd.DataFrame) -> pd.DataFrame:
+        """Costs of the states before each part of a conversation."""
+        rows = rows.sort_values("part")
+        ahead = [np.array(START)]
+        for costs in rows.costs:
+            ahead.append((ahead[-1][:, None] + np.array(costs, float).reshape(4, 4)).min(axis=0))
+        return pd.DataFrame({"part": rows.part, "conv_id": rows.conv_id.astype("Int64"), "ahead": [a.tolist() for a in ahead[:-1]],
+                             "first_seq": np.cumsum([0, *rows["size"]])[:-1], "last": [False] * (len(rows) - 1) + [True]})
+
+    def traced(rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        """For every state after a part of a conversation, the state before it; and the state after the last turn."""
+        rows = rows.sort_values("place")
+        ids, roles = _ids(rows.conv_id), [role_number(r) for r in rows.role]
+        where, before, final = dict(zip(ids, [None] * len(ids))), [], []
+        for start, stop in _runs(ids):
+            where[ids[start]] = roles[start:stop]
+        for key, ahead in zip(_ids(known.conv_id), known.ahead):
+            back, cost = _backs(where[key], rules, ahead)
+            at = np.arange(4)
+            for step in back[::-1]:
+                at = step[at]
+            before.append(at.tolist())
+            final.append(int((cost + rules.finish).argmin()))
+        return known.assign(conv_id=known.conv_id.astype("Int64"), before=before, final=final)
+
+    def left(rows: pd.DataFrame) -> pd.DataFrame:
+        """The state after each part of a conversation, from the last part backwards."""
         rows = rows.sort_values("part")
-        matrices = [np.array(c, float).reshape(4, 4) for c in rows.costs]
-        ahead = [np.array([0.0, INF, INF, INF])]
-        for m in matrices:
-            ahead.append((ahead[-1][:, None] + m).min(axis=0))
-        leave = [int((ahead[-1] + rules.finish).argmin())]
-        for before, m in zip(ahead[-2::-1], matrices[::-1]):
-            leave.append(int((before + m[:, leave[-1]]).argmin()))
-        leave = leave[::-1]
-        sizes = np.cumsum([0, *rows["size"]])
-        return pd.DataFrame({"part": rows.part, "conv_id": rows.conv_id.astype("Int64"), "entry": leave[:-1],
-                             "leave": leave[1:], "first_seq": sizes[:-1],
-                             "last": [False] * (len(rows) - 1) + [True]})
+        leave, at = [], int(rows.final.iloc[-1])
+        for before in rows.before.iloc[::-1]:
+            leave.append(at)
+            at = int(before[at])
+        return rows.assign(conv_id=rows.conv_id.astype("Int64"), leave=leave[::-1])[
+            ["part", "conv_id", "ahead", "leave", "first_seq", "last"]]
 
     def render(rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("place")
         ids, texts = _ids(rows.conv_id), [t if isinstance(t, str) else "" for t in rows.text]
         roles = [role_number(r) for r in rows.role]
-        at_cut = dict(zip(_ids(known.conv_id), zip(known.entry, known.leave, known.first_seq, known["last"])))
+        at_cut = dict(zip(_ids(known.conv_id), zip(known.ahead, known.leave, known.first_seq, known["last"])))
         out: dict[str, list] = {c: [] for c in ("seq", "new_role", "action", "cost", "piece")}
         for start, stop in _runs(ids):
-            entry, leave, seq, last = at_cut.get(ids[start], (0, None, 0, True))
-            path = repair(roles[start:stop], rules, entry, leave)
+            ahead, leave, seq, last = at_cut.get(ids[start], (START, None, 0, True))
+            path = repair(roles[start:stop], rules, list(ahead), leave)
             for i, (p, q) in enumerate(path):
                 merged, own = (p, q) in rules.merged, roles[start + i] == q
                 gaps = [] if merged else rules.inserted[p, q]
@@ -208,9 +251,12 @@ def format_turns(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
         return pd.DataFrame({"conv_id": rows.conv_id.astype("Int64"), "turn": rows.turn.astype("Int64"),
                              "role": rows.role} | {c: v for c, v in out.items()})
 
-    cuts = parts.select("part", "place", "conv_id", "role").groupBy("part").applyInPandas(
-        edges, "part long, conv_id long, size long, costs array<double>")
-    joints = stored(cuts.groupBy("conv_id").applyInPandas(
-        states, "part long, conv_id long, entry int, leave int, first_seq long, last boolean"), "turn-states")
+    roles = parts.select("part", "place", "conv_id", "role")
+    cuts = roles.groupBy("part").applyInPandas(edges, "part long, conv_id long, size long, costs array<double>")
+    joint = "part long, conv_id long, ahead array<double>, first_seq long, last boolean"
+    ahead = cuts.groupBy("conv_id").applyInPandas(entered, joint)
+    ways = roles.groupBy("part").cogroup(ahead.groupBy("part")).applyInPandas(traced, f"{joint}, before array<int>, final int")
+    joints = stored(ways.groupBy("conv_id").applyInPandas(
+        left, "part long, conv_id long, ahead array<double>, leave int, first_seq long, last boolean"), "turn-states")
     return parts.groupBy("part").cogroup(joints.groupBy("part")).applyInPandas(
         render, "conv_id long, turn long, role string, seq long, new_role string, action string, cost double, piece string")

@@ -50,6 +50,19 @@ def test_least_cost_and_legal(spark, cut):
         assert [t for t in re.findall(r"[\d-]*\d|t\d+", text) if t] == [t for _, _, t in given[c]]
 
 
+def test_parts_of_any_size_give_the_same(spark):
+    rng = random.Random(9)
+    data = [(rng.choice([1, 2, 2, 2, None]), i, rng.choice(["user", "assistant", "system", None]), "é" * rng.randrange(300))
+            for i in range(300)] + [(2, 300, "user", "long " * 20_000), (3, 0, None, None)]
+    df = spark.createDataFrame(data, SCHEMA)
+    want = sorted(map(str, chat.format_turns(df).collect()))
+    for size in (1, 500, 20_000):
+        assert sorted(map(str, chat.format_turns(df, part_bytes=size).collect())) == want
+    ranged = chat._sorted_parts(df, "conv_id", "turn", "role", "text", 2000).toPandas()
+    ends = [rows.text.fillna("").str.encode("utf-8").str.len().sum() for _, rows in ranged.groupby("part")]
+    assert len(ends) > 30 and sorted(ends)[-2] <= 2000 + 600
+
+
 def test_repairs(spark):
     data = [(1, 0, "user", "a"), (1, 1, "user", "b"), (1, 2, "assistant", "c"), (2, 0, "assistant", "x"),
             (3, 0, "system", "s"), (None, None, None, None), (4, 0, "user", "same"), (4, 0, "user", "same")]
