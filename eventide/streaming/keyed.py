@@ -2,16 +2,22 @@
 
 A micro-batch has no order, and rows may arrive late. Each processor therefore holds a key's rows until
 the watermark has passed them and then applies its rule in (time, id) order, so the result does not
-depend on how the input was cut into batches. One timer per key is kept, at the next time something
-can happen.
+depend on how the input was cut into batches. One timer is kept, at the next time something can happen.
+
+`InOrder` does so for one key. The streams below run its rules with `InGroups`, which keeps the rows of many keys in
+common entries: a call to the state store costs far more than a row, and most keys have few rows.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from datetime import timedelta
+from functools import reduce
+from operator import itemgetter
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -392,10 +398,190 @@ class EqualWindows(InOrder):
         return self._changed(memory, out)
 
 
-def _run(rows: DataFrame, processor: InOrder, key_types: str, values: str, delay: str) -> DataFrame:
+#: Groups of keys. A group is served by one task at a time, and a micro-batch touches the state of those it has rows for.
+GROUPS = 256
+#: Rows sorted at once before they are stored, and rows of a stored stretch.
+RUN_ROWS, STRETCH_ROWS = 1 << 18, 1 << 12
+#: Stretches from which on a group's small ones are put together.
+MANY = 64
+#: Rows let out at once.
+OUT_ROWS = 1 << 16
+#: An id that is null, as a number.
+NO_ID = -(1 << 63)
+
+
+class InGroups(StatefulProcessor):
+    """Runs a rule of `InOrder` for the keys of a group: rows (t, event_id, what, keys) wait in stretches of consecutive
+    times, one map entry each, and are stepped through in order, a stretch at a time.
+
+    A timer reads the stretches that begin by then. Rows held in memory are those of a run (at input) or of the stretches
+    that overlap (at a timer), however many wait, and one memory for each key that is open.
+    """
+
+    def __init__(self, rule: InOrder):
+        self.rule = rule
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.pending = handle.getMapState("pending", "stretch bigint", "held binary")
+        self.index = handle.getValueState("index", "stretches array<bigint>, firsts array<bigint>, sizes array<bigint>")
+        self.memory = handle.getValueState("memory", "held binary")
+        self.alarm = handle.getValueState("alarm", "at bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        stretches = InOrder._index(self)
+        limited = self.rule.room(None) is not None
+        memories = self._memories() if limited else {}
+        run: list[tuple] = []
+        for pdf in rows:
+            keys = zip(*(_plain(pdf[k]) for k in self.rule.keys))
+            run += zip(pdf["t"].tolist(), pdf["event_id"].tolist(), pdf["what"].tolist(), keys)
+            if len(run) >= RUN_ROWS:
+                self._hold(stretches, run, memories if limited else None)
+                run = []
+        if len(stretches) >= MANY:
+            for small in [n for n, (_, size) in stretches.items() if 2 * size <= STRETCH_ROWS]:
+                run += self._taken(stretches, small)
+        self._hold(stretches, run, memories if limited else None)
+        InOrder._keep_index(self, stretches)
+        if stretches:
+            InOrder._wake(self, min(first for first, _ in stretches.values()))
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.alarm.clear()
+        upto = timerValues.getCurrentWatermarkInMs() * 1000
+        memories, stretches = self._memories(), InOrder._index(self)
+        step, out, since = self.rule.step, [], 0
+        waiting: list[tuple] = []
+        due = sorted((first, n) for n, (first, _) in stretches.items() if first <= upto)
+        for (_, n), (after, _) in zip(due, [*due[1:], (upto + 1, None)]):
+            waiting += self._taken(stretches, n)
+            waiting.sort()
+            done = bisect_right(waiting, after - 1, key=itemgetter(0))  # the later stretches have no row before these
+            for t, event_id, what, own in waiting[:done]:
+                found: list = []
+                memory = step(memories.get(own), t, event_id, what, found)
+                if memory is None:
+                    memories.pop(own, None)
+                else:
+                    memories[own] = memory
+                out += [(own, row) for row in found]
+            del waiting[:done]
+            since += done
+            if since >= OUT_ROWS:
+                self._settle(memories, after - 1, out)
+                since = 0
+            if len(out) >= OUT_ROWS:
+                yield self._table(out)
+                out = []
+        self._hold(stretches, waiting)
+        next_due = self._settle(memories, upto, out)
+        InOrder._keep_index(self, stretches)
+        self._remember(memories)
+        times = [first for first, _ in stretches.values()] + ([] if next_due is None else [next_due])
+        if times:
+            InOrder._wake(self, min(times))
+        for at in range(0, len(out), OUT_ROWS):
+            yield self._table(out[at:at + OUT_ROWS])
+
+    def close(self) -> None:
+        pass
+
+    def _settle(self, memories: dict, upto: int, out: list) -> int | None:
+        """Settles what is due, all rows up to then being stepped through; the next time that something is."""
+        soonest = None
+        for own, memory in list(memories.items()):
+            due = self.rule.due(memory)
+            while due is not None and due <= upto:
+                found: list = []
+                memory = self.rule.settle(memory, found)
+                out += [(own, row) for row in found]
+                due = self.rule.due(memory)
+            if memory is None:
+                del memories[own]
+            else:
+                memories[own] = memory
+            if due is not None and (soonest is None or due < soonest):
+                soonest = due
+        return soonest
+
+    def _hold(self, stretches: dict, run: list[tuple], memories: dict | None = None) -> None:
+        """Stores rows in stretches; with the keys' memories only as many rows of a key as can still matter."""
+        run.sort()
+        if memories is not None:
+            rooms: dict = {}
+            kept = []
+            for row in run:
+                room = rooms[row[3]] if row[3] in rooms else self.rule.room(memories.get(row[3]))
+                rooms[row[3]] = room - 1
+                if room > 0:
+                    kept.append(row)
+            run = kept
+        free = max(stretches, default=-1) + 1
+        for n, at in enumerate(range(0, len(run), STRETCH_ROWS), free):
+            part = run[at:at + STRETCH_ROWS]
+            t, event_id, what, keys = zip(*part)
+            self.pending.updateValue((n,), (_packed([t, event_id, what, *zip(*keys)]),))
+            stretches[n] = (part[0][0], len(part))
+
+    def _taken(self, stretches: dict, n: int) -> list[tuple]:
+        t, event_id, what, *keys = _unpacked(self.pending.getValue((n,))[0])
+        self.pending.removeKey((n,))
+        del stretches[n]
+        return list(zip(t, event_id, what, zip(*keys)))
+
+    def _memories(self) -> dict[tuple, tuple]:
+        if not self.memory.exists():
+            return {}
+        columns, n = _unpacked(self.memory.get()[0]), len(self.rule.keys)
+        return dict(zip(zip(*columns[:n]), zip(*columns[n:])))
+
+    def _remember(self, memories: dict[tuple, tuple]) -> None:
+        if memories:
+            self.memory.update((_packed([*zip(*memories), *zip(*memories.values())]),))
+        elif self.memory.exists():
+            self.memory.clear()
+
+    def _table(self, out: list[tuple]) -> pd.DataFrame:
+        table = pd.DataFrame(dict(zip(self.rule.keys, (pd.Series(c, dtype=object) for c in zip(*(own for own, _ in out))))))
+        longs = self.rule._longs()
+        for name, column in zip(self.rule.columns, zip(*(row for _, row in out))):
+            table[name] = pd.array([None if x == NO_ID else x for x in column], dtype="Int64") if name in longs else list(column)
+        return self.rule.shown(table)
+
+
+def _plain(column: pd.Series) -> list:
+    """A key column's values. A group's keys agree in what is null, so a column with a null holds nothing else."""
+    return [None] * len(column) if column.isna().any() else column.tolist()
+
+
+def _packed(columns: list) -> bytes:
+    sink = pa.BufferOutputStream()
+    table = pa.table([pa.array(list(c)) for c in columns], [str(i) for i in range(len(columns))])
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(held: bytes) -> list[list]:
+    return [c.to_pylist() for c in pa.ipc.open_stream(bytes(held)).read_all().columns]
+
+
+def _in_groups(rows: DataFrame, rule: InOrder, schema: str, **options) -> DataFrame:
+    """The rule's rows of the columns (its keys, t, event_id, what), which carry a watermark on `ts`. Keys with distinct
+    nulls are of distinct groups. A row without a time has no place in an order, and belongs to none."""
+    nulls = reduce(lambda a, b: a * 2 + b, (F.col(k).isNull().cast("long") for k in rule.keys))
+    group = F.pmod(F.xxhash64(*rule.keys), F.lit(GROUPS)) + nulls * GROUPS
+    ready = (rows.filter(F.col("t").isNotNull()).withColumn("event_id", F.coalesce("event_id", F.lit(NO_ID)))
+             .withColumn("what", F.coalesce("what", F.lit(""))).withColumn("key_group", group))
+    return ready.groupBy("key_group").transformWithStateInPandas(
+        InGroups(rule), schema, outputMode="Append", timeMode="EventTime", **options)
+
+
+def _run(rows: DataFrame, rule: InOrder, key_types: str, values: str, delay: str) -> DataFrame:
     ready = rows.withWatermark("ts", delay).withColumn("t", epoch_micros("ts"))
-    return ready.groupBy(*processor.keys).transformWithStateInPandas(
-        processor, f"{key_types}, {values}", outputMode="Append", timeMode="EventTime")
+    return _in_groups(ready, rule, f"{key_types}, {values}")
 
 
 def fail_episodes(logins: DataFrame, within: timedelta = timedelta(seconds=2),
@@ -465,9 +651,8 @@ def capped_clicks(clicks: DataFrame, cap: int = DEFAULT_CAP, zone: str = DAY_ZON
     rows = clicks.select("ts", "user_id", "ad_id", "event_id", day.alias("day"),
                          day_end.cast("string").alias("what"))
     ready = rows.withWatermark("ts", delay).withColumn("t", epoch_micros("ts"))
-    capped = ready.groupBy(*ClickCap.keys).transformWithStateInPandas(
-        ClickCap(cap), "user_id bigint, ad_id bigint, day date, event_id bigint, ts timestamp, status string",
-        outputMode="Append", timeMode="EventTime", eventTimeColumnName="ts")
+    capped = _in_groups(ready, ClickCap(cap), "user_id bigint, ad_id bigint, day date, event_id bigint, ts timestamp, status string",
+                        eventTimeColumnName="ts")
     return capped.select("user_id", "ad_id", "day", "event_id", "ts", "status")
 
 
@@ -487,9 +672,8 @@ def hop_runs(events: DataFrame, keys: list[str], size: timedelta, slide: timedel
     moves = (panes.select(F.window_time("pane").alias("ts"), *keys, F.explode(changes).alias("c"))
              .select("ts", *keys, "c.t", "c.event_id", F.lit("").alias("what")))
     kinds = dict(moves.dtypes)
-    runs = moves.groupBy(*keys).transformWithStateInPandas(
-        EqualWindows(keys, micros(size)), ", ".join([f"{k} {kinds[k]}" for k in keys] + ["since bigint", "until bigint", "cnt bigint"]),
-        outputMode="Append", timeMode="EventTime")
+    runs = _in_groups(moves, EqualWindows(keys, micros(size)),
+                      ", ".join([f"{k} {kinds[k]}" for k in keys] + ["since bigint", "until bigint", "cnt bigint"]))
     return runs.select(*keys, F.timestamp_micros("since").alias("first_window_end"),
                        F.timestamp_micros(F.col("until") - step).alias("last_window_end"),
                        F.call_function("div", F.col("until") - F.col("since"), step).alias("windows"), "cnt")
