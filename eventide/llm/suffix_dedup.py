@@ -33,9 +33,9 @@ from eventide.llm import collection_bwt
 from eventide.llm.tables import stored, texts_of
 
 LENGTH, GRAM = 50, 20
-SHARD_BYTES, RANGE_KEYS = 8 << 20, 1_500_000
+SHARD_BYTES, RANGE_KEYS = 4 << 20, 1_500_000
 #: Bytes of text per range of keys in step 4, and segments in one collection.
-RANGE_BYTES, COLLECTION = 24 << 20, 8000
+RANGE_BYTES, COLLECTION = 12 << 20, 8000
 HOT_SHARDS = 1000
 BLOCK = 1 << 19
 KEY_BITS = 56
@@ -292,7 +292,7 @@ def _meet(table: pa.Table) -> pa.Table:
     for key, own in groups.items():
         if len(own) == 1:
             text, doc = next(iter(own.items()))
-            answers[key, text] = np.full(len(text) - LENGTH + 1, doc)
+            answers[key, text] = doc  # of all its windows
             continue
         held.extend((key, text, doc) for text, doc in own.items())
         if len(held) >= COLLECTION:
@@ -300,7 +300,8 @@ def _meet(table: pa.Table) -> pa.Table:
     solve()
     out = []
     for row, (keys, parts) in zip(rows, sent):
-        least = [answers[k, p] for k, p in zip(keys, parts)]
+        found = ((answers[k, p], len(p) - LENGTH + 1) for k, p in zip(keys, parts))
+        least = [np.full(n, least) if isinstance(least, int) else least for least, n in found]
         out.append((row["shard"], 1, row["range"], len(parts), _planes(np.concatenate(least).view(np.uint64)), b""))
     return _table(out, *_MARKS)
 
