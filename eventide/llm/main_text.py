@@ -10,8 +10,10 @@ container with most of the unique text. From there repeated blocks are taken off
 links everywhere. A repeated paragraph between unique ones is part of the text. Containers that say what they are (menus,
 headers, footers, sidebars, adverts, notices, forms, comments) go whether they repeat or not, as comments are unique too.
 
-A host of any size is cut into groups of pages by a hash, each with a stream of its own. Where a host has several groups,
-the blocks of its pages without an article or main element are then looked up among all its groups by a grouped count.
+A host of any size is cut into groups of pages by a hash, each with a stream of its own. The groups of a host tell each
+other which runs of LONG tokens they hold, as hashes by range, and learn which of them another group holds on a distinct
+page. So what is repeated does not depend on how a host is cut. Hosts whose pages all have an article without lists of
+links ask for no repeats and skip that.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +35,8 @@ DOUBLINGS = 3
 LONG = 1 << DOUBLINGS
 #: Bytes of HTML whose token stream is sorted together.
 GROUP_BYTES = 2 << 20
+#: Groups of a host for each range of hashes.
+RANGE_GROUPS = 16
 #: A block with this share of its tokens repeated is repeated; with this share of its text in links it is a list of links.
 REPEATED, LINKED = 0.5, 0.6
 #: Share of a page's unique text that its article's container holds.
@@ -41,9 +47,9 @@ SIDE = 0.25
 FAINT = 0.1
 
 
-def repeated_tokens(stream: np.ndarray, page: np.ndarray, doublings: int = DOUBLINGS) -> np.ndarray:
+def repeated_tokens(stream: np.ndarray, page: np.ndarray, doublings: int = DOUBLINGS, also: np.ndarray | None = None) -> np.ndarray:
     """Marks the tokens in a run of 2^doublings tokens that a distinct page has too. Token ids are 0 or more; a negative
-    one parts pages and is in no run.
+    one parts pages and is in no run. `also` marks starts of runs that pages elsewhere have.
 
     The suffixes are ranked by their first 1, 2, 4 .. tokens; suffixes of one rank agree so far.
     """
@@ -62,14 +68,54 @@ def repeated_tokens(stream: np.ndarray, page: np.ndarray, doublings: int = DOUBL
     first = np.flatnonzero(np.r_[True, sorted_rank[1:] != sorted_rank[:-1]])
     several = np.minimum.reduceat(at, first) != np.maximum.reduceat(at, first)
     starts = suffixes[np.repeat(several, np.diff(np.r_[first, n]))]
+    if also is not None:
+        starts = np.union1d(starts, np.flatnonzero(also))
     change = np.zeros(n + 1, np.int64)
     np.add.at(change, starts, 1)
     np.add.at(change, np.minimum(starts + (1 << doublings), n), -1)
     return np.cumsum(change[:-1]) > 0
 
 
-def repeated_shares(pages: list[Page]) -> list[list[float]]:
-    """For every block of every page the share of its tokens that are repeated. Pages with the same blocks are one page."""
+def _tokens(page: Page) -> Iterator[list[str]]:
+    """The tokens of each block."""
+    for block in page.blocks:
+        yield [f"<{page.nodes[block.node].tag}/{block.tag}>", *block.text.split(" ")]
+
+
+class Runs:
+    """The runs of LONG tokens of pages, by hashes that agree among groups: the distinct ones in order, of each a page
+    kind that has it and whether several do, and for each token the place of the run from there (-1: none). Pages with
+    the same blocks are one kind."""
+
+    def __init__(self, pages: list[Page]):
+        hashes: dict[str, int] = {}
+        stream: list[int] = []
+        kind: list[np.ndarray] = []
+        whole: list[np.ndarray] = []
+        for page in pages:
+            own = [hashes.setdefault(t, xxhash.xxh64_intdigest(t)) for tokens in _tokens(page) for t in tokens]
+            stream += [*own, 0]
+            n = len(own) + 1
+            kind.append(np.full(n, xxhash.xxh64_intdigest(np.array(own, np.uint64).tobytes()), np.uint64))
+            whole.append(np.arange(n) < n - LONG)
+        values, kinds = np.array(stream, np.uint64), np.concatenate([*kind, np.zeros(0, np.uint64)])
+        starts = np.flatnonzero(np.concatenate([*whole, np.zeros(0, bool)]))
+        run = np.zeros(len(starts), np.uint64)
+        for i in range(LONG):
+            run = (run ^ values[starts + i]) * np.uint64(0x9E3779B97F4A7C15)
+            run ^= run >> np.uint64(29)
+        self.keys, place = np.unique(run, return_inverse=True)
+        self.kind, high = np.full(len(self.keys), np.iinfo(np.uint64).max), np.zeros(len(self.keys), np.uint64)
+        np.minimum.at(self.kind, place, kinds[starts])
+        np.maximum.at(high, place, kinds[starts])
+        self.several = self.kind != high
+        self.place = np.full(len(values), -1, np.int64)
+        self.place[starts] = place
+
+
+def repeated_shares(pages: list[Page], elsewhere: np.ndarray | None = None) -> list[list[float]]:
+    """For every block of every page the share of its tokens that are repeated. Pages with the same blocks are one page.
+    `elsewhere` flags the runs (in the order of `Runs`) that distinct pages of other groups have."""
     words: dict[str, int] = {}
     kinds: dict[int, int] = {}
     stream: list[int] = []
@@ -77,15 +123,18 @@ def repeated_shares(pages: list[Page]) -> list[list[float]]:
     sizes: list[int] = []
     for page in pages:
         own = []
-        for block in page.blocks:
-            tokens = [f"<{page.nodes[block.node].tag}/{block.tag}>", *block.text.split(" ")]
+        for tokens in _tokens(page):
             own += [words.setdefault(token, len(words)) for token in tokens]
             sizes.append(len(tokens))
         kind = kinds.setdefault(hash(tuple(own)), len(kinds))
         stream += own
         stream.append(-1)
         page_of += [kind] * (len(own) + 1)
-    marked = np.r_[0, np.cumsum(repeated_tokens(np.array(stream, np.int64), np.array(page_of, np.int64)))]
+    also = None
+    if elsewhere is not None:
+        place = Runs(pages).place
+        also = np.append(elsewhere, False)[place]
+    marked = np.r_[0, np.cumsum(repeated_tokens(np.array(stream, np.int64), np.array(page_of, np.int64), also=also))]
     out, at, i = [], 0, 0
     for page in pages:
         shares = []
@@ -100,13 +149,7 @@ def repeated_shares(pages: list[Page]) -> list[list[float]]:
 
 def main_blocks(page: Page, shares: list[float]) -> list[int]:
     """The blocks of the article."""
-    nodes = page.nodes
-    gone, inside = _gone(page), [False] * len(nodes)
-    left = [i for i, b in enumerate(page.blocks) if not gone[b.node]]
-    named = _named(page, gone, left)
-    for k, node in enumerate(nodes):
-        inside[k] = k in named or (k > 0 and inside[node.parent])
-    here = [i for i in left if inside[page.blocks[i].node]]
+    left, here = _places(page)
     if here:
         heads = [i for i in left if page.blocks[i].tag == "h1" and i < here[0]]
         if any(page.blocks[i].tag == "h1" for i in here):
@@ -115,6 +158,23 @@ def main_blocks(page: Page, shares: list[float]) -> list[int]:
     return _by_repeats(page, shares, left)
 
 
+def _places(page: Page) -> tuple[list[int], list[int]]:
+    """The blocks outside containers that go, and of those the ones in an article or main element."""
+    nodes = page.nodes
+    gone, inside = _gone(page), [False] * len(nodes)
+    left = [i for i, b in enumerate(page.blocks) if not gone[b.node]]
+    named = _named(page, gone, left)
+    for k, node in enumerate(nodes):
+        inside[k] = k in named or (k > 0 and inside[node.parent])
+    return left, [i for i in left if inside[page.blocks[i].node]]
+
+
+def asks(page: Page) -> bool:
+    """Whether it matters to the article what is repeated."""
+    left, here = _places(page)
+    return any(page.blocks[i].linked >= LINKED for i in here) if here else bool(left)
+
+
 def _gone(page: Page) -> list[bool]:
     """Containers that are not the article's: by element, or by what their attributes say. One that holds most of the
     page's text and all its headings and articles is not what it says, but was never closed, or wraps the page."""
@@ -188,35 +248,83 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
 
 
-_PAGE = "host string, page_id long, url string, row long, plain boolean, blocks array<string>"
+_PAGE = "page_id long, url string, blocks array<string>"
+_HELD = "host string, part long, range long, n long, keys binary, kind binary, kinds binary, several binary"
+_SHARED = "host string, part long, range long, n long, shared binary"
+
+
+def _parsed(group: pa.Table) -> list[Page]:
+    return [parse(html or "") for html in group["html"].to_pylist()]
+
+
+def _asking(pages: DataFrame) -> DataFrame:
+    """The hosts with a page that asks for repeats."""
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hosts = {h for h, html in zip(batch["host"].to_pylist(), batch["html"]) if asks(parse(html.as_py() or ""))}
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(hosts), pa.string())], ["host"])
+
+    return pages.select("host", "html").mapInArrow(ask, "host string").distinct()
+
+
+def _held(group: pa.Table) -> pa.Table:
+    """The distinct runs of a group, by range of their hashes."""
+    host, part, parts = (group[c][0].as_py() for c in ("host", "part", "parts"))
+    runs, ranges, rows = Runs(_parsed(group)), 1 + parts // RANGE_GROUPS, []
+    of = (runs.keys >> np.uint64(40)) * np.uint64(ranges) >> np.uint64(24)
+    for r in np.unique(of).tolist():
+        a, b = np.searchsorted(of, [r, r + 1]).tolist()
+        kinds, kind = np.unique(runs.kind[a:b], return_inverse=True)
+        rows.append((host, part, r, b - a, _small(runs.keys[a:b]), _small(kind.astype(np.uint64)), kinds.tobytes(),
+                     np.packbits(runs.several[a:b]).tobytes()))
+    return _rows(rows, _HELD)
+
+
+def _shared(group: pa.Table) -> pa.Table:
+    """For each group of a host, which of its runs in a range are on several kinds of pages."""
+    rows = group.to_pylist()
+    kind = np.concatenate([np.frombuffer(r["kinds"], np.uint64)[_large(r["kind"])] for r in rows])
+    several = np.concatenate([np.unpackbits(np.frombuffer(r["several"], np.uint8), count=r["n"]) for r in rows]).astype(bool)
+    keys, place = np.unique(np.concatenate([_large(r["keys"]) for r in rows]), return_inverse=True)
+    low, high = np.full(len(keys), np.iinfo(np.uint64).max), np.zeros(len(keys), np.uint64)
+    np.minimum.at(low, place, kind)
+    np.maximum.at(high, place, kind)
+    found = low != high
+    found[place[several]] = True
+    flags, ends = found[place], np.cumsum([r["n"] for r in rows]).tolist()
+    return _rows([(r["host"], r["part"], r["range"], r["n"], np.packbits(flags[e - r["n"]:e]).tobytes())
+                  for r, e in zip(rows, ends)], _SHARED)
+
+
+def _small(values: np.ndarray) -> bytes:
+    """Numbers by byte significance, which compresses sorted and small ones well."""
+    return zstandard.compress(np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def _large(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(raw.T).view("<u8").ravel()
+
 
+_ARROW = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
 
-def _extracted(pages: DataFrame) -> DataFrame:
-    """The article's blocks of every page, group by group."""
-    def extract(group: pa.Table) -> pa.Table:
-        parsed = [parse(html or "") for html in group["html"].to_pylist()]
-        kept = [main_blocks(page, shares) for page, shares in zip(parsed, repeated_shares(parsed))]
-        texts = [[page.blocks[i].text for i in found] for page, found in zip(parsed, kept)]
-        return group.select(["host", "page_id", "url", "row", "plain"]).append_column("blocks", pa.array(texts, pa.list_(pa.string())))
 
-    return pages.groupBy("host", "part").applyInArrow(extract, _PAGE)
+def _rows(rows: list[tuple], schema: str) -> pa.Table:
+    fields = [field.split(" ") for field in schema.split(", ")]
+    columns = zip(*rows) if rows else [()] * len(fields)
+    return pa.table([pa.array(list(c), _ARROW[kind]) for c, (_, kind) in zip(columns, fields)], [name for name, _ in fields])
 
 
-def _trimmed(found: DataFrame) -> DataFrame:
-    """Takes blocks off both ends of plain pages that other pages of the host have too, whichever group they are in."""
-    found = stored(found, "page-blocks")
-    plain = found.where("plain")
-    keyed = plain.select("host", "row", F.explode("blocks").alias("text")).select("host", "row", F.xxhash64("text").alias("key"))
-    shared = (keyed.groupBy("host", "key").agg(F.min("row").alias("low"), F.max("row").alias("high"))
-              .where("low < high").select("host", "key"))
-    marks = keyed.join(shared, ["host", "key"]).groupBy("row").agg(F.collect_set("key").alias("keys"))
-    own = F.transform("blocks", lambda b: ~F.array_contains("keys", F.xxhash64(b)))
-    first = F.array_position("own", True)
-    last = F.size("blocks") - F.array_position(F.reverse("own"), True) + 1
-    cut = F.filter("blocks", lambda b, i: (i + 1 >= first) & (i + 1 <= last))
-    marked = plain.join(marks, "row", "left").withColumn("own", F.when(F.col("keys").isNotNull(), own))
-    trimmed = marked.withColumn("blocks", F.when(F.col("own").isNotNull() & F.array_contains("own", True), cut).otherwise(F.col("blocks")))
-    return found.where("not plain").unionByName(trimmed.select(found.columns))
+def _extract(pages: pa.Table, marks: pa.Table) -> pa.Table:
+    """The article's blocks of every page of a group."""
+    parsed = _parsed(pages)
+    elsewhere = None
+    if marks.num_rows:
+        elsewhere = np.concatenate([np.unpackbits(np.frombuffer(m["shared"], np.uint8), count=m["n"])
+                                    for m in sorted(marks.to_pylist(), key=lambda m: m["range"])]).astype(bool)
+    kept = [main_blocks(page, shares) for page, shares in zip(parsed, repeated_shares(parsed, elsewhere))]
+    texts = [[page.blocks[i].text for i in found] for page, found in zip(parsed, kept)]
+    return pages.select(["page_id", "url"]).append_column("blocks", pa.array(texts, pa.list_(pa.string())))
 
 
 def main_text(pages: DataFrame, group_bytes: int = GROUP_BYTES) -> DataFrame:
@@ -229,13 +337,15 @@ def main_text(pages: DataFrame, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"), host_of(F.col("url")).alias("host"))
-    rows = rows.withColumn("plain", ~F.coalesce(F.col("html").rlike(r"(?i)<(article|main)[\s>/]"), F.lit(False)))
     bytes_of = F.sum(F.coalesce(F.octet_length("html"), F.lit(0)).cast("long"))
-    hosts = rows.groupBy("host").agg(bytes_of.alias("bytes"), F.max("plain").alias("any_plain"))
-    hosts = stored(hosts.select("host", "any_plain", F.greatest(F.lit(1), F.ceil(F.col("bytes") / group_bytes)).alias("parts")), "hosts")
-    row = F.xxhash64("page_id", "url", "html")
-    dealt = rows.join(hosts, "host").withColumn("row", row).withColumn("part", F.pmod("row", "parts"))
-    again = (F.col("parts") > 1) & F.col("any_plain")
-    found = _extracted(dealt.where(~again)).unionByName(_trimmed(_extracted(dealt.where(again))))
+    hosts = rows.groupBy("host").agg(bytes_of.alias("bytes"))
+    hosts = stored(hosts.select("host", F.greatest(F.lit(1), F.ceil(F.col("bytes") / group_bytes)).cast("long").alias("parts")), "hosts")
+    dealt = rows.join(hosts, "host").withColumn("part", F.pmod(F.xxhash64("page_id", "url", "html"), "parts").cast("long"))
+    cut = dealt.where(F.col("parts") > 1)
+    asking = stored(_asking(cut), "asking-hosts")
+    held = cut.join(asking, "host", "left_semi").groupBy("host", "part").applyInArrow(_held, _HELD)
+    shared = stored(held.groupBy("host", "range").applyInArrow(_shared, _SHARED), "shared-runs")
+    found = (dealt.select("host", "part", "page_id", "url", "html").groupBy("host", "part")
+             .cogroup(shared.groupBy("host", "part")).applyInArrow(_extract, _PAGE))
     text = F.array_join("blocks", "\n\n")
     return found.select("page_id", "url", text.alias("text"), F.char_length(text).cast("long").alias("n_chars"))

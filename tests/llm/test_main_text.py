@@ -114,3 +114,30 @@ def test_any_markup_takes_linear_time(piece):
 def test_very_long_page(spark):
     text = sentence(random.Random(8), 300_000)
     assert texts(spark, [(1, "h", f"<article><p>{text}</p></article>"), (2, "h", "<p>x</p>")], group_bytes=1000) == {1: text, 2: "x"}
+
+
+def test_repeats_do_not_depend_on_how_a_host_is_cut(spark):
+    rng = random.Random(9)
+    menu = "".join(f"<li><a href=x>{sentence(rng, 5)}</a></li>" for _ in range(6))
+    notice = sentence(rng, 30)
+    rows = []
+    for i in range(40):
+        # the notice is no block of its own, and the menu's blocks differ by a word
+        own = sentence(rng, 40)
+        rows.append((i, f"http://h.x/{i}", f"<html><body><div><p>{notice} {own.split()[0]}</p></div><ul>{menu}</ul>"
+                     f"<div><p>{own}</p><p>{sentence(rng, 30)}</p></div></body></html>"))
+        rows.append((100 + i, f"http://h.x/{100 + i}", f"<article><p>{own}</p><p><a href=y>{notice}</a></p></article>"))
+    whole = texts(spark, rows)
+    assert all(notice not in whole[100 + i] for i in range(40))
+    assert texts(spark, rows, group_bytes=4000) == whole
+    assert texts(spark, rows, group_bytes=1) == whole
+
+
+def test_runs_of_two_groups_meet():
+    pages = [parse(f"<p>{t}</p>") for t in ("a b c d e f g h i", "x b c d e f g h i", "x b c d e f g h i", "1 2 3")]
+    assert main_text.repeated_shares(pages[:1])[0] == [0.0]
+    left, right = main_text.Runs(pages[:1]), main_text.Runs(pages[1:])
+    both = set(left.keys.tolist()) & set(right.keys.tolist())
+    assert len(both) == 1 and not right.several.any() and right.place[-4:].tolist() == [-1] * 4
+    shares = main_text.repeated_shares(pages[:1], np.isin(left.keys, right.keys))
+    assert shares == main_text.repeated_shares(pages)[:1] == [[0.8]]
