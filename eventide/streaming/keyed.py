@@ -69,6 +69,12 @@ class InOrder(StatefulProcessor):
         """Called when the watermark has reached `due`, again and again until it has not."""
         raise NotImplementedError
 
+    def settled(self, memory, upto: int, out: list):
+        """The memory when all that is due by `upto` has been settled."""
+        while (due := self.due(memory)) is not None and due <= upto:
+            memory = self.settle(memory, out)
+        return memory
+
     def room(self, memory) -> int | None:
         return None
 
@@ -104,10 +110,8 @@ class InOrder(StatefulProcessor):
                 done += 1
                 memory = self.step(memory, t, event_id, what, out)
             self._put(slices, part, waiting[done:])
+        memory = self.settled(memory, upto, out)
         due = self.due(memory)
-        while due is not None and due <= upto:
-            memory = self.settle(memory, out)
-            due = self.due(memory)
         room = self.room(memory)
         if room is not None:
             self._trim(slices, room)
@@ -239,7 +243,8 @@ class FailRuns(InOrder):
 
 
 class FirstPay(InOrder):
-    """The first pay after each create, if less than `limit` after it; memory holds the creates still open."""
+    """The first pay after each create, if less than `limit` after it; memory holds the creates still open, in order of
+    time. It is changed in place, and looked through at a pay or a timer only: an order may have many creates open."""
 
     memory_schema = "ids array<bigint>, times array<bigint>"
     keys = ["order_id"]
@@ -250,10 +255,12 @@ class FirstPay(InOrder):
         self.slice_width = max(1, limit // _SLICES)
 
     def step(self, memory, t, event_id, what, out):
-        memory = self._expired(memory, t, out)
         if what == "create":
             ids, times = memory or ([], [])
-            return ([*ids, event_id], [*times, t])
+            ids.append(event_id)
+            times.append(t)
+            return (ids, times)
+        memory = self.settled(memory, t, out)
         for create_id, create_t in zip(*memory) if memory else ():
             out.append((create_id, create_t, t, PAID))
         return None
@@ -262,16 +269,17 @@ class FirstPay(InOrder):
         return memory[1][0] + self.limit if memory else None
 
     def settle(self, memory, out):
-        return self._expired(memory, memory[1][0] + self.limit, out)
+        return self.settled(memory, memory[1][0] + self.limit, out)
 
-    def _expired(self, memory, t, out):
-        """Creates that a pay at `t` comes too late for are timed out."""
+    def settled(self, memory, upto, out):
+        """Creates that a pay at `upto` comes too late for are timed out."""
         if not memory:
             return None
-        gone = sum(1 for created in memory[1] if t - created >= self.limit)
-        for create_id, create_t in zip(memory[0][:gone], memory[1][:gone]):
+        ids, times = memory
+        gone = bisect_right(times, upto - self.limit)
+        for create_id, create_t in zip(ids[:gone], times[:gone]):
             out.append((create_id, create_t, None, NO_PAY))
-        return (memory[0][gone:], memory[1][gone:]) if gone < len(memory[0]) else None
+        return (ids[gone:], times[gone:]) if gone < len(ids) else None
 
 
 class OrderStatus(InOrder):
@@ -493,9 +501,9 @@ class InGroups(StatefulProcessor):
         soonest = None
         for own, memory in list(memories.items()):
             due = self.rule.due(memory)
-            while due is not None and due <= upto:
+            if due is not None and due <= upto:
                 found: list = []
-                memory = self.rule.settle(memory, found)
+                memory = self.rule.settled(memory, upto, found)
                 out += [(own, row) for row in found]
                 due = self.rule.due(memory)
             if memory is None:

@@ -91,6 +91,38 @@ def test_few_calls_and_a_stretch_at_a_time():
     assert state.calls == 23 + 40 and not processor.pending and not processor.memory.exists()
 
 
+class Looks(int):
+    """A limit that counts how often a create is held against it."""
+    taken = 0
+
+    def __rsub__(self, t):
+        Looks.taken += 1
+        return t - int(self)
+
+    def __le__(self, age):
+        Looks.taken += 1
+        return int(self) <= age
+
+    def __radd__(self, t):
+        Looks.taken += 1
+        return t + int(self)
+
+
+def test_creates_of_one_order_are_not_all_looked_at_for_each_row():
+    limit, n = 1_000, 3_000  # a create each microsecond, a thousand of them open
+    Looks.taken = 0
+    processor = keyed.InGroups(keyed.FirstPay(Looks(limit)))
+    processor.init(Counted())
+    pdf = pd.DataFrame({"t": range(n), "event_id": range(n), "what": "create", "order_id": 7})
+    pdf.loc[2_500, "what"] = "pay"
+    list(processor.handleInputRows((0,), iter([pdf]), Clock(0)))
+    out = pd.concat(processor.handleExpiredTimer((0,), Clock(100), None))
+    paid = out[out["status"] == "paid"]
+    assert sorted(paid["create_id"]) == list(range(1_501, 2_500)) and set(paid["pay_t"]) == {2_500}
+    assert sorted(out[out["status"] == "no_pay"]["create_id"]) == [*range(1_501), *range(2_501, n)]
+    assert Looks.taken < n and not processor.memory.exists()
+
+
 def test_small_stretches_are_put_together():
     processor = keyed.InGroups(keyed.EqualWindows(["k"], HOUR))
     processor.init(Counted())
