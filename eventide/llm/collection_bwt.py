@@ -2,67 +2,79 @@
 
 Every round inserts one symbol of each text, from the last to the first, as in external construction for large
 collections of short texts. After round j the rows are the sorted suffixes of at most j symbols; the symbol put before
-a suffix tells, by its rank among equal symbols, where the suffix one longer belongs. The common prefix of a new row
-and its neighbour is one more than the least common prefix between the two rows they came from. Rows are sequential
-arrays, read and rewritten front to back in each round.
+a suffix tells, by its rank among equal symbols, where the suffix one longer belongs. Rows are sequential arrays, read and
+rewritten front to back in each round. Once all symbols are in, the ranks lead from each text's empty suffix to its longer
+ones, which gives a row's text and length, and neighbouring rows are compared eight symbols at a time.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-
-def _least(values: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """Least value of each range start..stop (both inside, start <= stop)."""
-    by = np.argsort(start)  # in order, the stretches between ranges add up to one pass at most
-    edges = np.empty(2 * len(start), np.int64)
-    edges[::2], edges[1::2] = start[by], stop[by] + 1
-    out = np.empty(len(start), values.dtype)
-    if len(start):
-        out[by] = np.minimum.reduceat(np.append(values, values.dtype.type(255)), edges)[::2]
-    return out
+#: Neighbouring rows compared in one go.
+BLOCK = 1 << 18
 
 
 def build(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(bwt, lcp, owner, length) per row: symbol before the suffix plus one (0: none), common prefix with the row before
     (no more than 254), the text that the suffix is of, and its length. Texts are of at most 254 bytes.
     """
-    count = len(texts)
     sizes = np.array([len(t) for t in texts], np.int64)
-    flat = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint16) + 1
-    ends = np.cumsum(sizes)
-    bwt, lcp = np.zeros(count, np.uint16), np.zeros(count, np.uint8)
-    owner, length = np.arange(count, dtype=np.int32), np.zeros(count, np.uint8)
+    data = b"".join(texts)
+    flat, ends = np.frombuffer(data, np.uint8), np.cumsum(sizes)
+    used = np.bincount(flat, minlength=256) > 0
+    kind = np.uint8 if used.sum() < 256 else np.uint16
+    code = np.cumsum(used).astype(kind)  # symbols in order, so that with none they fit a byte
+    bwt = np.zeros(len(texts), kind)
     live = np.flatnonzero(sizes > 0)
-    place = live.copy()  # row of each live text's longest suffix so far
+    place = live.copy()  # row of each live text's longest suffix so far, in ascending order
     for column in range(1, int(sizes.max(initial=0)) + 1):
-        bwt[place] = flat[ends[live] - column]
-        by_symbol = np.argsort(bwt, kind="stable")
-        rank = np.empty(len(bwt), np.int64)
-        rank[by_symbol] = np.arange(len(bwt))
-        none = int((bwt == 0).sum())
-        here = rank[place]
-        new = count + here - none
-        # common prefix with the row before, and of the row after with this one, if they begin with the same symbol
-        symbol = bwt[place]
-        before = by_symbol[here - 1]
-        same_before = (here > none) & (bwt[before] == symbol)
-        prefix = np.zeros(len(new), np.uint8)
-        prefix[same_before] = 1 + _least(lcp, before[same_before] + 1, place[same_before])
-        after = by_symbol[np.minimum(here + 1, len(bwt) - 1)]
-        same_after = (here + 1 < len(bwt)) & (bwt[after] == symbol)
-        prefix_after = 1 + _least(lcp, place[same_after] + 1, after[same_after])
-        total = len(bwt) + len(new)
-        old = np.ones(total, bool)
+        symbol = code[flat[ends[live] - column]]
+        bwt[place] = symbol
+        longest = np.zeros(len(bwt), bool)
+        longest[place] = True
+        # ranks among all rows; those of texts that are done have no symbol and come first
+        new = np.flatnonzero(longest[np.argsort(bwt, kind="stable")]) + len(live)
+        live = live[np.argsort(symbol, kind="stable")]
+        old = np.ones(len(bwt) + len(new), bool)
         old[new] = False
-        rows = []
-        for values, fresh in ((bwt, 0), (lcp, prefix), (owner, live), (length, column)):
-            merged = np.empty(total, values.dtype)
-            merged[old], merged[new] = values, fresh
-            rows.append(merged)
-        bwt, lcp, owner, length = rows
-        lcp[new[same_after] + 1] = prefix_after
-        lcp[new] = prefix
+        merged = np.zeros(len(old), kind)
+        merged[old] = bwt
+        bwt = merged
         stay = sizes[live] > column
         live, place = live[stay], new[stay]
-    return bwt, lcp, owner, length
+    owner, length = _suffixes(bwt, sizes)
+    symbols = np.append(0, np.flatnonzero(used) + 1).astype(np.uint16)
+    return symbols[bwt], _common(data, ends[owner] - length, length), owner, length
+
+
+def _suffixes(bwt: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Text and length of each row's suffix."""
+    owner, length = np.empty(len(bwt), np.int32), np.zeros(len(bwt), np.uint8)
+    rank = np.empty(len(bwt), np.int32)
+    rank[np.argsort(bwt, kind="stable")] = np.arange(len(bwt), dtype=np.int32)
+    live = place = np.arange(len(sizes), dtype=np.int32)
+    owner[live] = live
+    for column in range(1, int(sizes.max(initial=0)) + 1):
+        stay = sizes[live] >= column
+        live, place = live[stay], rank[place[stay]]
+        owner[place], length[place] = live, column
+    return owner, length
+
+
+def _common(data: bytes, starts: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Common prefix of each row's suffix and the one before."""
+    words = np.ndarray(len(data) + 1, "<u8", data + bytes(8), strides=(1,))
+    out = np.zeros(len(starts), np.uint8)
+    for first in range(1, len(starts), BLOCK):
+        rows = np.arange(first, min(first + BLOCK, len(starts)))
+        most, at = np.minimum(length[rows], length[rows - 1]), 0
+        one, other = starts[rows - 1], starts[rows]
+        while len(rows):
+            differ = words[one + at] ^ words[other + at]
+            equal = np.bitwise_count((differ & -differ) - np.uint64(1)) >> 3
+            out[rows] = np.minimum(at + equal, most)
+            at += 8
+            on = np.flatnonzero((differ == 0) & (most > at))
+            rows, most, one, other = rows[on], most[on], one[on], other[on]
+    return out

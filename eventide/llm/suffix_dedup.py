@@ -2,15 +2,17 @@
 
 The collection of all texts is divided by content. Every window of LENGTH bytes has a key: the least hash of the grams
 in it. Equal windows have equal keys, so a stretch of windows with one key forms a short text (a segment), and only
-segments of one key need to meet. Segments meet in bounded collections whose BWT and common prefixes are built column by
-column (`collection_bwt`); neighbouring rows with a common prefix of LENGTH or more are equal windows, and the smallest
-document of each such group is sent back to the segments.
+segments of one key need to meet. Segments meet in collections whose BWT and common prefixes are built column by column
+(`collection_bwt`); neighbouring rows with a common prefix of LENGTH or more are equal windows, and the smallest document
+of each such group is sent back to the segments.
 
 1. Documents are dealt to shards of some MB. Each shard reports the distinct keys of its documents.
 2. Per range of keys, those found in two documents or more are flagged. All other windows are unique and end here.
 3. Each shard sends one copy of each distinct segment with a flagged key. A key found in very many shards is replaced
-   by the windows' own hashes, so a frequent gram with many different surroundings never makes one large group.
-4. Per range of keys, the BWT gives each window's smallest document.
+   by hashes of longer strings around the gram, the longer the more shards have it, up to the windows themselves, so a
+   frequent gram with many different surroundings does not make one large group (`Shard.parts`).
+4. Per range of keys, the BWT gives each window's smallest document. Segments that share no string of half the way from
+   GRAM to LENGTH bytes with another can not share a window and stay out of it.
 5. Each shard marks the bytes of windows whose smallest document comes before their own.
 
 Texts are dealt once and copies within a shard count once; what travels beside them is a small part of the text. The
@@ -24,7 +26,6 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,8 +36,12 @@ from eventide.llm.tables import stored, texts_of
 LENGTH, GRAM = 50, 20
 SHARD_BYTES, RANGE_KEYS = 4 << 20, 1_500_000
 #: Bytes of text per range of keys in step 4, and segments in one collection.
-RANGE_BYTES, COLLECTION = 12 << 20, 8000
+RANGE_BYTES, COLLECTION = 12 << 20, 1000
 HOT_SHARDS = 1000
+#: Windows in a stretch, bytes in a segment and levels of longer strings around a gram, at most.
+WINDOWS = LENGTH - GRAM + 1
+SEGMENT = WINDOWS + LENGTH - 1
+LEVELS = (LENGTH - GRAM).bit_length()
 BLOCK = 1 << 19
 KEY_BITS = 56
 LAST = np.iinfo(np.int64).max
@@ -109,7 +114,7 @@ class Shard:
         keep = fits[begin] if len(begin) else np.zeros(0, bool)
         begin, end, key = begin[keep], end[keep], key[keep]
         # stretches of one repeated gram can be long: cut where they outgrow a plain one
-        most = LENGTH - GRAM + 1
+        most = WINDOWS
         pieces = (end - begin + most - 1) // most
         nth = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         begin, end, key = np.repeat(begin, pieces) + nth * most, np.repeat(end, pieces), np.repeat(key, pieces)
@@ -118,35 +123,118 @@ class Shard:
 
     def distinct_keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct keys in order, whether more than one document holds each, and the place of each stretch's key."""
-        keys, inverse = np.unique(self.key, return_inverse=True)
-        low, high = np.full(len(keys), LAST), np.full(len(keys), -LAST)
-        np.minimum.at(low, inverse, self.ids[self.doc])
-        np.maximum.at(high, inverse, self.ids[self.doc])
-        return keys, low != high, inverse
+        order = np.argsort(self.key, kind="stable")
+        of, ids = self.key[order], self.ids[self.doc[order]]
+        new = _new(of)
+        heads = np.flatnonzero(new)
+        inverse = np.empty(len(of), np.int64)
+        inverse[order] = np.cumsum(new) - 1
+        more = np.minimum.reduceat(ids, heads) != np.maximum.reduceat(ids, heads) if len(heads) else np.zeros(0, bool)
+        return of[heads], more, inverse
+
+    def parts(self, of: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Stretches as parts of one name (`_names`): document, first window, one past the last, name."""
+        found = []
+        for at in range(0, len(of), CHUNK):
+            some = of[at:at + CHUNK]
+            begin, end = self.begin[some], self.end[some]
+            nth, offset, name = _names(_rows(self.data, begin, end - begin + LENGTH - 1), end - begin, level)
+            first = begin[nth] + offset
+            last = np.append(first[1:], 0)
+            closing = np.append(nth[1:] != nth[:-1], True)[:len(nth)]
+            found.append((self.doc[some][nth], first, np.where(closing, end[nth], last), name))
+        return tuple(np.concatenate(x) for x in zip(*found))
 
     def segments(self, found: np.ndarray, hot: np.ndarray, inverse: np.ndarray) -> Segments:
         """Distinct (key, text) of the stretches whose key is flagged, in order; and of each stretch the number of its
-        text in that order, its document and its first window. Stretches with a hot key count window by window."""
+        text in that order, its document and its first window. Stretches with a hot key count part by part."""
         use = np.flatnonzero(found[inverse])
-        numbers: dict[tuple[int, bytes], int] = {}
-        number, docs, firsts = [], [], []
-        data = self.data
-        for a, b, key, doc, spread in zip(*(x[use].tolist() for x in (self.begin, self.end, self.key, self.doc)),
-                                          hot[inverse[use]].tolist()):
-            parts = [(w, data[w:w + LENGTH]) for w in range(a, b)] if spread else [(a, data[a:b + LENGTH - 1])]
-            for first, text in parts:
-                named = xxhash.xxh64_intdigest(text) >> (64 - KEY_BITS) if spread else key
-                number.append(numbers.setdefault((named, text), len(numbers)))
-                docs.append(doc)
-                firsts.append(first)
-        order = sorted(numbers)
-        place = np.empty(len(order), np.int64)
-        place[[numbers[k] for k in order]] = np.arange(len(order))
-        return Segments(order, place[np.array(number, np.int64)], np.array(docs, np.int64), np.array(firsts, np.int64))
+        levels = hot[inverse[use]]
+        plain = use[levels == 0]
+        held = [(self.doc[plain], self.begin[plain], self.end[plain], self.key[plain])]
+        held += [self.parts(use[levels == k], k) for k in range(1, LEVELS + 1) if (levels == k).any()]
+        doc, first, end, key = (np.concatenate(x) for x in zip(*held))
+        size = end - first + LENGTH - 1
+        rows = _rows(self.data, first, size)
+        one, number = _numbered(key, rows, size)
+        return Segments(key[one], rows[one], size[one], number, doc, first)
+
+
+def _new(values: np.ndarray) -> np.ndarray:
+    """Which of the values differ from the one before."""
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return new
+
+
+#: Segments whose grams are looked at in one go.
+CHUNK = 1 << 13
+_WIDE = -(-SEGMENT // 8) * 8
+_MASKS = np.frombuffer(b"".join(b"\xff" * n + bytes(_WIDE - n) for n in range(SEGMENT + 1)), np.uint64).reshape(
+    SEGMENT + 1, -1)
+
+
+def _rows(data: bytes, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Strings of the text as rows of 64-bit words, with zeros behind them."""
+    padded = np.ndarray(len(data) + 1, f"V{_WIDE}", data + bytes(_WIDE), strides=(1,))
+    return padded[begin].view(np.uint64).reshape(len(begin), _WIDE // 8) & _MASKS[size]
+
+
+def _joined(rows: np.ndarray, size: np.ndarray) -> bytes:
+    return rows.view(np.uint8).reshape(len(rows), _WIDE)[np.arange(_WIDE) < size[:, None]].tobytes()
+
+
+def _numbered(key: np.ndarray, rows: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct (key, string), by key and then in an order that depends on nothing but the strings; and
+    the number of each place's string in that order."""
+    hashed = size.astype(np.uint64)
+    for word in rows.T:
+        hashed = _mixed((hashed ^ word) * np.uint64(_R))
+    order = np.lexsort((hashed, key))
+    alike = ~(_new(key[order]) | _new(hashed[order]))
+    again = np.flatnonzero(alike)
+    a, b = order[again - 1], order[again]
+    same = (size[a] == size[b]) & (rows[a] == rows[b]).all(axis=1)
+    if not same.all():  # two strings of one hash
+        order = np.lexsort((*rows.T, size, key))
+        a, b = order[:-1], order[1:]
+        alike = np.append(False, (key[a] == key[b]) & (size[a] == size[b]) & (rows[a] == rows[b]).all(axis=1))
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(~alike) - 1
+    return order[~alike], number
+
+
+def _names(rows: np.ndarray, windows: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Names of the segments' windows, where they change: segment, window in it, name.
+
+    A name is the hash of a string around the first of the window's least grams. Each level takes half of the window's
+    other bytes to it: those before, if there are so many, or else those after. So equal windows have equal names.
+    """
+    count, place = len(rows), np.arange(_WIDE)
+    data = np.frombuffer(rows.tobytes() + bytes(LENGTH), np.uint8)
+    grams = _gram_hashes(data, GRAM)[:count * _WIDE].reshape(count, _WIDE)
+    inside = place < (windows + LENGTH - GRAM)[:, None]
+    least = grams[:, :WINDOWS].min(axis=1)
+    at = np.where((grams == least[:, None]) & inside, place, _WIDE)
+    start = np.minimum.accumulate(at[:, ::-1], axis=1)[:, ::-1][:, :WINDOWS]
+    before, rest = start - place[:WINDOWS], LENGTH - GRAM
+    for _ in range(level):
+        half = (rest + 1) // 2
+        left = before >= half
+        start, before, rest = start - half * left, before - half * left, rest - half
+    inside = place[:WINDOWS] < windows[:, None]
+    strings = _gram_hashes(data, LENGTH - rest)
+    name = strings[np.where(inside, np.arange(count)[:, None] * _WIDE + start, 0)] >> np.uint64(64 - KEY_BITS)
+    change = inside.copy()
+    change[:, 1:] &= name[:, 1:] != name[:, :-1]
+    nth, offset = np.nonzero(change)
+    return nth, offset, name[nth, offset]
 
 
 class Segments(NamedTuple):
-    texts: list[tuple[int, bytes]]
+    keys: np.ndarray
+    rows: np.ndarray
+    sizes: np.ndarray
     number: np.ndarray
     doc: np.ndarray
     first: np.ndarray
@@ -205,17 +293,20 @@ def _report(ranges: int) -> Callable:
 
 
 def _flag(hot_shards: int) -> Callable:
-    """Step 2: flags for the keys of a range, for each shard in the order of its keys."""
+    """Step 2: flags and levels (0: not hot) for the keys of a range, for each shard in the order of its keys."""
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         keys, inverse, shards = np.unique(np.concatenate([_unplaned(r["keys"]) for r in rows]), return_inverse=True,
                                           return_counts=True)
         more = np.zeros(len(keys), bool)
         more[inverse[np.concatenate([_flags(r["more"], r["n"]) for r in rows])]] = True
-        found, hot = (more | (shards > 1))[inverse], (shards >= hot_shards)[inverse]
+        level = np.zeros(len(keys), np.uint8)
+        for k in range(LEVELS):
+            level += shards >= hot_shards << k
+        found, hot = (more | (shards > 1))[inverse], level[inverse]
         ends = np.cumsum([r["n"] for r in rows])
-        return _table([(r["shard"], 0, r["range"], r["n"], _bits(found[e - r["n"]:e]), _bits(hot[e - r["n"]:e]))
-                       for r, e in zip(rows, ends)], *_MARKS)
+        return _table([(r["shard"], 0, r["range"], r["n"], _bits(found[e - r["n"]:e]),
+                        zstandard.compress(hot[e - r["n"]:e].tobytes(), 1)) for r, e in zip(rows, ends)], *_MARKS)
     return run
 
 
@@ -223,7 +314,8 @@ def _flagged(shard: Shard, marks: list[dict]) -> Segments:
     marks = sorted((m for m in marks if m["kind"] == 0), key=lambda m: m["range"])
     keys, _, inverse = shard.distinct_keys()
     found = np.concatenate([_flags(m["a"], m["n"]) for m in marks]) if marks else np.zeros(len(keys), bool)
-    hot = np.concatenate([_flags(m["b"], m["n"]) for m in marks]) if marks else np.zeros(len(keys), bool)
+    hot = np.frombuffer(b"".join(zstandard.decompress(m["b"]) for m in marks), np.uint8) if marks else np.zeros(
+        len(keys), np.uint8)
     return shard.segments(found, hot, inverse)
 
 
@@ -234,14 +326,14 @@ def _send(ranges: int) -> Callable:
             return _table([], *_SENT)
         shard = _shard(docs)
         segments = _flagged(shard, marks.to_pylist())
-        keys = np.array([k for k, _ in segments.texts], np.uint64)
+        keys, sizes = segments.keys, segments.sizes
         least = np.full(len(keys), LAST)
         np.minimum.at(least, segments.number, shard.ids[segments.doc])
+        text, ends = _joined(segments.rows, sizes), [0, *np.cumsum(sizes).tolist()]
         number, out = docs.column("shard")[0].as_py(), []
         for r, a, b in _ranges(keys, ranges):
-            texts = [t for _, t in segments.texts[a:b]]
             out.append((r, number, b - a, _planes(keys[a:b]), _planes(least[a:b].view(np.uint64)),
-                        bytes(map(len, texts)), zstandard.compress(b"".join(texts), 1)))
+                        sizes[a:b].astype(np.uint8).tobytes(), zstandard.compress(text[ends[a]:ends[b]], 1)))
         return _table(out, *_SENT)
     return run
 
@@ -262,50 +354,59 @@ def _smallest(texts: list[bytes], docs: np.ndarray) -> np.ndarray:
 
 def _meet(table: pa.Table) -> pa.Table:
     """Step 4: per segment of each shard, the smallest document of each of its windows."""
-    rows = table.to_pylist()
-    groups: dict[int, dict[bytes, int]] = {}
-    sent = []
-    for row in rows:
-        text, sizes = zstandard.decompress(row["text"]), row["sizes"]
-        ends = np.cumsum(np.frombuffer(sizes, np.uint8), dtype=np.int64).tolist()
-        parts = [text[a:b] for a, b in zip([0, *ends], ends)]
-        keys, docs = _unplaned(row["keys"]).tolist(), _unplaned(row["docs"]).view(np.int64).tolist()
-        sent.append((keys, parts))
-        for key, part, doc in zip(keys, parts, docs):
-            own = groups.setdefault(key, {})
-            old = own.get(part)
-            if old is None or doc < old:
-                own[part] = doc
-    answers: dict[tuple[int, bytes], np.ndarray | int] = {}
-    held: list[tuple[int, bytes, int]] = []
-
-    def solve() -> None:
-        if held:
-            texts = [t for _, t, _ in held]
-            least, at = _smallest(texts, np.array([d for _, _, d in held], np.int64)), 0
-            for key, text, _ in held:
-                n = len(text) - LENGTH + 1
-                answers[key, text] = least[at:at + n]
-                at += n
-            held.clear()
-
-    for key, own in groups.items():
-        if len(own) == 1:
-            text, doc = next(iter(own.items()))
-            answers[key, text] = doc  # of all its windows
-            continue
-        held.extend((key, text, doc) for text, doc in own.items())
-        if len(held) >= COLLECTION:
-            solve()
-    solve()
-    out = []
-    for row, (keys, parts) in zip(rows, sent):
-        found = ((answers[k, p], len(p) - LENGTH + 1) for k, p in zip(keys, parts))
-        least = [np.full(n, least) if isinstance(least, int) else least for least, n in found]
-        out.append((row["shard"], 1, row["range"], len(parts), _planes(np.concatenate(least).view(np.uint64)), b""))
+    blocks = table.to_pylist()
+    size = np.frombuffer(b"".join(b["sizes"] for b in blocks), np.uint8).astype(np.int64)
+    key = np.concatenate([_unplaned(b["keys"]) for b in blocks])
+    doc = np.concatenate([_unplaned(b["docs"]) for b in blocks]).view(np.int64)
+    rows = _rows(b"".join(zstandard.decompress(b["text"]) for b in blocks), np.cumsum(size) - size, size)
+    one, number = _numbered(key, rows, size)
+    least = np.full(len(one), LAST)
+    np.minimum.at(least, number, doc)
+    key, rows, size = key[one], rows[one], size[one]
+    windows = size - LENGTH + 1
+    begin = np.cumsum(windows) - windows
+    answers = np.repeat(least, windows)  # of segments that share no window with another
+    new = _new(key)
+    several = np.flatnonzero(~(new & np.append(new[1:], True)))
+    met = several[_may_meet(rows[several], windows[several])]
+    groups = np.append(np.flatnonzero(_new(key[met])), len(met)).tolist()
+    start = 0
+    for stop in groups:
+        if stop > start and (stop - start >= COLLECTION or stop == len(met)):
+            some = met[start:stop]
+            text, ends = _joined(rows[some], size[some]), np.cumsum(size[some]).tolist()
+            found = _smallest([text[a:b] for a, b in zip([0, *ends], ends)], least[some])
+            answers[_each(begin[some], windows[some])] = found
+            start = stop
+    out, at = [], 0
+    for b in blocks:
+        own = number[at:at + b["n"]]
+        at += b["n"]
+        out.append((b["shard"], 1, b["range"], b["n"],
+                    _planes(answers[_each(begin[own], windows[own])].view(np.uint64)), b""))
     return _table(out, *_MARKS)
 
 
+def _each(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers from each begin, range after range."""
+    return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
+def _may_meet(rows: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """Which of the segments have a window of the same first-level name as a window of another."""
+    found = [_names(rows[at:at + CHUNK], windows[at:at + CHUNK], 1) for at in range(0, len(rows), CHUNK)]
+    out = np.zeros(len(rows), bool)
+    if found:
+        nth = np.concatenate([x[0] + at * CHUNK for at, x in enumerate(found)])
+        name = np.concatenate([x[2] for x in found])
+        order = np.argsort(name, kind="stable")
+        nth, name = nth[order], name[order]
+        heads = np.flatnonzero(_new(name))
+        shared = np.minimum.reduceat(nth, heads) != np.maximum.reduceat(nth, heads)
+        out[nth[np.repeat(shared, np.diff(np.append(heads, len(name))))]] = True
+    return out
+
+
 #: Columns of other names travel with the text under this one.
 CARRIED = "carried"
 _DONE = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(pa.struct(
@@ -346,11 +447,10 @@ def _marked(docs: pa.Table, marks: pa.Table) -> pa.Table:
         answers = [_unplaned(m["a"]).view(np.int64) for m in sorted((m for m in rows if m["kind"] == 1),
                                                                     key=lambda m: m["range"])]
         least = np.concatenate(answers) if answers else np.zeros(0, np.int64)
-        windows = np.array([len(t) - LENGTH + 1 for _, t in segments.texts], np.int64)
+        windows = segments.sizes - LENGTH + 1
         before, size = (np.cumsum(windows) - windows)[segments.number], windows[segments.number]
-        step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-        window = np.repeat(segments.first, size) + step
-        gone = least[np.repeat(before, size) + step] < np.repeat(shard.ids[segments.doc], size)
+        window = _each(segments.first, size)
+        gone = least[_each(before, size)] < np.repeat(shard.ids[segments.doc], size)
         delta += np.bincount(window[gone], minlength=len(delta)).astype(np.int32)
         delta -= np.bincount(window[gone] + LENGTH, minlength=len(delta)).astype(np.int32)
     out = []

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 from fixtures import clashing, documents, rows
 
 from eventide.llm import collection_bwt, suffix_dedup
@@ -66,6 +67,84 @@ def test_stretches_do_not_depend_on_place(monkeypatch):
     assert stretches(order, 37) == want and stretches(order[::-1], 64) == want
 
 
+def letters(rng, n):
+    return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+
+
+def telling_gram(rng):
+    """Some letters of which the hash is the least in most windows around them."""
+    grams = [letters(rng, 20) for _ in range(1000)]
+    return min(grams, key=lambda g: suffix_dedup._gram_hashes(np.frombuffer(g.encode(), np.uint8), 20)[0])
+
+
+def sent_by(texts, hot_shards):
+    """What each of the texts sends, as a shard of its own, when keys in so many shards count as hot."""
+    shards = [pa.table({"shard": pa.array([i], pa.int64()), "doc_id": pa.array([i], pa.int64()), "text": [t]})
+              for i, t in enumerate(texts)]
+    marks = suffix_dedup._flag(hot_shards)(pa.concat_tables(map(suffix_dedup._report(1), shards)))
+    return pa.concat_tables(suffix_dedup._send(1)(s, marks.filter(np.array(marks["shard"]) == i))
+                            for i, s in enumerate(shards))
+
+
+def test_hot_keys_send_little_more_than_others():
+    """Half of a gram's longest way to the left, or to the right: two parts of a segment, not one for each window."""
+    rng = random.Random(21)
+    gram = telling_gram(rng)
+    texts = [letters(rng, 100) + gram + letters(rng, 100) for _ in range(300)]
+    plain, hot = sent_by(texts, 1000), sent_by(texts, 200)
+    n, size = (sum(plain["n"].to_pylist()), sum(sum(b) for b in plain["sizes"].to_pylist()))
+    assert n >= 250 and n < sum(hot["n"].to_pylist()) <= 2 * n
+    assert sum(sum(b) for b in hot["sizes"].to_pylist()) <= 2 * size
+
+
+def test_parts_are_the_same_in_all_surroundings():
+    """Two stretches that have a window in common have it in parts of one name, at each level; at the last one, parts of
+    one name begin with the same window."""
+    rng = random.Random(4)
+    texts = [("".join(rng.choice(("ab", "abc", "x" * 30, letters(rng, 3))) for _ in range(60))).encode() for _ in range(60)]
+    texts += [texts[0][20:150] + texts[1][10:140], b"ab" * 80, b"xy" + b"ab" * 70, b"\0" * 99, b"a" * 70 + b"\0" * 70]
+    shard = suffix_dedup.Shard(list(range(len(texts))), texts)
+    for level in range(1, suffix_dedup.LEVELS + 1):
+        _, first, stop, name = shard.parts(np.arange(len(shard.begin)), level)
+        assert sum(stop - first) == sum(shard.end - shard.begin)
+        names, windows = {}, {}
+        for a, b, key in zip(first.tolist(), stop.tolist(), name.tolist()):
+            for i in range(a, b):
+                names.setdefault(shard.data[i:i + 50], set()).add(key)
+                windows.setdefault(key, set()).add(shard.data[i:i + 50])
+        assert {len(k) for k in names.values()} == {1}
+    assert {len(w) for w in windows.values()} == {1}
+
+
+def test_segments_that_share_a_gram_alone_stay_out_of_the_bwt(monkeypatch):
+    """A gram with other surroundings each time gives no equal windows; a passage of two documents does."""
+    rng = random.Random(22)
+    gram, passage = telling_gram(rng), letters(rng, 90)
+    texts = [letters(rng, 80) + gram + letters(rng, 80) for _ in range(200)]
+    met = []
+    smallest = suffix_dedup._smallest
+    monkeypatch.setattr(suffix_dedup, "_smallest", lambda some, docs: met.extend(some) or smallest(some, docs))
+    suffix_dedup._meet(sent_by(texts, 1000))
+    assert met == []
+    sent = sent_by([*texts, "begin" + passage + "one", "other" + passage + "two"], 1000)
+    answers = [suffix_dedup._unplaned(r["a"]).view(np.int64) for r in suffix_dedup._meet(sent).to_pylist()]
+    assert met and (answers[-1] == 200).sum() == 41
+
+
+def test_strings_of_one_hash_are_told_apart(monkeypatch):
+    rng = random.Random(8)
+    texts = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(50, 53))) for _ in range(40)] * 2
+    size = np.array([len(t) for t in texts])
+    key = np.array([rng.randrange(3) for _ in range(40)] * 2, np.uint64)
+    packed = suffix_dedup._rows(b"".join(texts), np.cumsum(size) - size, size)
+    for constant in (False, True):
+        if constant:
+            monkeypatch.setattr(suffix_dedup, "_mixed", lambda values: values * np.uint64(0))
+        one, number = suffix_dedup._numbered(key, packed, size)
+        assert len(one) == len(set(zip(key.tolist(), texts))) and (np.diff(key[one].astype(np.int64)) >= 0).all()
+        assert [(key[one[n]], texts[one[n]]) for n in number] == list(zip(key, texts))
+
+
 def test_without_repeats(spark):
     shared = "é" * 40 + "the shared passage"
     df = documents(spark, ["start " + shared, "x" + shared + "� end", shared, "", None, "own"])
